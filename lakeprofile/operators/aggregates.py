@@ -19,17 +19,11 @@ def array_unions(df: DataFrame, key: str, arrays: Sequence[str]) -> DataFrame:
     so the rows of a hot key spread over all tasks and the last step only
     holds what the result row must hold.
     """
-    tagged = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    F.coalesce(F.col(a), F.array().cast("array<string>")),
-                    lambda v, a=a: F.struct(F.lit(a).alias("col"), v.alias("val")),
-                )
-                for a in arrays
-            ]
-        )
-    )
+    def tag(name: str) -> Column:
+        values = F.coalesce(F.col(name), F.array().cast("array<string>"))
+        return F.transform(values, lambda v: F.struct(F.lit(name).alias("col"), v.alias("val")))
+
+    tagged = F.flatten(F.array(*[tag(a) for a in arrays]))
     elements = (
         df.select(key, F.explode(tagged).alias("_e"))
         .select(key, F.col("_e.col").alias("col"), F.col("_e.val").alias("val"))

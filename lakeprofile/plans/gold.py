@@ -59,26 +59,23 @@ def contact_aggregates(contacts: DataFrame) -> DataFrame:
 def web_aggregates(pages: DataFrame, tie_breaker: str = "page_url") -> DataFrame:
     """Best page, mean scores and the union of all array columns per company.
 
-    Three aggregations on the same key: the best page is a top-1, the means
-    combine map-side, and the arrays de-duplicate before they are collected.
+    Best page and means share one aggregation with map-side combine; the arrays
+    de-duplicate before they are collected.
     """
     own = pages.where(F.col("is_company_website"))
-    best_order = [
-        F.col("content_richness_score").desc_nulls_last(),
-        F.col("crawl_ts").desc_nulls_last(),
-        F.col(tie_breaker).asc(),
-    ]
-    best = keep_first(own, ["company_key"], best_order).select(
-        "company_key",
+    best = F.struct(
         F.col("title").alias("web_title"),
         F.col("meta_description").alias("web_meta_description"),
         F.col("about_snippet").alias("web_about_snippet"),
         "social_links",
     )
-    means = own.groupBy("company_key").agg(*[F.avg(c).alias(f"avg_{c}") for c in WEB_SCORES])
+    order = F.struct("content_richness_score", "crawl_ts", tie_breaker)
+    facts = own.groupBy("company_key").agg(
+        F.max_by(best, order).alias("_best"), *[F.avg(c).alias(f"avg_{c}") for c in WEB_SCORES]
+    )
     arrays = array_unions(own, "company_key", WEB_ARRAYS)
     arrays = arrays.select("company_key", *[F.col(a).alias(f"all_{a}") for a in WEB_ARRAYS])
-    joined = means.join(best, "company_key").join(arrays, "company_key", "left")
+    joined = facts.select("company_key", "_best.*", *[f"avg_{c}" for c in WEB_SCORES]).join(arrays, "company_key", "left")
     return joined.withColumns({f"all_{a}": F.coalesce(f"all_{a}", no_strings()) for a in WEB_ARRAYS})
 
 
@@ -288,13 +285,17 @@ PROFILE_SECTIONS: list[tuple[str, list[tuple[str, list[object]]]]] = [
         ],
     ),
 ]
-SCORE_TEXT = "decimal(9,4)"
 SCORE_FIELDS = (
     "domain_health_score", "apollo_contact_quality_score", "overall_data_quality_score",
     "avg_content_richness_score", "business_credibility_score",
 )
 
 
+def four_decimals(score: Column) -> Column:
+    """Half rounds up, whatever the last bit of a mean is."""
+    return (F.floor(score.cast("double") * 10000 + 0.500001) / 10000).cast("decimal(9,4)")
+
+
 def profile_text() -> Column:
     """Multi-section profile for embeddings.
 
@@ -309,7 +310,7 @@ def profile_text() -> Column:
         if name.endswith("[]"):
             return or_text(F.array_join(F.col(name[:-2]), ", "), default)
         value = F.col(name)
-        return or_text(value.cast(SCORE_TEXT) if name in SCORE_FIELDS else value, default)
+        return or_text(four_decimals(value) if name in SCORE_FIELDS else value, default)
 
     pieces: list[Column] = []
     for number, (title, lines) in enumerate(PROFILE_SECTIONS):

@@ -97,7 +97,7 @@ FROM {pages}""",
     # the fields of a crawl record that the pages do not carry are derived
     "b_page_record": """
 SELECT page_id,
-       CASE WHEN page_id % 40 = 0 THEN '' ELSE url END AS url,
+       CASE WHEN page_id % 40 = 0 THEN '' ELSE concat('https://d', cast(page_id % 60 AS STRING), '.example.com', regexp_extract(url, 'https?://[^/]+(.*)', 1)) END AS url,
        CASE WHEN page_id % 10 = 0 THEN NULL ELSE concat(' ', regexp_extract(html, '<title>([^<]*)</title>', 1), ' ') END AS title,
        CASE WHEN page_id % 4 = 0 THEN NULL ELSE concat('Description ', cast(page_id AS STRING)) END AS meta_description,
        CASE WHEN page_id % 6 = 0 THEN NULL ELSE 'alpha, beta  gamma,delta' END AS meta_keywords,
@@ -257,7 +257,7 @@ SELECT concat('p', cast(o_orderkey AS STRING)) AS id, concat('First', cast(o_ord
        CASE o_orderkey % 4 WHEN 0 THEN 'CEO' WHEN 1 THEN 'Engineer' WHEN 2 THEN 'Sales' ELSE NULL END AS title,
        o_orderpriority AS department,
        CASE WHEN o_orderkey % 23 = 0 THEN NULL ELSE concat('c', cast(o_custkey AS STRING)) END AS organization_id,
-       cast(cast(o_totalprice AS BIGINT) AS STRING) AS organization_annual_revenue,
+       cast(cast(floor(o_totalprice) AS BIGINT) AS STRING) AS organization_annual_revenue,
        cast(o_orderdate AS STRING) AS created_at
 FROM {orders}""",
     "b_gen_crawls": """
