@@ -12,7 +12,7 @@ def days_back(spark: SparkSession, as_of: str, days: int) -> DataFrame:
     """One row per day from ``days`` before ``as_of`` to ``as_of``, as text."""
     end = F.lit(as_of).cast("date")
     span = F.sequence(F.date_sub(end, days), end)
-    return spark.range(1).select(F.explode(span).cast("string").alias("dt"))
+    return spark.range(1).select(F.explode(span).alias("day")).select(F.col("day").cast("string").alias("dt"))
 
 
 def missing_partitions(partitions: DataFrame, tables: Sequence[str], as_of: str, days: int = 30) -> DataFrame:

@@ -114,10 +114,9 @@ def evict_oldest(
     narrow = df.select(created_at, *tie_breaker)
     order = [F.col(created_at).asc(), *[F.col(t).asc() for t in tie_breaker]]
     placed = running_totals(narrow, order, "_age").drop(created_at)
-    total = df.agg(F.count(F.lit(1)).alias("_total"))  # one row
-    sized = placed.join(F.broadcast(total))
-    limit = F.when(F.col("_total") >= threshold, F.floor(F.col("_total") * F.lit(share))).otherwise(F.lit(0))
-    evicted = sized.where(F.col("_age") <= limit).select(*tie_breaker)
+    total = df.agg(F.count(F.lit(1)).alias("_total")).scalar()
+    limit = F.when(total >= threshold, F.floor(total * F.lit(share))).otherwise(F.lit(0))
+    evicted = placed.where(F.col("_age") <= limit).select(*tie_breaker)
     return df.join(evicted, list(tie_breaker), "left_anti")
 
 

@@ -107,12 +107,10 @@ def percent_rank(df: DataFrame, value: str, out: str) -> DataFrame:
     cumulative = running_totals(
         counts, [F.col(value).asc_nulls_first()], "_p", {"_upto": F.col("_n")}
     )
-    total = df.agg(F.count(F.lit(1)).alias("_all"))
-    ranked = cumulative.join(F.broadcast(total)).select(  # one row
-        F.col(value).alias("_value"),
-        F.when(
-            F.col("_all") > 1, (F.col("_upto") - F.col("_n")) / (F.col("_all") - 1).cast("double")
-        ).otherwise(F.lit(0.0)).alias(out),
+    total = df.agg(F.count(F.lit(1)).alias("_all")).scalar()
+    before = (F.col("_upto") - F.col("_n")).cast("double")
+    ranked = cumulative.select(
+        F.col(value).alias("_value"), F.when(total > 1, before / (total - 1)).otherwise(F.lit(0.0)).alias(out)
     )
     return df.join(ranked, F.col(value).eqNullSafe(F.col("_value")), "left").drop("_value")
 

@@ -86,11 +86,10 @@ def with_split(df: DataFrame, key: str, label: str, seed: str = "42") -> DataFra
 def with_balance(df: DataFrame, label: str) -> DataFrame:
     """Weight n / (classes · n_class) per row."""
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    total = sizes.agg(F.sum("_n").alias("_all"), F.count(F.lit(1)).alias("_k"))
-    weights = sizes.join(F.broadcast(total)).select(  # one row per class
-        label, (F.col("_all") / (F.col("_k") * F.col("_n"))).alias("weight")
-    )
-    return df.join(F.broadcast(weights), label)
+    total = sizes.agg(F.sum("_n").alias("_all")).scalar()
+    classes = sizes.agg(F.count(F.lit(1)).alias("_k")).scalar()
+    weights = sizes.select(label, (total / (classes * F.col("_n"))).alias("weight"))
+    return df.join(F.broadcast(weights), label)  # one row per class
 
 
 def fit_logistic(train: DataFrame, names: Sequence[str], label: str) -> tuple[LogisticRegressionModel, Pipeline]:
@@ -226,8 +225,12 @@ def threshold_counts(scored: DataFrame, label: str, score: str) -> DataFrame:
     cumulative = running_totals(
         counts, [F.col("threshold").desc()], "step", {"tp": F.col("pos"), "fp": F.col("neg")}
     )
-    totals = counts.agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
-    return cumulative.join(F.broadcast(totals))  # one row
+    return cumulative.withColumns(
+        {
+            "all_pos": counts.agg(F.sum("pos").alias("n")).scalar(),
+            "all_neg": counts.agg(F.sum("neg").alias("n")).scalar(),
+        }
+    )
 
 
 def roc_curve(scored: DataFrame, label: str, score: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.scoring import holds, ladder, present
 from ..functions.text import token_count
 from ..operators.aggregates import count_where
+from ..operators.calendar import days_back
 from ..operators.incremental import budget_gate, cache_misses, lookback
 
 # Task names, the model each task uses, prices in dollars per
@@ -194,10 +195,7 @@ def cost_summary(daily: DataFrame, as_of: str, days: int = 7, budget: float = DA
 
 def cost_by_day(daily: DataFrame, as_of: str, days: int = 7) -> DataFrame:
     """Every one of the last ``days`` days with its cost, 0 where none."""
-    end = F.lit(as_of).cast("date")
-    spark = daily.sparkSession
-    dates = F.explode(F.sequence(F.date_sub(end, days - 1), end)).cast("string")
-    calendar = spark.range(1).select(dates.alias("dt"))
+    calendar = days_back(daily.sparkSession, as_of, days - 1)
     costs = daily.select("dt", F.col("total_cost_usd").alias("cost"))
     return calendar.join(costs, "dt", "left").withColumn("cost", F.coalesce("cost", F.lit(0.0)))
 

@@ -117,6 +117,7 @@ def challenge_events(events: DataFrame, challenge: str, start: str) -> DataFrame
 
 def run_averages(health: DataFrame, matches: DataFrame) -> DataFrame:
     """Mean health and similarity of a run, 0 when nothing ran."""
-    left = health.agg(global_or_zero(F.col("health_score"), "avg_health_score"), F.count(F.lit(1)).alias("domains"))
-    right = matches.agg(global_or_zero(F.col("embedding_similarity"), "avg_similarity"), F.count(F.lit(1)).alias("matches"))
-    return left.join(F.broadcast(right))  # two one-row frames
+    similarity = matches.agg(global_or_zero(F.col("embedding_similarity"), "avg_similarity")).scalar()
+    number = matches.agg(F.count(F.lit(1)).alias("matches")).scalar()
+    domains = health.agg(global_or_zero(F.col("health_score"), "avg_health_score"), F.count(F.lit(1)).alias("domains"))
+    return domains.select("*", similarity.alias("avg_similarity"), number.alias("matches"))

@@ -171,7 +171,7 @@ SELECT conv_id, turn, cast(conv_id AS STRING) AS company_key, conv_id * 1000 + t
        CASE WHEN turn % 6 < 3 THEN 'haiku' ELSE 'sonnet' END AS model,
        length(text) - length(replace(text, ' ', '')) + 1 AS input_tokens, md5(text) AS content_hash, text AS result,
        conv_id % 4 = 0 AS was_cached, (conv_id + turn) % 15 <> 0 AS success,
-       cast('2024-01-15 00:00:00' AS TIMESTAMP) + (conv_id * 8 + turn) * INTERVAL '1' MINUTE AS created_at
+       cast('2024-01-15 00:00:00' AS TIMESTAMP) + (conv_id * 8 + turn) * INTERVAL '20' MINUTE AS created_at
 FROM {conversations}""",
     # five tables with daily partitions; the rows of two days moved to the day before
     "b_partitions": """

@@ -1 +1,198 @@
-"""."""
+"""Training data, features, models and their evaluation."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators.matching import logistic_score
+from ..operators.ordering import category_codes as add_codes
+from ..plans import learning
+from .core import START, cte, num, query, stamp
+from .gold_queries import profiles_of
+
+PERIOD = ("2024-01-01", "2024-01-28")
+cte(
+    "o_training",
+    """SELECT s.event_id, s.challenge_id, s.company_key, s.final_score, s.embedding_similarity, s.ml_score, s.created_at, g.industry, g.country, g.employee_count,
+       CASE WHEN s.created_at >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 14 DAY AND s.final_score > 0.7 THEN 1 ELSE 0 END AS contacted_within_14_days
+       FROM b_shortlists s JOIN o_companies g ON g.company_key = s.company_key WHERE s.created_at BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-01-28 00:00:00' AND s.final_score IS NOT NULL""",
+)
+
+
+def training_of(inp):
+    return learning.training_set(inp["b_shortlists"], profiles_of(inp), *PERIOD)
+
+
+@query(
+    "training_set",
+    f"""SELECT event_id, challenge_id, company_key, {num('final_score', 'embedding_similarity', 'ml_score')}, {stamp('created_at')}, industry, country, employee_count, contacted_within_14_days FROM o_training""",
+)
+def training_set(inp):
+    from ..session import work_path
+    from ..sources.readers import read_parquet
+
+    shown = ["event_id", "challenge_id", "company_key", "final_score", "embedding_similarity", "ml_score", "created_at", "industry", "country", "employee_count", "contacted_within_14_days"]
+    path = work_path(inp.spark, "training")
+    training_of(inp).select(*shown).write.mode("overwrite").option("compression", "snappy").parquet(path)
+    return read_parquet(inp.spark, path)
+
+
+@query(
+    "training_stats",
+    f"SELECT count(*) AS total_records, {num('avg(final_score) AS avg_final_score', 'avg(embedding_similarity) AS avg_embedding_similarity', 'avg(ml_score) AS avg_ml_score')}, CAST(sum(contacted_within_14_days) AS BIGINT) AS positive_cases FROM o_training",
+)
+def training_stats(inp):
+    return learning.training_stats(training_of(inp))
+
+
+LANGS = ("de", "en", "es", "fr")
+SOURCES = tuple(sorted(f"src{i}" for i in range(20)))
+
+
+@query(
+    "feature_matrix",
+    "SELECT doc_id, label, "
+    + num("n_chars", "embedding_similarity", "coalesce(employee_count, 0) AS employee_count", "industry_match", "geo_match", "0.0 AS name_similarity")
+    + ", "
+    + num(*[f"(industry = '{v}')::INT AS industry_{v}" for v in LANGS], *[f"(country = '{v}')::INT AS country_{v}" for v in SOURCES])
+    + " FROM b_training_docs",
+)
+def feature_matrix(inp):
+    return features_of(inp)[0]
+
+
+def features_of(inp):
+    docs = inp["b_training_docs"].withColumn(
+        "rule_features", F.create_map(F.lit("industry_match"), F.col("industry_match"), F.lit("geo_match"), F.col("geo_match"))
+    )
+    categories = {c: learning.category_values(docs, c) for c in ("industry", "country")}
+    return learning.feature_matrix(
+        docs,
+        ["n_chars", "embedding_similarity", "employee_count"],
+        categories,
+        mapped={"rule_features": ["industry_match", "geo_match", "name_similarity"]},
+        keep=["doc_id", "label"],
+    )
+
+
+@query(
+    "categorical_codes",
+    """SELECT doc_id, dense_rank() OVER (ORDER BY industry) - 1 AS industry_code, dense_rank() OVER (ORDER BY country) - 1 AS country_code FROM b_training_docs""",
+)
+def categorical_codes(inp):
+    coded = add_codes(add_codes(inp["b_training_docs"], "industry", "industry_code"), "country", "country_code")
+    return coded.select("doc_id", "industry_code", "country_code")
+
+
+@query("lr_train_eval")
+def lr_train_eval(inp):
+    """Metrics of a trained model and the model read back from its JSON file."""
+    from ..session import work_path
+    from ..sources.writers import write_document
+
+    rows, names = features_of(inp)
+    metrics, document = learning.train_and_evaluate(rows, names, "label", "doc_id")
+    path = work_path(inp.spark, "model")
+    write_document(learning.model_frame(inp.spark, document), path)
+    stored = inp.spark.read.json(path).select("model_json").scalar()
+    return metrics.withColumn("model_json", stored)
+
+
+@query("feature_importance")
+def feature_importance(inp):
+    rows, names = features_of(inp)
+    prepared = learning.with_balance(rows, "label")
+    model, _ = learning.fit_logistic(prepared, names, "label")
+    linear = learning.weights_frame(inp.spark, "logistic_regression", names, [float(c) for c in model.coefficients])
+    forest = learning.forest_importances(prepared, names, "label")
+    return learning.top_features(linear.unionByName(forest))
+
+
+SCORE_MODEL = {"coefficients": [2.0, 0.0004, -0.6], "intercept": -1.0, "feature_order": ["embedding_similarity", "n_chars", "industry_en"]}
+cte(
+    "o_doc_scores",
+    """SELECT doc_id, label, round(1 / (1 + exp(-(2.0 * embedding_similarity + 0.0004 * n_chars - 0.6 * CASE WHEN industry = 'en' THEN 1 ELSE 0 END - 1.0))), 3) AS score FROM b_training_docs""",
+)
+
+
+def doc_scores(inp):
+    docs = inp["b_training_docs"]
+    score = logistic_score(SCORE_MODEL, {c: F.col(c) for c in ("embedding_similarity", "n_chars")}, {"industry": F.col("industry")})
+    scored = docs.select("doc_id", "label", F.round(score, 3).alias("score"))
+    return scored.withColumn("prediction", (F.col("score") >= 0.5).cast("int"))
+
+
+@query("confusion_matrix", "SELECT label AS actual, (score >= 0.5)::INTEGER AS predicted, count(*) AS n FROM o_doc_scores GROUP BY 1, 2")
+def confusion_matrix(inp):
+    return learning.confusion_counts(doc_scores(inp), "label", "prediction")
+
+
+cte(
+    "o_confusion",
+    """SELECT count(*) FILTER (WHERE label = 0 AND score < 0.5)::DOUBLE AS tn, count(*) FILTER (WHERE label = 0 AND score >= 0.5)::DOUBLE AS fp,
+       count(*) FILTER (WHERE label = 1 AND score < 0.5)::DOUBLE AS fn, count(*) FILTER (WHERE label = 1 AND score >= 0.5)::DOUBLE AS tp, count(*) AS n FROM o_doc_scores""",
+)
+
+
+@query(
+    "classification_summary",
+    f"""SELECT {num('(tp + tn) / n AS accuracy', '((tn + fp) * p0 + (tp + fn) * p1) / n AS precision', '((tn + fp) * r0 + (tp + fn) * r1) / n AS recall',
+       '((tn + fp) * coalesce(2 * p0 * r0 / nullif(p0 + r0, 0), 0) + (tp + fn) * coalesce(2 * p1 * r1 / nullif(p1 + r1, 0), 0)) / n AS f1_score')}, n AS samples
+       FROM (SELECT *, coalesce(tn / nullif(tn + fn, 0), 0) AS p0, coalesce(tp / nullif(tp + fp, 0), 0) AS p1, coalesce(tn / nullif(tn + fp, 0), 0) AS r0, coalesce(tp / nullif(tp + fn, 0), 0) AS r1 FROM o_confusion)""",
+)
+def classification_summary(inp):
+    return learning.classification_summary(learning.confusion_counts(doc_scores(inp), "label", "prediction"))
+
+
+cte(
+    "o_points",
+    """SELECT score AS threshold, sum(sum(label)) OVER w AS tp, sum(sum(1 - label)) OVER w AS fp, sum(label) AS pos, sum(1 - label) AS neg, (SELECT sum(label) FROM o_doc_scores) AS p, (SELECT sum(1 - label) FROM o_doc_scores) AS n
+       FROM o_doc_scores GROUP BY score WINDOW w AS (ORDER BY score DESC)""",
+)
+
+
+@query("roc_curve", f"SELECT {num('threshold', 'fp / n AS fpr', 'tp / p AS tpr')} FROM o_points UNION ALL SELECT NULL, 0.0, 0.0")
+def roc_curve(inp):
+    return learning.roc_curve(doc_scores(inp), "label", "score")
+
+
+@query("pr_curve", f"SELECT {num('threshold', 'tp / (tp + fp) AS precision', 'tp / p AS recall')} FROM o_points UNION ALL SELECT NULL, 1.0, 0.0")
+def pr_curve(inp):
+    return learning.pr_curve(doc_scores(inp), "label", "score")
+
+
+@query("roc_auc", f"SELECT {num('sum(neg * (tp - pos / 2)) / (max(p) * max(n)) AS auc_score')} FROM o_points")
+def roc_auc(inp):
+    return learning.area_under_roc(doc_scores(inp), "label", "score")
+
+
+@query("model_latest", f"SELECT model_type, model_version, {num('auc_score', 'pr_auc_score')}, training_date FROM b_model_versions WHERE training_date >= '2024-01-01'")
+def model_latest(inp):
+    return learning.model_latest(inp["b_model_versions"], START).select("model_type", "model_version", "auc_score", "pr_auc_score", "training_date")
+
+
+@query("model_comparison", f"SELECT model_type, {num('avg(auc_score) AS avg_auc', 'avg(pr_auc_score) AS avg_pr_auc')}, count(*) AS model_count FROM b_model_versions WHERE training_date >= '2024-01-01' GROUP BY model_type")
+def model_comparison(inp):
+    return learning.model_comparison(inp["b_model_versions"], START)
+
+
+@query(
+    "model_promotion",
+    f"""SELECT model_id, model_type, {num('round(auc_gain, 9) AS auc_gain', 'round(accuracy_gain, 9) AS accuracy_gain')}, training_samples >= 100 AS enough_samples, (first_model OR round(auc_gain, 9) > 0.01 OR round(accuracy_gain, 9) > 0.01) AS improvement,
+       CASE WHEN auc_score > 0.8 THEN 'high' WHEN auc_score > 0.6 THEN 'medium' ELSE 'low' END AS performance_level
+       FROM (SELECT *, lag(auc_score) OVER w IS NULL AS first_model, coalesce(auc_score - lag(auc_score) OVER w, 0) AS auc_gain, coalesce(accuracy - lag(accuracy) OVER w, 0) AS accuracy_gain
+             FROM b_model_versions WINDOW w AS (PARTITION BY model_type ORDER BY training_date, model_id))""",
+)
+def model_promotion(inp):
+    shown = ["model_id", "model_type", "auc_gain", "accuracy_gain", "enough_samples", "improvement", "performance_level"]
+    return learning.model_promotion(inp["b_model_versions"]).select(*shown)
+
+
+@query("text_vectors")
+def text_vectors(inp):
+    """Vector length and norm per document (the hash function is Spark's own)."""
+    rows = learning.text_vectors(inp["documents"], "text", "doc_id")
+    norm = F.sqrt(F.aggregate("embedding_vector", F.lit(0.0), lambda a, x: a + x * x))
+    return rows.select("doc_id", F.size("embedding_vector").alias("dimensions"), F.round(norm, 4).alias("norm"))
+
+
