@@ -154,11 +154,10 @@ def bare_domain(url: Column | str) -> Column:
 
 def word_count(c: Column | str) -> Column:
     """Pieces between white space once non-letters are blanked; 0 for null."""
-    letters = F.regexp_replace(col_of(c), r"[^a-zA-Z\s]", " ")
-    return F.coalesce(F.size(F.split(letters, r"\s+")), F.lit(0))
+    gaps = F.regexp_count(col_of(c), F.lit("[^a-zA-Z]+"))
+    return F.coalesce(gaps + 1, F.lit(0))
 
 
 def token_count(c: Column | str) -> Column:
-    """Whitespace-separated tokens of the trimmed text."""
-    text = F.trim(F.regexp_replace(col_of(c), r"\s+", " "))
-    return F.when(text == "", F.lit(0)).otherwise(F.size(F.split(text, " ")))
+    """Whitespace-separated tokens."""
+    return F.regexp_count(col_of(c), F.lit(r"\S+"))

@@ -68,7 +68,7 @@ def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
 
 
 def write_keyed(rows: DataFrame, path: str, key: str, buckets: int) -> None:
-    """Store a keyed table partitioned by key hash."""
+    """Store a keyed table partitioned by key hash; no rows make an empty table."""
     out = bucketed(rows, key, buckets)
     out.repartition(buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
 
@@ -84,7 +84,7 @@ def merge_into_keyed(
     spark = updates.sparkSession
     fresh = bucketed(updates, key, buckets)
     touched = fresh.select("bucket").distinct()  # at most ``buckets`` rows
-    stored = spark.read.parquet(path)
+    stored = spark.read.schema(fresh.schema).parquet(path)
     old = stored.join(F.broadcast(touched), "bucket", "left_semi")
     merged = cut_lineage(upsert_latest(old.drop("bucket"), fresh.drop("bucket"), key, updated_at, tie_breaker))
     (

@@ -39,12 +39,15 @@ def running_totals(
     sums: Mapping[str, Column] | None = None,
     partition_by: Sequence[str] = (),
     chunks: int | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """Add the 1-based ``position`` and inclusive running ``sums``.
 
-    Keep ``df`` narrow: it is range-partitioned and checkpointed once, so that
-    the chunk number stays the same when a lost task is recomputed.  The chunk
-    table has at most ``chunks`` rows per group.
+    Keep ``df`` narrow.  It is checkpointed before the range partitioning, whose
+    sampling pass would otherwise compute the input twice (``stored=True`` says
+    it is on disk already), and after it, so that the chunk number stays the
+    same when a lost task is recomputed.  The chunk table has at most ``chunks``
+    rows per group.
     """
     sums = dict(sums or {})
     groups = list(partition_by)
@@ -52,11 +55,9 @@ def running_totals(
     n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     lead = [F.col(g).asc_nulls_first() for g in groups]
     values = {f"_v_{name}": c for name, c in sums.items()}
-    staged = cut_lineage(
-        df.withColumns(values)
-        .repartitionByRange(n, *lead, *order_by)
-        .withColumn("_chunk", F.spark_partition_id())
-    )
+    source = df.withColumns(values) if stored else cut_lineage(df.withColumns(values))
+    chunked = source.repartitionByRange(n, *lead, *order_by)
+    staged = cut_lineage(chunked.withColumn("_chunk", F.spark_partition_id()))
     totals = staged.groupBy("_chunk", *groups).agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(v).alias(f"_t{v}") for v in values]
     )
@@ -90,11 +91,11 @@ def running_totals(
 
 
 def full_rank(
-    df: DataFrame, key: str, order_by: Sequence[Column], rank: str, partition_by: Sequence[str] = (), using: Sequence[str] = ()
+    df: DataFrame, key: str, order_by: Sequence[Column], rank: str, partition_by: Sequence[str] = (), using: Sequence[str] = (), stored: bool = False
 ) -> DataFrame:
     """``key`` and its exact row number inside the group, computed on narrow rows."""
     narrow = df.select(*dict.fromkeys([key, *partition_by, *using]))
-    return running_totals(narrow, order_by, rank, partition_by=partition_by).select(key, rank)
+    return running_totals(narrow, order_by, rank, partition_by=partition_by, stored=stored).select(key, rank)
 
 
 def percent_rank(df: DataFrame, value: str, out: str) -> DataFrame:

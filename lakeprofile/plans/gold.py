@@ -20,6 +20,7 @@ from ..functions.scoring import (
 from ..functions.text import bare_domain
 from ..operators.aggregates import array_unions, count_where
 from ..operators.ordering import full_rank, keep_first, percent_rank
+from ..session import cut_lineage
 from .silver import SOCIAL, run_time
 
 # Seniority buckets of the contact mix.
@@ -427,17 +428,15 @@ SENIOR_RANKS = ("C-Level", "VP", "Director")
 def contact_rollup(contacts: DataFrame) -> DataFrame:
     """Contact totals and the distinct titles and departments per organization."""
     known = contacts.where(F.col("organization_id").isNotNull())
-    totals = known.groupBy("organization_id").agg(
-        F.count(F.lit(1)).alias("total_contacts"),
-        F.count(F.when(F.col("seniority").isin(*SENIOR_RANKS), 1)).alias("senior_contacts"),
+    # equal people first: one scan, and a hot organization shrinks before it meets
+    kinds = known.groupBy("organization_id", "title", "department", "seniority").agg(F.count(F.lit(1)).alias("_n"))
+    senior = F.when(F.col("seniority").isin(*SENIOR_RANKS), F.col("_n")).otherwise(F.lit(0))
+    return kinds.groupBy("organization_id").agg(
+        F.sum("_n").alias("total_contacts"),
+        F.sum(senior).alias("senior_contacts"),
+        F.sort_array(F.collect_set("title")).alias("contact_titles"),
+        F.sort_array(F.collect_set("department")).alias("contact_departments"),
     )
-    lists = array_unions(
-        known.select("organization_id", F.array("title").alias("contact_titles"), F.array("department").alias("contact_departments")),
-        "organization_id",
-        ["contact_titles", "contact_departments"],
-    )
-    both = totals.join(lists, "organization_id", "left")
-    return both.withColumns({c: F.coalesce(c, no_strings()) for c in ("contact_titles", "contact_departments")})
 
 
 def profile_text_compact() -> Column:
@@ -487,10 +486,11 @@ def safe_ratio(part: Column, whole: Column) -> Column:
 def company_analytics(profiles: DataFrame) -> DataFrame:
     """Industry ranks, health percentile, contact ratios and keyword flags."""
     base = profiles.where(F.col("company_id").isNotNull())
+    facts = cut_lineage(base.select("company_id", "industry", "annual_revenue", "employee_count", "domain_health_score"))
 
     def ranked(by: str, out: str) -> DataFrame:
         order = [F.col(by).desc_nulls_last(), F.col("company_id").asc()]
-        return full_rank(base, "company_id", order, out, partition_by=["industry"], using=[by])
+        return full_rank(facts, "company_id", order, out, partition_by=["industry"], using=[by], stored=True)
 
     tech = F.coalesce("technologies", F.lit(""))
 
@@ -501,7 +501,10 @@ def company_analytics(profiles: DataFrame) -> DataFrame:
         return hit.cast("int")
 
     with_ranks = (
-        percent_rank(base, "domain_health_score", "health_score_percentile")
+        base.join(
+            percent_rank(facts, "domain_health_score", "health_score_percentile").select("company_id", "health_score_percentile"),
+            "company_id",
+        )
         .join(ranked("annual_revenue", "industry_revenue_rank"), "company_id")
         .join(ranked("employee_count", "industry_employee_rank"), "company_id")
     )

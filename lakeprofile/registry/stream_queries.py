@@ -1 +1,64 @@
-"""."""
+"""Streaming forms: the given tables arrive as files, the results match batch."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators.incremental import write_keyed
+from ..session import work_path
+from ..streaming import streams
+from .core import num, query, stamp
+
+
+def arriving(inp, name: str, files: int = 2):
+    """The binding stored as several files, read back as a file stream."""
+    rows = inp[name]
+    path = work_path(inp.spark, f"in_{name}")
+    rows.repartition(files, rows.columns[0]).write.parquet(path)
+    stored = inp.spark.read.parquet(path)
+    return streams.file_stream(inp.spark, path, stored.schema, files_per_batch=1)
+
+
+@query("stream_delta", "SELECT event_id, company_key, profile_text_hash FROM b_updates WHERE profile_text <> '' AND profile_text_hash IS NOT NULL AND profile_text_hash <> ''")
+def stream_delta(inp):
+    out, checkpoint = work_path(inp.spark, "out"), work_path(inp.spark, "progress")
+    streams.stream_delta(arriving(inp, "b_updates"), ["profile_text", "profile_text_hash"], out, checkpoint)
+    return inp.spark.read.parquet(out).select("event_id", "company_key", "profile_text_hash")
+
+
+@query("stream_watermark", f"SELECT {stamp('max(updated_at) AS watermark')} FROM b_updates")
+def stream_watermark(inp):
+    out, checkpoint = work_path(inp.spark, "marks"), work_path(inp.spark, "progress")
+    streams.stream_watermark(arriving(inp, "b_updates"), "updated_at", out, checkpoint)
+    return inp.spark.read.parquet(out).agg(F.max("watermark").alias("watermark"))
+
+
+@query("stream_changed", "SELECT p.company_key, p.profile_text_hash FROM b_profiles p LEFT JOIN b_embedded e ON e.company_key = p.company_key WHERE p.profile_text_hash IS DISTINCT FROM e.embedded_hash")
+def stream_changed(inp):
+    out, checkpoint = work_path(inp.spark, "changed"), work_path(inp.spark, "progress")
+    stream = arriving(inp, "b_profiles")
+    streams.stream_changed(stream, inp["b_embedded"], "company_key", "profile_text_hash", "embedded_hash", out, checkpoint)
+    return inp.spark.read.parquet(out).select("company_key", "profile_text_hash")
+
+
+@query(
+    "stream_upsert",
+    f"""SELECT company_key, status, {num('score')}, {stamp('updated_at')} FROM (SELECT *, row_number() OVER (PARTITION BY company_key ORDER BY updated_at DESC, event_id DESC) AS rn FROM b_updates) WHERE rn = 1""",
+)
+def stream_upsert(inp):
+    table, checkpoint = work_path(inp.spark, "keyed"), work_path(inp.spark, "progress")
+    write_keyed(inp["b_updates"].limit(0), table, "company_key", 4)
+    streams.stream_upsert(arriving(inp, "b_updates"), table, checkpoint, "company_key", "updated_at", 4, ["event_id"])
+    return inp.spark.read.parquet(table).select("company_key", "status", "score", "updated_at")
+
+
+@query(
+    "stream_quota_windows",
+    """SELECT '1 minute' AS width, strftime(time_bucket(INTERVAL '1 minute', called_at, TIMESTAMP '1970-01-01'), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS calls, 50 AS quota, count(*) > 50 AS over_limit
+       FROM b_api_calls GROUP BY 2""",
+)
+def stream_quota_windows(inp):
+    """Files hold interleaved times, so the allowed lateness spans the log."""
+    out, checkpoint = work_path(inp.spark, "quota"), work_path(inp.spark, "progress")
+    streams.stream_quota(arriving(inp, "b_api_calls"), "called_at", out, checkpoint, lateness="60 days")
+    return streams.latest_windows(inp.spark, out)

@@ -38,7 +38,10 @@ def write_json(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "ap
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True, quote='"', escape="\\")
+    """CSV with a header line; blanks around values are kept."""
+    df.write.mode("overwrite").csv(
+        path, header=True, quote='"', escape="\\", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
 
 
 def write_document(df: DataFrame, path: str) -> None:
