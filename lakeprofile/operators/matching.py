@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from functools import reduce
 from math import ceil
 from operator import add
@@ -84,6 +84,83 @@ def _substring_matrix(wanted: pd.Series, offered: pd.Series) -> np.ndarray:
     return table[label_of][:, text_of]
 
 
+SCORED = (
+    "challenge_id string, company_key string, company_name string, industry string, country string, "
+    "q_name string, embedding_similarity double, industry_match double, geo_match double, "
+    "ml_score double, final_score double"
+)
+
+
+def _no_scores() -> pd.DataFrame:
+    return pd.DataFrame(columns=[f.split(" ")[0] for f in SCORED.split(", ")])
+
+
+def _score_cell(asked: pd.DataFrame, offered: pd.DataFrame, weights: tuple[float, ...], k: int) -> pd.DataFrame:
+    """Best ``k`` offered rows per asked row: one matrix product."""
+    w_sim, w_ind, w_geo, intercept = weights
+    q, c = _unit_rows(asked["q_vector"]), _unit_rows(offered["vector"])
+    sim = q @ c.T if q.shape[1] == c.shape[1] else np.zeros((len(q), len(c)))
+    ind = _substring_matrix(asked["q_industry"], offered["industry"])
+    geo = _substring_matrix(asked["q_country"], offered["country"])
+    ml = 1.0 / (1.0 + np.exp(-(w_sim * sim + w_ind * ind + w_geo * geo + intercept)))
+    final = SIMILARITY_WEIGHT * sim + MODEL_WEIGHT * ml
+    alphabetical = np.argsort(np.argsort(offered["company_key"].to_numpy(dtype=str), kind="stable"))
+    best = np.lexsort((np.broadcast_to(alphabetical, final.shape), -final), axis=-1)[:, :k]
+    row = np.repeat(np.arange(len(asked)), best.shape[1])
+    col = best.ravel()
+    out = offered.iloc[col][["company_key", "company_name", "industry", "country"]].reset_index(drop=True)
+    out.insert(0, "challenge_id", asked["challenge_id"].to_numpy()[row])
+    out["q_name"] = asked["q_name"].to_numpy()[row]
+    scores = (sim, ind, geo, ml, final)
+    names = ("embedding_similarity", "industry_match", "geo_match", "ml_score", "final_score")
+    for column, values in zip(names, scores, strict=True):
+        out[column] = values[row, col]
+    return out
+
+
+def _merge_best(parts: list[pd.DataFrame], k: int) -> pd.DataFrame:
+    rows = pd.concat(parts, ignore_index=True)
+    rows = rows.sort_values(["challenge_id", "final_score", "company_key"], ascending=[True, False, True])
+    return rows.groupby("challenge_id", sort=False).head(k)
+
+
+def _match_in_place(asked: DataFrame, offered: DataFrame, weights: tuple[float, ...], k: int) -> DataFrame:
+    """Few challenges: they travel to the candidates, which are not shuffled.
+
+    Each task keeps its running winners and leaves ``k`` rows per challenge.
+    """
+    few = asked.toPandas()  # at most ``cell_challenges`` rows, counted before
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best: pd.DataFrame | None = None
+        for batch in batches:
+            if len(batch) and len(few):
+                found = _score_cell(few, batch, weights, k)
+                best = found if best is None else _merge_best([best, found], k)
+        yield _no_scores() if best is None else best
+
+    return offered.mapInPandas(score, SCORED)
+
+
+def _match_on_grid(
+    asked: DataFrame, offered: DataFrame, weights: tuple[float, ...], k: int, slices: int, blocks: int
+) -> DataFrame:
+    """Many challenges: both sides are cut into hashed slices of bounded size.
+
+    A grid cell holds one slice of either side and leaves ``k`` rows per
+    challenge.
+    """
+    block = F.pmod(F.xxhash64("challenge_id"), F.lit(blocks)).cast("int")
+    piece = F.pmod(F.xxhash64("company_key"), F.lit(slices)).cast("int")
+    left = asked.withColumn("block", block).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    right = offered.withColumn("slice", piece).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+
+    def score(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        return _score_cell(q, c, weights, k) if len(q) and len(c) else _no_scores()
+
+    return left.groupBy("block", "slice").cogroup(right.groupBy("block", "slice")).applyInPandas(score, SCORED)
+
+
 def match_topk(
     challenges: DataFrame,
     candidates: DataFrame,
@@ -94,84 +171,35 @@ def match_topk(
 ) -> DataFrame:
     """Best ``k`` candidates for every challenge, over all candidates.
 
-    Both sides are cut into hashed slices of bounded size.  Each grid cell (one
-    slice of either side) is one matrix product and leaves at most ``k`` rows per
-    challenge; the exact winners are picked from those.  A single slice of
-    challenges, the usual case, means every candidate is shuffled once.
+    Up to ``cell_challenges`` challenges are shipped to the candidates; a longer
+    list is matched on a grid of bounded cells.  Both ways score every
+    candidate, and the exact winners are picked from the partial ones.
     """
-    weights = dict(zip(model["feature_order"], model["coefficients"], strict=True))
-    w_sim, w_ind, w_geo = (
-        float(weights.get(f, 0.0)) for f in ("embedding_similarity", "industry_match", "geo_match")
-    )
-    intercept = float(model["intercept"])
-    slices = max(1, ceil(candidates.count() / cell_candidates))
-    blocks = max(1, ceil(challenges.count() / cell_challenges))
-
+    by_name = dict(zip(model["feature_order"], model["coefficients"], strict=True))
+    features = ("embedding_similarity", "industry_match", "geo_match")
+    weights = (*[float(by_name.get(f, 0.0)) for f in features], float(model["intercept"]))
     asked = challenges.select(
-        "challenge_id",
+        F.col("challenge_id").cast("string").alias("challenge_id"),
         F.col("vector").cast("array<double>").alias("q_vector"),
         keyword_lookup("text", INDUSTRY_KEYWORDS).alias("q_industry"),
         keyword_lookup("text", COUNTRY_KEYWORDS).alias("q_country"),
         name_guess("text").alias("q_name"),
     )
-    left = asked.withColumn(
-        "block", F.pmod(F.xxhash64("challenge_id"), F.lit(blocks)).cast("int")
-    ).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    right = (
-        candidates.where(F.size("embedding_vector") > 0)
-        .select("company_key", "company_name", "industry", "country", F.col("embedding_vector").cast("array<double>").alias("vector"))
-        .withColumn("slice", F.pmod(F.xxhash64("company_key"), F.lit(slices)).cast("int"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    )
-
-    def score_cell(asked_pdf: pd.DataFrame, offered: pd.DataFrame) -> pd.DataFrame:
-        frames = []
-        if len(asked_pdf) and len(offered):
-            q, c = _unit_rows(asked_pdf["q_vector"]), _unit_rows(offered["vector"])
-            same_width = q.shape[1] == c.shape[1]
-            sim = q @ c.T if same_width else np.zeros((len(q), len(c)))
-            ind = _substring_matrix(asked_pdf["q_industry"], offered["industry"])
-            geo = _substring_matrix(asked_pdf["q_country"], offered["country"])
-            ml = 1.0 / (1.0 + np.exp(-(w_sim * sim + w_ind * ind + w_geo * geo + intercept)))
-            final = SIMILARITY_WEIGHT * sim + MODEL_WEIGHT * ml
-            keys = offered["company_key"].to_numpy(dtype=str)
-            for i, (cid, name) in enumerate(zip(asked_pdf["challenge_id"], asked_pdf["q_name"], strict=True)):
-                best = np.lexsort((keys, -final[i]))[:k]
-                part = offered.iloc[best][["company_key", "company_name", "industry", "country"]].copy()
-                part.insert(0, "challenge_id", cid)
-                part["q_name"] = name
-                part["embedding_similarity"] = sim[i, best]
-                part["industry_match"] = ind[i, best]
-                part["geo_match"] = geo[i, best]
-                part["ml_score"] = ml[i, best]
-                part["final_score"] = final[i, best]
-                frames.append(part)
-        if frames:
-            return pd.concat(frames, ignore_index=True)
-        return pd.DataFrame(columns=[f.split(" ")[0] for f in cell_schema.split(", ")])
-
-    cell_schema = (
-        "challenge_id string, company_key string, company_name string, industry string, country string, "
-        "q_name string, embedding_similarity double, industry_match double, geo_match double, "
-        "ml_score double, final_score double"
-    )
-    per_cell = (
-        left.groupBy("block", "slice").cogroup(right.groupBy("block", "slice")).applyInPandas(score_cell, cell_schema)
-    )
-    best = top_n(
-        per_cell, ["challenge_id"], [F.col("final_score").desc(), F.col("company_key").asc()], k, rank="rank"
+    offered = candidates.where(F.size("embedding_vector") > 0).select(
+        "company_key", "company_name", "industry", "country", F.col("embedding_vector").cast("array<double>").alias("vector")
     )
-    similarity = F.when(
-        (F.col("q_name") != "") & (F.col("company_name") != ""),
-        word_jaccard(F.col("q_name"), F.lower("company_name")),
-    ).otherwise(F.lit(0.0))
-    scored = best.withColumn("name_similarity", similarity)
-    return scored.withColumn(
-        "reason",
-        match_reason(
-            F.col("embedding_similarity"), F.col("industry_match"), F.col("geo_match"), F.col("name_similarity"), F.col("ml_score")
-        ),
-    ).drop("q_name")
+    n = challenges.count()
+    if n <= cell_challenges:
+        partial = _match_in_place(asked, offered, weights, k)
+    else:
+        slices = max(1, ceil(candidates.count() / cell_candidates))
+        partial = _match_on_grid(asked, offered, weights, k, slices, ceil(n / cell_challenges))
+    order = [F.col("final_score").desc(), F.col("company_key").asc()]
+    best = top_n(partial, ["challenge_id"], order, k, rank="rank")
+    named = (F.col("q_name") != "") & (F.col("company_name") != "")
+    similarity = F.when(named, word_jaccard(F.col("q_name"), F.lower("company_name"))).otherwise(F.lit(0.0))
+    scores = [F.col(c) for c in ("embedding_similarity", "industry_match", "geo_match", "name_similarity", "ml_score")]
+    return best.withColumn("name_similarity", similarity).withColumn("reason", match_reason(*scores)).drop("q_name")
 
 
 def logistic_score(model: Mapping, features: Mapping[str, Column], categories: Mapping[str, Column] | None = None) -> Column:
