@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from math import ceil
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
@@ -32,6 +33,17 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -
     return top_n(df, keys, order_by, 1)
 
 
+# Rows per chunk: enough to be worth a task, few enough to sort in memory.
+SMALL_CHUNK, LARGE_CHUNK = 1_000, 2_000_000
+
+
+def chunk_count(stored: DataFrame) -> int:
+    """Chunks for a frame that is on disk already, so counting it is cheap."""
+    rows = stored.count()
+    usual = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(usual, ceil(rows / SMALL_CHUNK)), ceil(rows / LARGE_CHUNK))
+
+
 def running_totals(
     df: DataFrame,
     order_by: Sequence[Column],
@@ -51,11 +63,10 @@ def running_totals(
     """
     sums = dict(sums or {})
     groups = list(partition_by)
-    spark = df.sparkSession
-    n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     lead = [F.col(g).asc_nulls_first() for g in groups]
     values = {f"_v_{name}": c for name, c in sums.items()}
     source = df.withColumns(values) if stored else cut_lineage(df.withColumns(values))
+    n = chunks or chunk_count(source)
     chunked = source.repartitionByRange(n, *lead, *order_by)
     staged = cut_lineage(chunked.withColumn("_chunk", F.spark_partition_id()))
     totals = staged.groupBy("_chunk", *groups).agg(

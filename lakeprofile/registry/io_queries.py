@@ -112,7 +112,7 @@ def scan_manifest(inp):
 def sink_dt_roundtrip(inp):
     rows = inp["b_shortlists"].select("event_id", "challenge_id", "final_score", "ml_score", "created_at", "dt")
     path = work_path(inp.spark, "by_day")
-    writers.write_by_day(rows, path, per_partition=2)
+    writers.write_by_day(rows, path, rebalance=True)
     return readers.read_parquet(inp.spark, path, rows.schema)
 
 

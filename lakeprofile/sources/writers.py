@@ -8,16 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite", per_partition: int | None = None) -> None:
+def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite", rebalance: bool = False) -> None:
     """Snappy Parquet partitioned by ``by``.
 
     By default every task writes the folders of its own rows, without a shuffle.
-    ``per_partition`` shuffles to that many files per folder instead; the hash
-    covers the whole row, so a day that holds most rows is still spread evenly.
+    ``rebalance`` first gathers the rows of a folder into few files; AQE then
+    splits a folder that holds most of the data over several tasks.
     """
-    if per_partition is not None:
-        slot = F.pmod(F.xxhash64(*df.columns), F.lit(per_partition))
-        df = df.repartition(*[F.col(b) for b in by], slot)
+    if rebalance:
+        df = df.hint("rebalance", *[F.col(b) for b in by])
     (
         df.write.mode(mode)
         .option("compression", "snappy")
@@ -27,8 +26,8 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "
     )
 
 
-def write_by_day(df: DataFrame, path: str, mode: str = "overwrite", per_partition: int | None = None) -> None:
-    write_partitioned(df, path, ["dt"], mode, per_partition)
+def write_by_day(df: DataFrame, path: str, mode: str = "overwrite", rebalance: bool = False) -> None:
+    write_partitioned(df, path, ["dt"], mode, rebalance)
 
 
 def write_json(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "append") -> None:
