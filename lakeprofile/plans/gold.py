@@ -483,14 +483,23 @@ def safe_ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, F.coalesce(part, F.lit(0)).cast("double") / whole.cast("double")).otherwise(F.lit(0.0))
 
 
+ANALYTICS_INPUTS = (
+    "company_id", "company_name", "industry", "company_size_category", "revenue_stage", "company_age_years", "domain_health_score",
+    "total_contacts", "senior_contacts", "pages_crawled", "employee_count", "annual_revenue", "web_content_hash", "technologies",
+)
+
+
 def company_analytics(profiles: DataFrame) -> DataFrame:
-    """Industry ranks, health percentile, contact ratios and keyword flags."""
-    base = profiles.where(F.col("company_id").isNotNull())
-    facts = cut_lineage(base.select("company_id", "industry", "annual_revenue", "employee_count", "domain_health_score"))
+    """Industry ranks, health percentile, contact ratios and keyword flags.
+
+    The used columns are stored once; both rankings and the percentile work
+    on narrow selections of them and join back by company.
+    """
+    base = cut_lineage(profiles.where(F.col("company_id").isNotNull()).select(*ANALYTICS_INPUTS))
 
     def ranked(by: str, out: str) -> DataFrame:
         order = [F.col(by).desc_nulls_last(), F.col("company_id").asc()]
-        return full_rank(facts, "company_id", order, out, partition_by=["industry"], using=[by], stored=True)
+        return full_rank(base, "company_id", order, out, partition_by=["industry"], using=[by], stored=True)
 
     tech = F.coalesce("technologies", F.lit(""))
 
@@ -502,7 +511,7 @@ def company_analytics(profiles: DataFrame) -> DataFrame:
 
     with_ranks = (
         base.join(
-            percent_rank(facts, "domain_health_score", "health_score_percentile").select("company_id", "health_score_percentile"),
+            percent_rank(base.select("company_id", "domain_health_score"), "domain_health_score", "health_score_percentile").drop("domain_health_score"),
             "company_id",
         )
         .join(ranked("annual_revenue", "industry_revenue_rank"), "company_id")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators.calendar import missing_partitions as find_missing
 from ..plans import ledger, match_metrics, monitors, quality
-from .core import AS_OF, START, cte, num, query, stamp
+from .core import AS_OF, START, cte, num, query, shared, stamp
 from .gold_queries import profiles_of
 from .silver_queries import companies_of, contacts_of, health_of, web_of
 
@@ -73,6 +73,7 @@ cte(
 )
 
 
+@shared
 def checks_of(inp):
     return {
         "silver_companies": quality.check_companies(companies_of(inp), AS_OF),
@@ -243,10 +244,12 @@ cte(
 DAY_MEANS = ("avg_ams_challenge", "avg_embedding_similarity", "avg_ml_score")
 
 
+@shared
 def challenge_metrics_of(inp):
     return match_metrics.challenge_metrics(inp["b_shortlists"])
 
 
+@shared
 def overall_of(inp):
     return match_metrics.overall_metrics(challenge_metrics_of(inp))
 
@@ -334,6 +337,7 @@ cte(
 )
 
 
+@shared
 def calls_of(inp):
     """Model calls with tokens, cost in thousandths of the price, and day."""
     calls = inp["b_llm_calls"]
@@ -399,6 +403,7 @@ def summary_pivot(inp):
 cte("o_cache", "SELECT company_key, task_type, content_hash, created_at, created_at + INTERVAL 7 DAY AS expires_at, seq FROM b_llm_calls WHERE was_cached")
 
 
+@shared
 def cache_of(inp):
     calls = inp["b_llm_calls"].where("was_cached")
     return calls.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Callable
 
@@ -43,6 +44,19 @@ class Inputs:
         return self[name].select(F.to_json(F.struct("*")).alias("raw_json"))
 
 
+def shared(build: Query) -> Query:
+    """Build an intermediate frame once per set of inputs (a plan, not data)."""
+
+    @functools.wraps(build)
+    def once(inp: Inputs) -> DataFrame:
+        name = f"{build.__module__}.{build.__name__}"
+        if name not in inp._seen:
+            inp._seen[name] = build(inp)
+        return inp._seen[name]
+
+    return once
+
+
 def with_ctes(sql: str, library: dict[str, str]) -> str:
     """Prefix the CTEs a query text refers to, dependencies first."""
     order: list[str] = []

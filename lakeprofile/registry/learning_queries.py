@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators.matching import logistic_score
 from ..operators.ordering import category_codes as add_codes
 from ..plans import learning
-from .core import START, cte, num, query, stamp
+from .core import START, cte, num, query, shared, stamp
 from .gold_queries import profiles_of
 
 PERIOD = ("2024-01-01", "2024-01-28")
@@ -19,6 +19,7 @@ cte(
 )
 
 
+@shared
 def training_of(inp):
     return learning.training_set(inp["b_shortlists"], profiles_of(inp), *PERIOD)
 
@@ -61,6 +62,7 @@ def feature_matrix(inp):
     return features_of(inp)[0]
 
 
+@shared
 def features_of(inp):
     docs = inp["b_training_docs"].withColumn(
         "rule_features", F.create_map(F.lit("industry_match"), F.col("industry_match"), F.lit("geo_match"), F.col("geo_match"))
@@ -115,6 +117,7 @@ cte(
 )
 
 
+@shared
 def doc_scores(inp):
     docs = inp["b_training_docs"]
     score = logistic_score(SCORE_MODEL, {c: F.col(c) for c in ("embedding_similarity", "n_chars")}, {"industry": F.col("industry")})

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import dedup
 from ..plans import quality, second_gen, silver
-from .core import AS_OF, cte, filled, given, joined, num, points, query, share, stamp
+from .core import AS_OF, cte, filled, given, joined, num, points, query, share, shared, stamp
 from .row_queries import (
     DECIDER_SQL,
     HEALTH_FLAG_SQL,
@@ -65,6 +65,7 @@ def union_sources(inp):
     )
 
 
+@shared
 def merged_sources(inp):
     return dedup.union_sources(*[silver.normalize_companies(s) for s in source_rows(inp)])
 
@@ -117,6 +118,7 @@ def silver_companies(inp):
     return companies_of(inp).select(*shown)
 
 
+@shared
 def companies_of(inp):
     return silver.silver_companies(source_rows(inp), AS_OF)
 
@@ -185,6 +187,7 @@ def silver_contacts(inp):
     return contacts_of(inp).select(*shown)
 
 
+@shared
 def contacts_of(inp):
     return silver.silver_contacts(inp.raw_json("b_contacts"), AS_OF)
 
@@ -220,6 +223,7 @@ def silver_domain_health(inp):
     return health_of(inp).select(*shown)
 
 
+@shared
 def health_of(inp):
     return silver.silver_domain_health(inp["b_probes"], AS_OF)
 
@@ -229,6 +233,7 @@ def distinct_domains(inp):
     return silver.company_domains(merged_sources(inp))
 
 
+@shared
 def page_raw(inp):
     """Page records packed as the crawler delivers them, nested parts included."""
     nested = inp["b_page_record"].select(
@@ -283,6 +288,7 @@ def silver_web_extracts(inp):
     return web_of(inp).select(*shown)
 
 
+@shared
 def web_of(inp):
     return silver.silver_web_extracts(page_raw(inp), AS_OF)
 
@@ -312,6 +318,7 @@ def silver_b(inp):
     return quality.union_all(parts)
 
 
+@shared
 def gen_crawl_raw(inp):
     """Crawl payloads with metadata and extracted parts."""
     rows = inp["b_gen_crawls"].select(
@@ -337,9 +344,11 @@ def web_extracts_b(inp):
     return gen_web_of(inp).select(*shown)
 
 
+@shared
 def gen_companies_of(inp):
     return second_gen.payload_table(gen_raw(inp, "b_gen_companies"), second_gen.COMPANY_PAYLOAD)
 
 
+@shared
 def gen_web_of(inp):
     return second_gen.web_extracts(gen_crawl_raw(inp), gen_companies_of(inp))
