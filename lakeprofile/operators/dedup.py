@@ -85,25 +85,21 @@ def near_name_groups(df: DataFrame, key: str, name: str) -> DataFrame:
     labels = names.select(
         "_name", "_min", F.explode(F.array_distinct(F.concat(swaps, drops, whole))).alias("_l")
     ).select("_name", "_min", "_l.kind", "_l.label")
-    # a label is looked up by names of the partner kind
+    grouped = labels.withColumn("family", F.when(F.col("kind") == "swap", F.lit("swap")).otherwise(F.lit("gap")))
+    # most labels have one holder and can tell nothing; the rest are few
     best = (
-        labels.withColumn("group", F.when(F.col("kind") == "swap", F.lit("swap")).otherwise(F.lit("gap")))
-        .groupBy("group", "label")
+        grouped.groupBy("family", "label")
         .agg(
+            F.count(F.lit(1)).alias("_holders"),
             F.min(F.when(F.col("kind") != "drop", F.col("_min"))).alias("of_whole"),
-            F.min(F.when(F.col("kind") != "whole", F.col("_min"))).alias("of_other"),
+            F.min(F.when(F.col("kind") == "drop", F.col("_min"))).alias("of_drop"),
         )
-    )
-    asked = labels.withColumn(
-        "group", F.when(F.col("kind") == "swap", F.lit("swap")).otherwise(F.lit("gap"))
+        .where(F.col("_holders") > 1)
     )
     # swap: any holder of the label; whole asks for removals; drop asks for wholes
-    answer = F.when(F.col("kind") == "whole", F.least("of_whole", "of_other")).otherwise(F.col("of_whole"))
-    per_name = (
-        asked.join(best, ["group", "label"])
-        .groupBy("_name")
-        .agg(F.min(answer).alias("name_group"))
-    )
+    answer = F.when(F.col("kind") == "whole", F.col("of_drop")).otherwise(F.col("of_whole"))
+    nearest = grouped.join(best, ["family", "label"]).groupBy("_name").agg(F.min(answer).alias("_near"))
+    per_name = names.join(nearest, "_name", "left").select("_name", F.least("_min", "_near").alias("name_group"))
     return df.join(per_name, key_text(name) == F.col("_name"), "left").drop("_name")
 
 
