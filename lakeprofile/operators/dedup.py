@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import key_text
+from .joins import lookup_join
 from .ordering import keep_first
 
 
@@ -30,20 +31,20 @@ def mark_duplicates(
     """Keep all rows and tell the survivor of each ``key`` from its duplicates.
 
     The survivor is found on narrow rows first (at most one per key and map
-    task is shuffled) and joined back, so a hot key is a skewed join that AQE
-    can split, not a window over the whole group.
+    task is shuffled) and joined back; the rows of a hot key are dealt to
+    several tasks there instead of meeting in one window.
     """
     winners = keep_first(df, [key], order_by).select(
-        F.col(key).alias("_key"),
+        key,
         F.col(group_value).alias("duplicate_group_id"),
         F.struct(*row_id).alias("_winner"),
     )
-    marked = df.join(winners, F.col(key) == F.col("_key"), "inner")
+    marked = lookup_join(df.where(F.col(key).isNotNull()), winners, key, "inner", spread=row_id)
     first = F.struct(*row_id) == F.col("_winner")
     return (
         marked.withColumn("is_primary_record", first)
         .withColumn("duplicate_reason", F.when(~first, F.lit(reason)))
-        .drop("_key", "_winner")
+        .drop("_winner")
     )
 
 
@@ -100,7 +101,8 @@ def near_name_groups(df: DataFrame, key: str, name: str) -> DataFrame:
     answer = F.when(F.col("kind") == "whole", F.col("of_drop")).otherwise(F.col("of_whole"))
     nearest = grouped.join(best, ["family", "label"]).groupBy("_name").agg(F.min(answer).alias("_near"))
     per_name = names.join(nearest, "_name", "left").select("_name", F.least("_min", "_near").alias("name_group"))
-    return df.join(per_name, key_text(name) == F.col("_name"), "left").drop("_name")
+    keyed = df.withColumn("_name", key_text(name))
+    return lookup_join(keyed, per_name, "_name", spread=[key]).drop("_name")
 
 
 def survivors_by_near_name(df: DataFrame, key: str, name: str) -> DataFrame:

@@ -16,8 +16,10 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
+from .joins import lookup_join
 
 
 def top_n(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], n: int, rank: str | None = None) -> DataFrame:
@@ -121,16 +123,20 @@ def percent_rank(df: DataFrame, value: str, out: str) -> DataFrame:
     )
     total = df.agg(F.count(F.lit(1)).alias("_all")).scalar()
     before = (F.col("_upto") - F.col("_n")).cast("double")
-    ranked = cumulative.select(
-        F.col(value).alias("_value"), F.when(total > 1, before / (total - 1)).otherwise(F.lit(0.0)).alias(out)
-    )
-    return df.join(ranked, F.col(value).eqNullSafe(F.col("_value")), "left").drop("_value")
+    share = F.when(total > 1, before / (total - 1)).otherwise(F.lit(0.0))
+    plain = F.col(value) + 0.0 if df.schema[value].dataType == T.DoubleType() else F.col(value)  # no -0.0
+    text = F.coalesce(F.hex(plain.cast("string")), F.lit("null"))
+    ranked = cumulative.select(text.alias("_value"), share.alias(out))
+    return lookup_join(df.withColumn("_value", text), ranked, "_value").drop("_value")
 
 
 def category_codes(df: DataFrame, column: str, out: str) -> DataFrame:
-    """0-based position of the value among the sorted distinct values."""
-    text = F.col(column).cast("string")
-    values = df.select(text.alias("_value")).distinct()
-    codes = running_totals(values, [F.col("_value").asc_nulls_first()], "_p")
+    """0-based position of the value among the sorted distinct values.
+
+    A missing value is the text ``nan``, as after a cast to text.
+    """
+    keyed = df.withColumn("_value", F.coalesce(F.col(column).cast("string"), F.lit("nan")))
+    values = keyed.select("_value").distinct()
+    codes = running_totals(values, [F.col("_value").asc()], "_p")
     codes = codes.select("_value", (F.col("_p") - 1).alias(out))
-    return df.join(codes, text.eqNullSafe(F.col("_value")), "left").drop("_value")
+    return lookup_join(keyed, codes, "_value").drop("_value")

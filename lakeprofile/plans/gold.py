@@ -19,6 +19,7 @@ from ..functions.scoring import (
 )
 from ..functions.text import bare_domain
 from ..operators.aggregates import array_unions, count_where
+from ..operators.joins import lookup_join
 from ..operators.ordering import full_rank, keep_first, percent_rank
 from ..session import cut_lineage
 from .silver import SOCIAL, run_time
@@ -461,7 +462,8 @@ def startup_profiles(
         F.col("domain").alias("website_url"), "domain_health_score", "ssl_valid", "dns_resolution", "last_health_check"
     )
     rollup = contact_rollup(contacts).withColumnRenamed("organization_id", "id")
-    joined = base.join(web, "id", "left").join(ids, "id", "left").join(rollup, "id", "left").join(sites, "website_url", "left")
+    by_id = base.join(web, "id", "left").join(ids, "id", "left").join(rollup, "id", "left")
+    joined = lookup_join(by_id, sites, "website_url", spread=["id"])  # many companies may lack a site
     stamp = F.lit(as_of).cast("date")
     return (
         company_categories(joined, as_of)
@@ -595,9 +597,9 @@ def enrich_by_domain(companies: DataFrame, vendor: DataFrame, crawl: DataFrame)
     Both lookups hold one row per domain, so the join never multiplies rows.
     """
     keyed = companies.withColumn("domain", bare_domain("website_url"))
+    with_vendor = lookup_join(keyed, vendor, "domain", spread=["company_id"])
     return (
-        keyed.join(vendor, "domain", "left")
-        .join(crawl, "domain", "left")
+        lookup_join(with_vendor, crawl, "domain", spread=["company_id"])
         .withColumns(
             {
                 "apollo_company_id": F.coalesce("apollo_company_id", F.lit("")),

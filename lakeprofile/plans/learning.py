@@ -13,6 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import lookup_join
 from ..operators.ordering import running_totals, top_n
 from ..session import cut_lineage
 
@@ -27,8 +28,8 @@ FOLDS = 5
 def training_set(shortlists: DataFrame, profiles: DataFrame, start: str, end: str) -> DataFrame:
     """Scored shortlists with company facts and the contacted-within-14-days label.
 
-    Profiles are unique per company; a company that holds very many shortlist
-    rows is a skewed join that AQE splits.
+    Profiles are unique per company; the rows of a company that holds very many
+    shortlists are dealt to several tasks.
     """
     period = F.col("created_at").between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"))
     rows = shortlists.where(period).dropna(subset=["final_score", "embedding_similarity", "ml_score"])
@@ -38,7 +39,8 @@ def training_set(shortlists: DataFrame, profiles: DataFrame, start: str, end: st
     )
     recent = F.col("created_at") >= F.col("_updated") - F.expr("INTERVAL 14 DAYS")
     label = F.when(recent & (F.col("final_score") > 0.7), F.lit(1)).otherwise(F.lit(0))
-    return rows.join(facts, "company_key").withColumn("contacted_within_14_days", label).drop("_updated")
+    joined = lookup_join(rows, facts, "company_key", "inner")
+    return joined.withColumn("contacted_within_14_days", label).drop("_updated")
 
 
 def training_stats(training: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.json_fields import text_schema
+from ..operators.joins import lookup_join
 
 # Payload fields and their types; fields not listed are text.
 COMPANY_PAYLOAD = (
@@ -81,7 +82,7 @@ def web_extracts(raw: DataFrame, companies: DataFrame) -> DataFrame:
     ).where(F.col("company_id").isNotNull() & F.col("domain").isNotNull())
     firm = companies.select(F.col("id").alias("company_id"), *CRAWL_COLUMNS)
     return (
-        crawls.join(firm, "company_id", "inner")
+        lookup_join(crawls, firm, "company_id", "inner", spread=["crawled_at", "content_hash"])
         .withColumnsRenamed({"name": "company_name", "description": "company_description"})
         .withColumns({"last_crawled": F.col("crawled_at"), **date_parts("crawled_at")})
         .drop("domain")

@@ -118,10 +118,8 @@ def annotate_duplicates(companies: DataFrame) -> DataFrame:
 def silver_companies(sources: Sequence[DataFrame], as_of: str) -> DataFrame:
     """Canonical companies from all sources, one row per domain."""
     merged = union_sources(*[normalize_companies(s) for s in sources])
-    for name, kind in COMPANY_COLUMNS.items():
-        if name not in merged.columns:
-            merged = merged.withColumn(name, F.lit(None).cast(kind))
-    kept = company_scores(dedup_companies(merged))
+    absent = {c: F.lit(None).cast(t) for c, t in COMPANY_COLUMNS.items() if c not in merged.columns}
+    kept = company_scores(dedup_companies(merged.withColumns(absent)))
     return kept.withColumns(
         {
             "duplicate_group_id": F.col("company_key"),

@@ -4,7 +4,7 @@ import pytest
 from conftest import SMALL, plan_of
 from pyspark.sql import functions as F
 
-from lakeprofile.operators.incremental import quota_windows, upsert_latest, write_keyed
+from lakeprofile.operators.incremental import default_watermark, delta_read, quota_windows, upsert_latest, write_keyed
 from lakeprofile.plans import ledger, quality
 from lakeprofile.registry import ORACLES, QUERIES
 from lakeprofile.registry.core import Inputs
@@ -151,6 +151,14 @@ def test_scan_reads_only_needed_columns(spark):
     assert "value" not in schema and "props" not in schema
 
 
+def test_watermark_reaches_the_scan(spark, tmp_path):
+    rows = spark.range(100).select("id", (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.col("id").cast("int"))).alias("updated_at"))
+    rows.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    plan = plan_of(delta_read(stored, default_watermark("2024-02-01")), "formatted")
+    assert "GreaterThan(updated_at,2024-01-25" in plan
+
+
 def test_every_check_belongs_to_a_query():
     assert set(ORACLES) <= set(QUERIES)
     assert len(QUERIES) >= 140

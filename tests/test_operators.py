@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lakeprofile.functions import vectors
-from lakeprofile.operators import aggregates, calendar, dedup, incremental, matching, ordering
+from lakeprofile.operators import aggregates, calendar, dedup, incremental, joins, matching, ordering
 
 
 def hot_rows(spark, n=3000):
@@ -80,6 +80,46 @@ def test_mark_duplicates_keeps_every_row(spark):
         assert (w["val"], w["id"]) == min((r["val"], r["id"]) for r in got if r["grp"] == w["grp"])
 
 
+@pytest.fixture()
+def no_broadcast(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for key in keys:
+        spark.conf.set(key, "-1")
+    yield
+    for key in keys:
+        spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_anti", "left_semi"])
+def test_lookup_join_equals_a_plain_join(spark, no_broadcast, how):
+    rows = hot_rows(spark, 2000).withColumn("grp", F.when(F.col("grp") != "g3", F.col("grp")))
+    lookup = rows.where("grp <> 'g4'").groupBy("grp").agg(F.max("val").alias("top"))
+    got = joins.lookup_join(rows, lookup, "grp", how)
+    want = rows.join(lookup, "grp", how)
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_hot_rows_of_a_join_meet_in_several_tasks(spark, no_broadcast):
+    """Joining to an aggregate on the same key, where AQE does not split."""
+    rows = hot_rows(spark, 8000)
+    lookup = rows.groupBy("grp").agg(F.max("val").alias("top"))
+
+    def largest(df):
+        per_task = df.where("grp = 'hot'").groupBy(F.spark_partition_id()).count()
+        return max(r["count"] for r in per_task.collect())
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        hot = rows.where("grp = 'hot'").count()
+        assert largest(rows.join(lookup, "grp")) == hot
+        assert largest(joins.lookup_join(rows, lookup, "grp", "inner")) < 0.7 * hot
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def one_edit(a: str, b: str) -> bool:
     if a == b:
         return True
