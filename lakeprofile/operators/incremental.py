@@ -50,10 +50,10 @@ def changed_rows(current: DataFrame, previous: DataFrame, key: str, new_hash: st
     return joined.where(~F.col(new_hash).eqNullSafe(F.col("_old"))).drop("_key", "_old")
 
 
-def lookback(df: DataFrame, ts: str, as_of: str, interval: str) -> DataFrame:
+def lookback(df: DataFrame, ts: str, as_of: str, interval: str, inclusive: bool = True) -> DataFrame:
     """Rows of the last ``interval`` (for example ``'7' DAY``) before ``as_of``."""
     start = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {interval}")
-    return df.where(F.col(ts) >= start)
+    return df.where(F.col(ts) >= start if inclusive else F.col(ts) > start)
 
 
 def upsert_latest(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.json_fields import text_schema
+
 CRAWL_SCHEMA = (
     "domain string, timestamp string, success boolean, content_hash string, pages_crawled int, total_links int, "
     "response_time_ms int, error string, error_type string, "
@@ -114,16 +116,22 @@ def normalize_api_contacts(raw: DataFrame) -> DataFrame:
     )
 
 
-COMPANY_SCHEMA = (
-    "id string, name string, website_url string, industry string, founded_year int, employee_count int, "
-    "annual_revenue bigint, total_funding double, last_funding_round string, last_funding_date string, "
-    "linkedin_url string, twitter_url string, facebook_url string, description string, keywords array<string>, "
-    "phone string, address string, city string, state string, country string, postal_code string, updated_at string"
-)
+# Fields of a company record of the API.
+COMPANY_TEXTS = (
+    "id", "name", "website_url", "industry", "founded_year", "employee_count", "annual_revenue", "total_funding",
+    "last_funding_round", "last_funding_date", "linkedin_url", "twitter_url", "facebook_url", "description", "phone",
+    "address", "city", "state", "country", "postal_code", "updated_at",
+)
+COMPANY_NUMBERS = {"founded_year": "int", "employee_count": "int", "annual_revenue": "bigint", "total_funding": "double"}
 
 
 def normalize_api_companies(raw: DataFrame) -> DataFrame:
-    """Company API records with the raw JSON kept."""
-    rows = raw.select("raw_json", F.from_json("raw_json", COMPANY_SCHEMA).alias("_j")).select("raw_json", "_j.*")
-    keywords = F.coalesce("keywords", F.array().cast("array<string>"))
-    return rows.withColumn("keywords", keywords).withColumnRenamed("raw_json", "raw_data")
+    """Company API records with the raw JSON kept; dirty numbers become null."""
+    parsed = F.from_json("raw_json", text_schema(COMPANY_TEXTS, ["keywords"])).alias("_j")
+    rows = raw.select("raw_json", parsed)
+    numbers = {c: F.col(f"_j.{c}").try_cast(t) for c, t in COMPANY_NUMBERS.items()}
+    return rows.select(
+        *[numbers.get(c, F.col(f"_j.{c}")).alias(c) for c in COMPANY_TEXTS],
+        F.coalesce("_j.keywords", F.array().cast("array<string>")).alias("keywords"),
+        F.col("raw_json").alias("raw_data"),
+    )

@@ -122,7 +122,7 @@ def summary_queue(
     The newest profiles go first; the gate sees keys and costs only, not texts.
     """
     now = F.lit(as_of).cast("timestamp_ntz")
-    recent = lookback(profiles, "updated_at", as_of, f"'{days}' DAY").where(present("profile_text"))
+    recent = lookback(profiles, "updated_at", as_of, f"'{days}' DAY", inclusive=False).where(present("profile_text"))
     work = estimate_cost(build_prompts(recent))
     missed = cache_misses(work, cache, ["company_key", "task_type", "content_hash"], "expires_at", now)
     narrow = missed.select("company_key", "task_type", "model", "content_hash", "updated_at", "estimated_cost")
@@ -157,6 +157,7 @@ def cost_per_day(calls: DataFrame, budget: float = DAILY_BUDGET) -> DataFrame:
         *[count_where(task == t).alias(f"{t}_requests") for t in TASK_MODELS],
         F.avg(F.col("was_cached").cast("double")).alias("cache_hit_rate"),
         F.avg((~F.col("success")).cast("double")).alias("error_rate"),
+        F.avg("processing_time_ms").alias("avg_processing_time_ms"),
     )
     return daily.withColumns(
         {

@@ -346,6 +346,7 @@ def calls_of(inp):
     return calls.withColumns(
         {
             "total_tokens": F.col("input_tokens").cast("long"),
+            "processing_time_ms": F.col("input_tokens") * 10 + F.col("turn"),
             "cost_usd": F.when(F.col("was_cached"), F.lit(0.0)).otherwise(cost),
             "dt": F.date_format("created_at", "yyyy-MM-dd"),
         }
@@ -358,14 +359,14 @@ cte(
     f"""SELECT dt, count(*) AS total_requests, CAST(sum(input_tokens) AS BIGINT) AS total_tokens, sum(cost_usd) AS total_cost_usd, avg(cost_usd) AS avg_cost_per_request,
        count(*) FILTER (WHERE model = 'haiku') AS claude_haiku_requests, count(*) FILTER (WHERE model = 'sonnet') AS claude_sonnet_requests,
        sum(CASE WHEN model = 'haiku' THEN cost_usd ELSE 0 END) AS claude_haiku_cost, sum(CASE WHEN model = 'sonnet' THEN cost_usd ELSE 0 END) AS claude_sonnet_cost, {LEDGER_TASKS},
-       avg(CASE WHEN was_cached THEN 1.0 ELSE 0 END) AS cache_hit_rate, avg(CASE WHEN success THEN 0.0 ELSE 1 END) AS error_rate FROM o_calls GROUP BY dt""",
+       avg(CASE WHEN was_cached THEN 1.0 ELSE 0 END) AS cache_hit_rate, avg(CASE WHEN success THEN 0.0 ELSE 1 END) AS error_rate, avg(input_tokens * 10 + turn) AS avg_processing_time_ms FROM o_calls GROUP BY dt""",
 )
 
 
 @query(
     "llm_cost_daily",
     f"""SELECT dt, total_requests, total_tokens, claude_haiku_requests, claude_sonnet_requests, {', '.join(f'{t}_requests' for t in ledger.TASK_MODELS)},
-       {num('total_cost_usd', 'avg_cost_per_request', 'claude_haiku_cost', 'claude_sonnet_cost', 'cache_hit_rate', 'error_rate', 'total_cost_usd / total_tokens AS avg_cost_per_token', '50 AS daily_budget_usd', 'total_cost_usd / 50 AS budget_utilization', '50 - total_cost_usd AS remaining_budget_usd')} FROM o_ledger""",
+       {num('total_cost_usd', 'avg_cost_per_request', 'claude_haiku_cost', 'claude_sonnet_cost', 'cache_hit_rate', 'error_rate', 'avg_processing_time_ms', 'total_cost_usd / total_tokens AS avg_cost_per_token', '50 AS daily_budget_usd', 'total_cost_usd / 50 AS budget_utilization', '50 - total_cost_usd AS remaining_budget_usd')} FROM o_ledger""",
 )
 def llm_cost_daily(inp):
     return ledger.cost_per_day(calls_of(inp))

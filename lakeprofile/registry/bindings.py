@@ -1,4 +1,4 @@
-"""Reference-shaped inputs as SQL over the given tables.
+"""Company, contact, page and event inputs as SQL over the given tables.
 
 The texts are common to Spark SQL and DuckDB; ``{name}`` stands for a table or
 another binding.  The given tables hold no nulls, so the bindings inject nulls,

@@ -21,7 +21,7 @@ ORACLES: dict[str, str] = {}
 
 
 class Inputs:
-    """Given tables and the reference-shaped inputs bound to them."""
+    """Given tables and the inputs bound to them."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder

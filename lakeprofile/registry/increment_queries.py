@@ -172,7 +172,7 @@ QUEUE_PROMPT = """'Task: ' || replace(task_type, '_', ' ') || '. Answer as one J
     f"""SELECT company_key, task_type, model, item_no FROM (SELECT *, row_number() OVER w AS item_no, sum(cost) OVER (w ROWS UNBOUNDED PRECEDING) AS running FROM (
          SELECT company_key, task_type, model, updated_at, CAST(round(len(string_split(trim(regexp_replace(prompt, '\\s+', ' ', 'g')), ' ')) * 1.3 * CASE WHEN model = 'haiku' THEN 0.25 + 0.3 * 1.25 ELSE 3.0 + 0.3 * 15.0 END / 1e6, 10) AS DECIMAL(28,10)) AS cost
          FROM (SELECT p.company_key, p.updated_at, p.profile_text_hash, t.task_type, t.model, {QUEUE_PROMPT} AS prompt FROM (SELECT CAST(company_key AS VARCHAR) AS company_key, 'Company ' || company_key AS company_name, industry, profile_text, profile_text_hash, updated_at FROM b_profiles
-           WHERE updated_at >= TIMESTAMP '2024-01-17 00:00:00' - INTERVAL 7 DAY AND profile_text <> '') p,
+           WHERE updated_at > TIMESTAMP '2024-01-17 00:00:00' - INTERVAL 7 DAY AND profile_text <> '') p,
            (VALUES ('executive_summary', 'haiku'), ('key_insights', 'haiku'), ('tech_analysis', 'haiku'), ('competitive_analysis', 'sonnet'), ('risk_assessment', 'sonnet'), ('business_intelligence', 'sonnet')) AS t(task_type, model)) q
          WHERE NOT EXISTS (SELECT 1 FROM o_cache c WHERE c.company_key = q.company_key AND c.task_type = q.task_type)) WINDOW w AS (ORDER BY updated_at DESC, company_key, task_type)) WHERE running <= 1.5 AND item_no <= 4000""",
 )

@@ -98,7 +98,7 @@ def scan_latest_file(inp):
     path = work_path(inp.spark, "latest")
     array.select(F.replace("value", F.lit("2024"), F.lit("2023")).alias("value")).write.mode("append").text(path)
     array.write.mode("append").text(path)
-    return readers.newest_file(inp.spark, f"{path}/part-*", "dt string, total_challenges long, avg_ams_challenge double")
+    return readers.newest_file(inp.spark, path, "dt string, total_challenges long, avg_ams_challenge double")
 
 
 @query("scan_manifest", "SELECT trim(domain) AS domain FROM b_src_b WHERE trim(domain) <> ''")
