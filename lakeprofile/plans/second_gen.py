@@ -48,12 +48,9 @@ def day_partition(df: DataFrame, as_of: str) -> DataFrame:
 
 def payload_table(raw: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Typed columns of the ``data`` payload plus year, month, day of creation."""
-    parsed = raw.select(F.from_json("data", text_schema(fields)).alias("_j"))
+    parsed = raw.select(F.inline(F.array(F.from_json("data", text_schema(fields)))))  # one parse, see silver.extract
     typed = parsed.select(
-        *[
-            F.col(f"_j.{f}").try_cast(PAYLOAD_TYPES[f]).alias(f) if f in PAYLOAD_TYPES else F.col(f"_j.{f}").alias(f)
-            for f in fields
-        ]
+        *[F.col(f).try_cast(PAYLOAD_TYPES[f]).alias(f) if f in PAYLOAD_TYPES else F.col(f) for f in fields]
     )
     return typed.where(F.col("id").isNotNull()).withColumns(date_parts("created_at"))
 

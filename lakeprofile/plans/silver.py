@@ -185,13 +185,17 @@ def shape(value: Column, kind: str) -> Column:
 
 
 def extract(raw: DataFrame, fields: Sequence[tuple[str, str, str]], arrays: Sequence[str] = ()) -> DataFrame:
-    """Typed columns of the JSON text in ``raw_json``, parsed once per row."""
+    """Typed columns of the JSON text in ``raw_json``.
+
+    ``inline`` keeps the parse out of the filters that follow: Spark would push
+    them below a plain ``from_json`` and parse every row a second time.
+    """
     schema = text_schema([source for _, source, _ in fields], arrays)
-    parsed = raw.select("raw_json", F.from_json("raw_json", schema).alias("_j"))
+    parsed = raw.select("raw_json", F.inline(F.array(F.from_json("raw_json", schema))))
     return parsed.select(
         "raw_json",
-        *[shape(scalar(F.col(f"_j.{source}")), kind).alias(target) for target, source, kind in fields],
-        *[F.col(f"_j.{a}").alias(a) for a in arrays],
+        *[shape(scalar(F.col(source)), kind).alias(target) for target, source, kind in fields],
+        *arrays,
     )
 
 
