@@ -462,8 +462,8 @@ def startup_profiles(
         F.col("domain").alias("website_url"), "domain_health_score", "ssl_valid", "dns_resolution", "last_health_check"
     )
     rollup = contact_rollup(contacts).withColumnRenamed("organization_id", "id")
-    by_id = base.join(web, "id", "left").join(ids, "id", "left").join(rollup, "id", "left")
-    joined = lookup_join(by_id, sites, "website_url", spread=["id"])  # many companies may lack a site
+    placed = lookup_join(base, sites, "website_url", spread=["id"])  # many companies may lack a site
+    joined = placed.join(web, "id", "left").join(ids, "id", "left").join(rollup, "id", "left")
     stamp = F.lit(as_of).cast("date")
     return (
         company_categories(joined, as_of)
@@ -597,9 +597,9 @@ def enrich_by_domain(companies: DataFrame, vendor: DataFrame, crawl: DataFrame)
     Both lookups hold one row per domain, so the join never multiplies rows.
     """
     keyed = companies.withColumn("domain", bare_domain("website_url"))
-    with_vendor = lookup_join(keyed, vendor, "domain", spread=["company_id"])
+    facts = vendor.join(crawl, "domain", "full")
     return (
-        lookup_join(with_vendor, crawl, "domain", spread=["company_id"])
+        lookup_join(keyed, facts, "domain", spread=["company_id"])
         .withColumns(
             {
                 "apollo_company_id": F.coalesce("apollo_company_id", F.lit("")),
