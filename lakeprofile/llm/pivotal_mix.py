@@ -100,7 +100,7 @@ def pivot(chance: np.ndarray, luck: np.ndarray) -> np.ndarray:
     return np.array(out)
 
 
-def drawn(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = 3.0, chunk_rows: int = 20_000, fan_in: int = 16, seed: int = 17) -> DataFrame:
+def drawn(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = 3.0, chunk_rows: int = 2_000, fan_in: int = 16, seed: int = 17) -> DataFrame:
     """Every row of ``sized`` with ``source_size``, ``target`` and whole ``copies``."""
     spark = docs.sparkSession
     ship_package(spark)

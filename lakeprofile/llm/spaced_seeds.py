@@ -47,8 +47,11 @@ def window_digests(words: Column, at: Column, masks: Sequence[str]) -> Column:
 
 
 def windows(rows: DataFrame, masks: Sequence[str]) -> DataFrame:
-    """(columns of the row, ``at``, ``seed``) of every window; rows have an array ``words``."""
-    placed = rows.select("*", F.posexplode("words").alias("at", "_word")).drop("_word")
+    """(columns of the row, ``at``, ``seed``) of every window; rows have an array ``words``.
+
+    ``outer``, since Spark would otherwise split every text once more to look for empty ones beforehand.
+    """
+    placed = rows.select("*", F.posexplode_outer("words").alias("at", "_word")).drop("_word")
     return placed.select("*", F.explode(window_digests(F.col("words"), F.col("at"), masks)).alias("seed")).where(F.col("seed").isNotNull())
 
 
@@ -78,19 +81,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = M
     count = items.agg(F.coalesce(F.sum(F.size("words")), F.lit(0)).alias("n")).first()["n"] * len(masks)
     seeds = windows(items, masks).select("seed", "item_id", F.col("at").alias("item_at"), F.col("words").alias("item_words"))
     texts = doc_rows(docs).select("doc_id", text_key(F.col("text")).alias("_key"), word_digests(F.col("text")).alias("words"))
-    there = windows(texts.where(F.size("words") >= shortest), masks)
-    if count <= broadcast_seeds:
-        lengths = F.broadcast(seeds.select("seed", "item_id", "item_at", "item_words"))
-    else:
-        lengths = seeds
-    hits = there.join(lengths, "seed")
+    there = windows(texts, masks)
+    hits = there.join(F.broadcast(seeds) if count <= broadcast_seeds else seeds, "seed")
     lead = F.least("at", "item_at")
     before, other = F.col("at") - lead, F.col("item_at") - lead
     size = F.least(F.size("words") - before, F.size("item_words") - other)
-    same = F.zip_with(F.slice("words", before + 1, size), F.slice("item_words", other + 1, size), lambda a, b: a == b)
-    laid = hits.select("doc_id", "_key", "item_id", before.alias("_before"), F.size("item_words").alias("_n"), best_stretch(same).alias("s"))
-    needed = F.least(F.lit(min_overlap), F.col("_n"))
-    good = laid.where(F.col("s.matched") >= needed)
+    mine, theirs = F.slice("words", before + 1, size), F.slice("item_words", other + 1, size)
+    aligned = hits.select("doc_id", "_key", "item_id", before.alias("_before"), other.alias("_other"), F.size("item_words").alias("_n"), mine.alias("mine"), theirs.alias("theirs"))
+    # many hits lie on one alignment; what it covers is the same for all of them
+    each = aligned.groupBy("doc_id", "_key", "item_id", "_before", "_other", "_n").agg(F.first("mine").alias("mine"), F.first("theirs").alias("theirs"))
+    same = F.zip_with("mine", "theirs", lambda a, b: a == b)
+    laid = each.select("doc_id", "_key", "item_id", "_before", "_n", best_stretch(same).alias("s"))
+    good = laid.where(F.col("s.matched") >= F.least(F.lit(min_overlap), F.col("_n")))
     best = F.max(F.struct(F.col("s.matched").alias("m"), F.col("s.words").alias("w"), (-(F.col("_before") + F.col("s.first"))).alias("f")))
     top = good.groupBy("doc_id", "_key", "item_id").agg(best.alias("b"))
     return top.select("doc_id", "_key", "item_id", F.col("b.m").cast("long").alias("matched_words"), F.col("b.w").cast("long").alias("overlap_words"), (-F.col("b.f")).cast("long").alias("first_word"))
