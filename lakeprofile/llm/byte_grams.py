@@ -2,8 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+
+
+def pieces(batches: Iterator[pa.RecordBatch], column: int, size: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of text (a longer text alone), which bounds the arrays made of them."""
+    for batch in batches:
+        if batch.num_rows:
+            lengths = np.asarray(pc.binary_length(batch.column(column)), dtype=np.int64)
+            part = (np.cumsum(lengths) - lengths) // size
+            edges = np.flatnonzero(np.r_[True, np.diff(part) > 0, True]).tolist()
+            for low, high in zip(edges[:-1], edges[1:], strict=True):
+                yield batch.slice(low, high - low)
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import lookup_join
 from ..session import cut_lineage, ship_package
-from .byte_grams import plain_bytes, slots, text_bytes
+from .byte_grams import pieces, plain_bytes, slots, text_bytes
 from .common import text_key, whole
 
 BITS = 16
@@ -73,7 +73,7 @@ def train(rows: DataFrame, train_rows: int = 8_000, least_rows: int = 20, smooth
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables: dict[str, np.ndarray] = {}
         texts: dict[str, int] = {}
-        for batch in batches:
+        for batch in pieces(batches, 0):
             code, low, high, _ = trigrams(batch.column(0))
             for i, label in enumerate(batch.column(1).to_pylist()):
                 table = tables.setdefault(label, np.zeros(1 << BITS, np.int64))
@@ -105,7 +105,7 @@ def text_evidence(rows: DataFrame, model: np.ndarray, evidence: int) -> DataFram
     kinds = [f"{c} {rows.schema[c].dataType.simpleString()}" for c in narrow]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, len(narrow)):
             code, low, high, letters = trigrams(batch.column(len(narrow)))
             grams = high - low
             sums = np.empty((len(grams), len(model)))

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .byte_grams import slots, text_bytes
+from .byte_grams import pieces, slots, text_bytes
 from .common import doc_rows
 
 ORDERS = (2, 4)
@@ -104,7 +104,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, **settin
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slot_rows: list[np.ndarray] = []
         good: list[int] = []
-        for batch in batches:
+        for batch in pieces(batches, 0):
             slot_rows.extend(indicators(batch.column(0)))
             good.extend(batch.column(1).to_pylist())
         labels_ = np.array(good, np.int64)
@@ -128,7 +128,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS,
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 2):
             margin = np.array([weight[slot].sum(dtype=np.float64) for slot in indicators(batch.column(2))]) + bias
             score = 1.0 / (1.0 + np.exp(-np.clip(margin, -500, 500)))
             columns = [batch.column(0), batch.column(1), pa.array(score), pa.array((score >= 0.5).astype(np.int32))]
