@@ -35,9 +35,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import lookup_join
-from ..session import cut_lineage, ship_package
+from ..session import cut_lineage
 from .byte_grams import pieces, plain_bytes, slots, text_bytes
-from .common import text_key, whole
+from .common import small_batches, text_key, whole
 
 BITS = 16
 UNKNOWN = "und"
@@ -68,7 +68,7 @@ def sampled(rows: DataFrame, train_rows: int) -> DataFrame:
 
 def train(rows: DataFrame, train_rows: int = 8_000, least_rows: int = 20, smooth: float = 0.5) -> tuple[list[str], np.ndarray]:
     """Languages in order, and the log-probability of every slot for each, the unknown one last; ``rows``: text, label."""
-    ship_package(rows.sparkSession)
+    small_batches(rows.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables: dict[str, np.ndarray] = {}

@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, ship_package
-from .common import whole
+from ..session import cut_lineage
+from .common import small_batches, whole
 
 
 @lru_cache(maxsize=2)
@@ -47,7 +47,7 @@ def vocabulary(name: str) -> str:
 
 def encoded_lengths(docs: DataFrame, tokenizer: str = "byte_bpe_50k.tiktoken") -> DataFrame:
     """``length`` of every document in tokens."""
-    ship_package(docs.sparkSession)
+    small_batches(docs.sparkSession)
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = byte_encoding(vocabulary(tokenizer))

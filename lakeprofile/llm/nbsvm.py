@@ -28,9 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_package
 from .byte_grams import pieces, slots, text_bytes
-from .common import doc_rows
+from .common import doc_rows, small_batches
 
 ORDERS = (2, 4)
 BITS = 18
@@ -97,7 +96,7 @@ def fit(rows: list[np.ndarray], good: np.ndarray, smooth: float = 1.0, cost: flo
 
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, **settings: float) -> np.ndarray:
     """The model: one number per slot, and the bias last."""
-    ship_package(docs.sparkSession)
+    small_batches(docs.sparkSession)
     sample = F.broadcast(training_labels(labels, fit_rows))  # at most ``fit_rows`` rows of an id and a label
     rows = doc_rows(docs).join(sample, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "label")
 

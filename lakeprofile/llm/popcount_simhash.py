@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import lookup_join
 from ..session import cut_lineage, ship_package
-from .common import doc_rows, shuffle_tasks, split_words
+from .common import doc_rows, shuffle_tasks, small_batches, split_words
 from .components import components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -68,7 +68,7 @@ def majority(digests: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """``doc_id`` and 64-bit ``fingerprint`` (as a signed long) of every whole text."""
-    ship_package(docs.sparkSession)
+    small_batches(docs.sparkSession)
     words = doc_rows(docs).select("doc_id", split_words(F.translate("text", UPPER, LOWER)).alias("words"))
     kind = words.schema["doc_id"].dataType.simpleString()
 

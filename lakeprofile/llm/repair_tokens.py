@@ -39,13 +39,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import doc_rows, shuffle_tasks, text_key
+from .common import doc_rows, shuffle_tasks, small_batches, text_key
 
 END_ID = 2
 MARK = 1024
 LETTER_MARK = r"([a-zA-ZÀ-ÖØ-öø-ÿ])([.,!?;:#$%&*()])"
 SEPARATOR = "\x01"  # no blank, no letter: a piece of its own, one id
-CACHED_PIECES = 1_000_000  # of a worker; only speed depends on it
+CACHED_PIECES = 400_000  # of a worker, about 80 MB; only speed depends on it
 
 BLOCK = (
     "shard int, block int, first_token long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, "
@@ -220,7 +220,7 @@ def write_tokens(
 ) -> None:
     """Encode all documents and write the compressed blocks below ``path``."""
     spark = docs.sparkSession
-    ship_package(spark)
+    small_batches(spark)
     rows = doc_rows(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     order = [F.col("doc_id").asc_nulls_first(), text_key(F.col("text"))]
     sorted_rows = rows.repartitionByRange(shuffle_tasks(spark), *order).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
