@@ -47,7 +47,7 @@ def test_line_rules_odd(spark, odd):
 
 
 def test_line_rules_verdicts(spark):
-    body = "\n".join(f"Line {i} tells of thing {i * 3} and goes on for some more words than a heading has." for i in range(8))
+    body = "\n".join(" ".join(f"word{12 * i + k}" for k in range(12)) + "." for i in range(8))
     nav = " | ".join(["Home"] * 30)
     rows = [(1, body), (2, body + "\n" + "All rights reserved."), (3, nav + " |\n" + nav + " Start |\n" + body[:80]), (4, "\n".join(["BUY!! NOW!! THIS!! " * 9 + str(i) for i in range(9)]))]
     got = {r.doc_id: r for r in line_rules.measure_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
