@@ -66,7 +66,7 @@ def sampled(rows: DataFrame, train_rows: int) -> DataFrame:
     return rows.where(F.col("label").isNotNull() & (place * total < train_rows))
 
 
-def train(rows: DataFrame, train_rows: int = 8_000, least_rows: int = 20, smooth: float = 0.5) -> tuple[list[str], np.ndarray]:
+def train(rows: DataFrame, train_rows: int = 8_000, least_rows: int = 5, smooth: float = 0.5) -> tuple[list[str], np.ndarray]:
     """Languages in order, and the log-probability of every slot for each, the unknown one last; ``rows``: text, label."""
     small_batches(rows.sparkSession)
 

@@ -116,7 +116,8 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, **settin
         yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
 
     ordered = rows.repartition(1).sortWithinPartitions("doc_id", "text").select("text", "label")
-    return np.frombuffer(ordered.mapInArrow(solve, "model binary").first()["model"], np.float32)
+    solved = ordered.mapInArrow(solve, "model binary").first()  # no row where Spark sees that no text has a label
+    return np.zeros(SLOTS + 1, np.float32) if solved is None else np.frombuffer(solved["model"], np.float32)
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, **settings: float) -> DataFrame:
