@@ -45,9 +45,9 @@ def watermark_advance(processed: DataFrame, watermark: Column, updated_at: str =
 
 def changed_rows(current: DataFrame, previous: DataFrame, key: str, new_hash: str, old_hash: str) -> DataFrame:
     """Rows that are new or whose content hash differs from the stored one."""
-    known = previous.select(F.col(key).alias("_key"), F.col(old_hash).alias("_old"))
-    joined = current.join(known, F.col(key) == F.col("_key"), "left")
-    return joined.where(~F.col(new_hash).eqNullSafe(F.col("_old"))).drop("_key", "_old")
+    known = previous.select(F.col(key).alias("_key"), F.col(old_hash).alias("_old")).distinct()
+    # anti join: several stored hashes of a key never multiply its row
+    return current.join(known, (F.col(key) == F.col("_key")) & F.col(new_hash).eqNullSafe(F.col("_old")), "left_anti")
 
 
 def lookback(df: DataFrame, ts: str, as_of: str, interval: str, inclusive: bool = True) -> DataFrame:
@@ -109,7 +109,7 @@ def cache_misses(work: DataFrame, cache: DataFrame, keys: Sequence[str], expires
 
 
 def evict_oldest(
-    df: DataFrame, created_at: str, tie_breaker: Sequence[str], threshold: int = 1000, share: float = 0.2
+    df: DataFrame, created_at: str, tie_breaker: Sequence[str], threshold: int, share: float = 0.2
 ) -> DataFrame:
     """Drop the oldest ``share`` of the rows once there are ``threshold`` or more."""
     narrow = df.select(created_at, *tie_breaker)
@@ -122,18 +122,19 @@ def evict_oldest(
 
 
 def budget_gate(
-    df: DataFrame, key: Sequence[str], order_by: Sequence[Column], cost: Column, budget: float, max_items: int
+    df: DataFrame, key: Sequence[str], order_by: Sequence[Column], cost: Column, budget: float, max_items: int | None = None
 ) -> DataFrame:
     """Rows admitted in order while the spend before them is under budget.
 
-    A row passes when its own cost still fits and the item cap is not reached.
+    A row passes when its own cost still fits and, if the caller gives an item
+    cap, that is not reached.
     Costs are summed as decimals, so the cut does not depend on sum order.
     """
     exact = cost.cast("decimal(28,10)")
     running = running_totals(df, order_by, "item_no", {"running_cost": exact})
-    admitted = (F.col("running_cost") <= F.lit(str(budget)).cast("decimal(28,10)")) & (
-        F.col("item_no") <= max_items
-    )
+    admitted = F.col("running_cost") <= F.lit(str(budget)).cast("decimal(28,10)")
+    if max_items is not None:
+        admitted = admitted & (F.col("item_no") <= max_items)
     return running.withColumn("admitted", admitted)
 
 

@@ -66,16 +66,24 @@ def match_reason(similarity: Column, industry: Column, geo: Column, name: Column
 
 
 def _unit_rows(vectors: pd.Series) -> np.ndarray:
-    """Rows scaled to length 1; missing or zero vectors stay zero."""
-    width = max((len(v) for v in vectors if v is not None), default=0)
-    out = np.zeros((len(vectors), width))
-    for i, v in enumerate(vectors):
-        if v is not None and len(v) == width:
-            out[i] = v
+    """Rows of one width scaled to length 1; zero vectors and vectors with a missing number become zero."""
+    out = np.stack(vectors.to_list()).astype(float)
     norms = np.linalg.norm(out, axis=1, keepdims=True)
     return np.divide(out, norms, out=np.zeros_like(out), where=norms > 0)
 
 
+def _cosines(asked: pd.Series, offered: pd.Series) -> np.ndarray:
+    """Cosine of every pair; 0 where one is missing or the widths differ, whatever else is in the batch."""
+    out = np.zeros((len(asked), len(offered)))
+    asked_width = asked.map(lambda v: 0 if v is None else len(v)).to_numpy(dtype=int)
+    offered_width = offered.map(lambda v: 0 if v is None else len(v)).to_numpy(dtype=int)
+    for width in np.unique(asked_width[asked_width > 0]):
+        rows, cols = np.flatnonzero(asked_width == width), np.flatnonzero(offered_width == width)
+        if len(cols):
+            out[np.ix_(rows, cols)] = _unit_rows(asked.iloc[rows]) @ _unit_rows(offered.iloc[cols]).T
+    return out
+
+
 def _substring_matrix(wanted: pd.Series, offered: pd.Series) -> np.ndarray:
     """1.0 where a non-empty wanted label occurs in the offered text."""
     labels, label_of = np.unique(wanted.fillna("").to_numpy(dtype=str), return_inverse=True)
@@ -98,8 +106,7 @@ def _no_scores() -> pd.DataFrame:
 def _score_cell(asked: pd.DataFrame, offered: pd.DataFrame, weights: tuple[float, ...], k: int) -> pd.DataFrame:
     """Best ``k`` offered rows per asked row: one matrix product."""
     w_sim, w_ind, w_geo, intercept = weights
-    q, c = _unit_rows(asked["q_vector"]), _unit_rows(offered["vector"])
-    sim = q @ c.T if q.shape[1] == c.shape[1] else np.zeros((len(q), len(c)))
+    sim = _cosines(asked["q_vector"], offered["vector"])
     ind = _substring_matrix(asked["q_industry"], offered["industry"])
     geo = _substring_matrix(asked["q_country"], offered["country"])
     ml = 1.0 / (1.0 + np.exp(-(w_sim * sim + w_ind * ind + w_geo * geo + intercept)))

@@ -448,8 +448,22 @@ def profile_text_compact() -> Column:
 def startup_profiles(
     companies: DataFrame, extracts: DataFrame, vendor: DataFrame, contacts: DataFrame, health: DataFrame, as_of: str
 ) -> DataFrame:
-    """Profiles by company id; the contact side is aggregated before the join."""
-    base = companies.where(F.col("id").isNotNull() & F.col("name").isNotNull())
+    """One profile per company id.
+
+    Every lookup is reduced to one row per key before its join: the newest
+    crawl, vendor record and health check, and the contact totals.
+    """
+
+    def newest(df: DataFrame, key: str, at: str, *more: str) -> DataFrame:
+        order = [F.col(at).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in more]]
+        return keep_first(df.where(F.col(key).isNotNull()), [key], order)
+
+    known = companies.where(F.col("id").isNotNull() & F.col("name").isNotNull())
+    recency = [c for c in ("updated_at", "created_at") if c in known.columns]
+    base = keep_first(known, ["id"], [*[F.col(c).desc_nulls_last() for c in recency], F.col("name").asc(), F.col("website_url").asc_nulls_last()])
+    extracts = newest(extracts, "company_id", "crawled_at", "content_hash")
+    vendor = newest(vendor, "id", "apollo_updated_at", "apollo_id")
+    health = newest(health, "domain", "last_health_check", "domain_health_score")
     web = extracts.select(
         F.col("company_id").alias("id"),
         "pages_crawled",

@@ -14,7 +14,7 @@ from ..operators.calendar import days_back
 from ..operators.incremental import budget_gate, cache_misses, lookback
 
 # Task names, the model each task uses, prices in dollars per
-# million input and output tokens, and limits.
+# million input and output tokens, and the daily budget.
 TASK_MODELS: dict[str, str] = {
     "executive_summary": "haiku",
     "key_insights": "haiku",
@@ -25,9 +25,7 @@ TASK_MODELS: dict[str, str] = {
 }
 PRICES: dict[str, tuple[float, float]] = {"haiku": (0.25, 1.25), "sonnet": (3.0, 15.0)}
 TOKENS_PER_WORD, OUTPUT_SHARE = 1.3, 0.3
-WEB_CHARS, DESCRIPTION_CHARS = 2000, 500
 DAILY_BUDGET = 50.0
-MAX_COMPANIES = 1000
 ALERTS = [(1.0, "1.0"), (0.9, "0.9"), (0.8, "0.8")]
 
 #: Default prompt templates; callers may pass their own.
@@ -69,16 +67,29 @@ def estimate_cost(df: DataFrame, prompt: str = "prompt", model: str = "model") -
     )
 
 
-def build_prompts(companies: DataFrame, templates: Mapping[str, str] = TEMPLATES) -> DataFrame:
-    """One prompt per company and task; the task list is expanded in the row."""
+def build_prompts(
+    companies: DataFrame,
+    templates: Mapping[str, str] = TEMPLATES,
+    description_chars: int | None = None,
+    web_chars: int | None = None,
+) -> DataFrame:
+    """One prompt per company and task; the task list is expanded in the row.
+
+    Texts enter whole unless the caller gives a length.
+    """
+
+    def text(column: str, chars: int | None) -> Column:
+        whole = F.coalesce(column, F.lit(""))
+        return whole if chars is None else F.substring(whole, 1, chars)
+
     rows = F.array(*[F.struct(F.lit(t).alias("task_type"), F.lit(p).alias("template")) for t, p in templates.items()])
     tasks = companies.withColumn("_t", F.explode(rows)).select(*companies.columns, "_t.task_type", "_t.template")
     industry = F.when(present("industry"), F.col("industry")).otherwise(F.lit("Unknown"))
     values = {
         "company_name": F.coalesce("company_name", F.lit("")),
         "industry": industry,
-        "description": F.substring(F.coalesce("description", F.lit("")), 1, DESCRIPTION_CHARS),
-        "web_content": F.substring(F.coalesce("web_content", F.lit("")), 1, WEB_CHARS),
+        "description": text("description", description_chars),
+        "web_content": text("web_content", web_chars),
     }
     prompt = F.col("template")
     for name, value in values.items():
@@ -114,18 +125,25 @@ def summary_queue(
     cache: DataFrame,
     as_of: str,
     budget: float = DAILY_BUDGET,
-    max_items: int = MAX_COMPANIES * len(TASK_MODELS),
+    max_items: int | None = None,
     days: int = 7,
 ) -> DataFrame:
     """Work of the day: recent profiles × tasks, not cached, within budget.
 
-    The newest profiles go first; the gate sees keys and costs only, not texts.
+    The cache is asked on narrow keys first, so prompts are built for its misses
+    only.  The newest profiles go first; the gate sees keys and costs, not texts.
     """
     now = F.lit(as_of).cast("timestamp_ntz")
     recent = lookback(profiles, "updated_at", as_of, f"'{days}' DAY", inclusive=False).where(present("profile_text"))
-    work = estimate_cost(build_prompts(recent))
-    missed = cache_misses(work, cache, ["company_key", "task_type", "content_hash"], "expires_at", now)
-    narrow = missed.select("company_key", "task_type", "model", "content_hash", "updated_at", "estimated_cost")
+    tasks = F.explode(F.array(*[F.lit(t) for t in TEMPLATES])).alias("task_type")
+    keys = ["company_key", "task_type", "content_hash"]
+    missed = cache_misses(recent.select("company_key", "content_hash", tasks), cache, keys, "expires_at", now)
+    wanted = missed.groupBy("company_key", "content_hash").agg(F.collect_set("task_type").alias("_wanted"))  # six at most
+    wanted = wanted.withColumnsRenamed({"company_key": "_key", "content_hash": "_hash"})
+    same = F.col("company_key").eqNullSafe(F.col("_key")) & F.col("content_hash").eqNullSafe(F.col("_hash"))
+    open_rows = recent.join(wanted, same).drop("_key", "_hash")
+    work = estimate_cost(build_prompts(open_rows).where(F.array_contains("_wanted", F.col("task_type"))))
+    narrow = work.select("company_key", "task_type", "model", "content_hash", "updated_at", "estimated_cost")
     order = [F.col("updated_at").desc(), F.col("company_key").asc(), F.col("task_type").asc()]
     gated = budget_gate(narrow, ["company_key", "task_type"], order, F.col("estimated_cost"), budget, max_items)
     return gated.where(F.col("admitted")).drop("admitted")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scoring import ladder, present
@@ -16,6 +16,11 @@ WORST = "Poor (<0.4)"
 SCORES = ("final_score", "embedding_similarity", "ml_score")
 
 
+def exact_mean(column: str) -> Column:
+    """Mean of decimals, which does not depend on the order of the rows."""
+    return F.avg(F.col(column).cast("decimal(20,10)")).cast("double")
+
+
 def usable_shortlists(shortlists: DataFrame) -> DataFrame:
     """Rows with challenge and company; a missing score counts as 0."""
     kept = shortlists.where(present("challenge_id") & present("company_key"))
@@ -34,11 +39,11 @@ def challenge_metrics(shortlists: DataFrame, row_id: str = "event_id") -> DataFr
     best = top_n(
         rows.select(*keys, "final_score", row_id), keys, [F.col("final_score").desc(), F.col(row_id).asc()], TOP
     )
-    ams = best.groupBy(*keys).agg(F.avg("final_score").alias("ams_challenge"))
+    ams = best.groupBy(*keys).agg(exact_mean("final_score").alias("ams_challenge"))
     stats = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_shortlists"),
-        F.avg("embedding_similarity").alias("avg_embedding_similarity"),
-        F.avg("ml_score").alias("avg_ml_score"),
+        exact_mean("embedding_similarity").alias("avg_embedding_similarity"),
+        exact_mean("ml_score").alias("avg_ml_score"),
         F.max("final_score").alias("top_score"),
         F.min("final_score").alias("min_score"),
         F.stddev_pop("final_score").alias("score_std"),
@@ -51,9 +56,9 @@ def overall_metrics(challenges: DataFrame) -> DataFrame:
     return challenges.groupBy("dt").agg(
         F.count(F.lit(1)).alias("total_challenges"),
         F.sum("total_shortlists").alias("total_shortlists"),
-        F.avg("ams_challenge").alias("avg_ams_challenge"),
-        F.avg("avg_embedding_similarity").alias("avg_embedding_similarity"),
-        F.avg("avg_ml_score").alias("avg_ml_score"),
+        exact_mean("ams_challenge").alias("avg_ams_challenge"),
+        exact_mean("avg_embedding_similarity").alias("avg_embedding_similarity"),
+        exact_mean("avg_ml_score").alias("avg_ml_score"),
     )
 
 
@@ -63,7 +68,7 @@ def since(df: DataFrame, start: str, end: str | None = None) -> DataFrame:
 
 
 def daily_trend(overall: DataFrame, start: str) -> DataFrame:
-    return since(overall, start).groupBy("dt").agg(F.avg("avg_ams_challenge").alias("overall_avg_ams")).orderBy("dt")
+    return since(overall, start).groupBy("dt").agg(exact_mean("avg_ams_challenge").alias("overall_avg_ams")).orderBy("dt")
 
 
 def daily_change(overall: DataFrame) -> DataFrame:
@@ -78,7 +83,7 @@ def daily_change(overall: DataFrame) -> DataFrame:
 def top_challenges(challenges: DataFrame, start: str, min_days: int = 7, n: int = 10) -> DataFrame:
     """Best challenges by mean daily metric with enough days measured."""
     means = since(challenges, start).groupBy("challenge_id").agg(
-        F.round(F.avg("ams_challenge"), 9).alias("avg_ams"), F.count(F.lit(1)).alias("days_measured")
+        F.round(exact_mean("ams_challenge"), 9).alias("avg_ams"), F.count(F.lit(1)).alias("days_measured")
     )
     enough = means.where(F.col("days_measured") >= min_days)
     return enough.orderBy(F.col("avg_ams").desc(), F.col("challenge_id").asc()).limit(n)

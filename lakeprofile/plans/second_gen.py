@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.json_fields import text_schema
 from ..operators.joins import lookup_join
+from ..operators.ordering import keep_first
 
 # Payload fields and their types; fields not listed are text.
 COMPANY_PAYLOAD = (
@@ -77,7 +78,9 @@ def web_extracts(raw: DataFrame, companies: DataFrame) -> DataFrame:
         at("$.extracted_data.extracted_content").alias("extracted_content"),
         at("$.extracted_data.crawl_metadata").alias("crawl_metadata"),
     ).where(F.col("company_id").isNotNull() & F.col("domain").isNotNull())
-    firm = companies.select(F.col("id").alias("company_id"), *CRAWL_COLUMNS)
+    recency = [F.col(c).desc_nulls_last() for c in ("updated_at", "created_at") if c in companies.columns]
+    newest = keep_first(companies.where(F.col("id").isNotNull()), ["id"], [*recency, F.col("name").asc_nulls_last()])  # one row per company
+    firm = newest.select(F.col("id").alias("company_id"), *CRAWL_COLUMNS)
     return (
         lookup_join(crawls, firm, "company_id", "inner", spread=["crawled_at", "content_hash"])
         .withColumnsRenamed({"name": "company_name", "description": "company_description"})

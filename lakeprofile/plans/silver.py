@@ -541,12 +541,12 @@ def page_type(url: Column | str, title: Column | str, host: Column | str) -> Col
     return first_match([*named, (home, F.lit("homepage"))], F.lit("other"))
 
 
-def content_metrics(df: DataFrame) -> DataFrame:
-    """Snippet, lengths and markers of the page content."""
+def content_metrics(df: DataFrame, snippet_chars: int | None = None) -> DataFrame:
+    """Snippet (the whole content unless a length is given), lengths and markers of the page content."""
     content = F.col("full_content")
     return df.withColumns(
         {
-            "about_snippet": F.substring(content, 1, 1000),
+            "about_snippet": content if snippet_chars is None else F.substring(content, 1, snippet_chars),
             "content_length": F.length(content),
             "word_count": word_count(content),
             "has_external_links": contains_any(content, ["http"]),

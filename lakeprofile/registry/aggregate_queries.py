@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators.calendar import missing_partitions as find_missing
 from ..plans import ledger, match_metrics, monitors, quality
-from .core import AS_OF, START, cte, num, query, shared, stamp
+from .core import AS_OF, START, cte, fixed, num, query, shared, stamp
 from .gold_queries import profiles_of
 from .silver_queries import companies_of, contacts_of, health_of, web_of
 
@@ -232,14 +232,14 @@ cte(
 )
 cte(
     "o_ams",
-    """SELECT dt, challenge_id, count(*) AS total_shortlists, avg(final_score) FILTER (WHERE rn <= 10) AS ams_challenge, avg(embedding_similarity) AS avg_embedding_similarity, avg(ml_score) AS avg_ml_score,
+    """SELECT dt, challenge_id, count(*) AS total_shortlists, avg(CAST(final_score AS DECIMAL(20,10))) FILTER (WHERE rn <= 10) AS ams_challenge, avg(CAST(embedding_similarity AS DECIMAL(20,10))) AS avg_embedding_similarity, avg(CAST(ml_score AS DECIMAL(20,10))) AS avg_ml_score,
        max(final_score) AS top_score, min(final_score) AS min_score, stddev_pop(final_score) AS score_std
        FROM (SELECT *, row_number() OVER (PARTITION BY dt, challenge_id ORDER BY final_score DESC, event_id) AS rn FROM o_usable) GROUP BY dt, challenge_id""",
 )
 cte(
     "o_ams_day",
-    """SELECT dt, count(*) AS total_challenges, CAST(sum(total_shortlists) AS BIGINT) AS total_shortlists, avg(ams_challenge) AS avg_ams_challenge, avg(avg_embedding_similarity) AS avg_embedding_similarity,
-       avg(avg_ml_score) AS avg_ml_score FROM o_ams GROUP BY dt""",
+    """SELECT dt, count(*) AS total_challenges, CAST(sum(total_shortlists) AS BIGINT) AS total_shortlists, avg(CAST(ams_challenge AS DECIMAL(20,10))) AS avg_ams_challenge, avg(CAST(avg_embedding_similarity AS DECIMAL(20,10))) AS avg_embedding_similarity,
+       avg(CAST(avg_ml_score AS DECIMAL(20,10))) AS avg_ml_score FROM o_ams GROUP BY dt""",
 )
 DAY_MEANS = ("avg_ams_challenge", "avg_embedding_similarity", "avg_ml_score")
 
@@ -256,20 +256,20 @@ def overall_of(inp):
 
 @query(
     "ams_challenge",
-    f"SELECT dt, challenge_id, total_shortlists, {num('ams_challenge', 'avg_embedding_similarity', 'avg_ml_score', 'top_score', 'min_score', 'score_std')} FROM o_ams",
+    f"SELECT dt, challenge_id, total_shortlists, {fixed('ams_challenge', 'avg_embedding_similarity', 'avg_ml_score')}, {num('top_score', 'min_score', 'score_std')} FROM o_ams",
 )
 def ams_challenge(inp):
     return challenge_metrics_of(inp)
 
 
-@query("ams_trend", f"SELECT dt, {num('avg_ams_challenge AS overall_avg_ams')} FROM o_ams_day WHERE dt >= '2024-01-01'")
+@query("ams_trend", f"SELECT dt, {fixed('avg_ams_challenge AS overall_avg_ams')} FROM o_ams_day WHERE dt >= '2024-01-01'")
 def ams_trend(inp):
     return match_metrics.daily_trend(overall_of(inp), START)
 
 
 @query(
     "ams_daily_change",
-    f"""SELECT dt, total_challenges, total_shortlists, {num(*DAY_MEANS, 'lag(avg_ams_challenge) OVER (ORDER BY dt) AS prev_avg_ams', 'avg_ams_challenge - lag(avg_ams_challenge) OVER (ORDER BY dt) AS ams_change')} FROM o_ams_day""",
+    f"""SELECT dt, total_challenges, total_shortlists, {fixed(*DAY_MEANS, 'lag(avg_ams_challenge) OVER (ORDER BY dt) AS prev_avg_ams', 'avg_ams_challenge - lag(avg_ams_challenge) OVER (ORDER BY dt) AS ams_change')} FROM o_ams_day""",
 )
 def ams_daily_change(inp):
     return match_metrics.daily_change(overall_of(inp))
@@ -277,7 +277,7 @@ def ams_daily_change(inp):
 
 @query(
     "ams_top_challenges",
-    f"""SELECT challenge_id, {num('a AS avg_ams')}, days_measured FROM (SELECT challenge_id, round(avg(ams_challenge), 9) AS a, count(*) AS days_measured FROM o_ams WHERE dt >= '2024-01-01' GROUP BY challenge_id HAVING count(*) >= 7)
+    f"""SELECT challenge_id, {fixed('a AS avg_ams')}, days_measured FROM (SELECT challenge_id, round(avg(CAST(ams_challenge AS DECIMAL(20,10))), 9) AS a, count(*) AS days_measured FROM o_ams WHERE dt >= '2024-01-01' GROUP BY challenge_id HAVING count(*) >= 7)
        ORDER BY a DESC, challenge_id LIMIT 10""",
 )
 def ams_top_challenges(inp):

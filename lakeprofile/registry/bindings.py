@@ -266,13 +266,20 @@ SELECT page_id, concat('c', cast(page_id AS STRING)) AS company_id,
        cast(page_id % 6 AS STRING) AS pages_crawled,
        concat('2024-01-', lpad(cast(1 + page_id % 28 AS STRING), 2, '0'), ' 12:00:00') AS crawled_at,
        md5(html) AS content_hash, regexp_extract(html, 'lang="([a-z]+)"', 1) AS main_language
-FROM {pages}""",
+FROM {pages}
+UNION ALL
+SELECT page_id, concat('c', cast(page_id AS STRING)), lower(regexp_extract(url, 'https?://([^/?#]+)', 1)), '9', '2023-12-15 12:00:00',
+       md5(concat('old', cast(page_id AS STRING))), 'xx'
+FROM {pages} WHERE page_id % 3 = 0""",
     "b_gen_health": """
 SELECT concat('d', cast(page_id * 2 AS STRING), '.example.com') AS domain,
        CASE WHEN page_id % 10 = 0 THEN NULL ELSE cast((page_id * 37) % 101 AS DOUBLE) / 100 END AS domain_health_score,
        url LIKE 'https%' AS ssl_valid, page_id % 7 <> 0 AS dns_resolution,
        cast('2024-01-30 00:00:00' AS TIMESTAMP) AS last_health_check
-FROM {pages}""",
+FROM {pages}
+UNION ALL
+SELECT concat('d', cast(page_id * 2 AS STRING), '.example.com'), cast(0.5 AS DOUBLE), true, true, cast('2024-01-20 00:00:00' AS TIMESTAMP)
+FROM {pages} WHERE page_id % 4 = 0""",
     # keyed rows that change over time, for upserts and deltas
     "b_updates": """
 SELECT cast(user_id AS STRING) AS company_key, event_id, event_type AS status, value AS score, ts AS updated_at,

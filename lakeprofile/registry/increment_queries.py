@@ -119,7 +119,7 @@ def cache_misses(inp):
 )
 def cache_evict(inp):
     rows = inp["b_updates"].select("event_id", "updated_at")
-    return incremental.evict_oldest(rows, "updated_at", ["event_id"])
+    return incremental.evict_oldest(rows, "updated_at", ["event_id"], threshold=1000)
 
 
 @query(
@@ -164,7 +164,7 @@ def crawl_candidates(inp):
 
 
 QUEUE_PROMPT = """'Task: ' || replace(task_type, '_', ' ') || '. Answer as one JSON object.' || chr(10) || 'Name: ' || company_name || chr(10) || 'Industry: ' || industry || chr(10)
-       || 'Description: ' || substr(profile_text, 1, 500) || chr(10) || 'Website: ' || substr(profile_text, 1, 2000) || chr(10)"""
+       || 'Description: ' || profile_text || chr(10) || 'Website: ' || profile_text || chr(10)"""
 
 
 @query(
@@ -174,7 +174,7 @@ QUEUE_PROMPT = """'Task: ' || replace(task_type, '_', ' ') || '. Answer as one J
          FROM (SELECT p.company_key, p.updated_at, p.profile_text_hash, t.task_type, t.model, {QUEUE_PROMPT} AS prompt FROM (SELECT CAST(company_key AS VARCHAR) AS company_key, 'Company ' || company_key AS company_name, industry, profile_text, profile_text_hash, updated_at FROM b_profiles
            WHERE updated_at > TIMESTAMP '2024-01-17 00:00:00' - INTERVAL 7 DAY AND profile_text <> '') p,
            (VALUES ('executive_summary', 'haiku'), ('key_insights', 'haiku'), ('tech_analysis', 'haiku'), ('competitive_analysis', 'sonnet'), ('risk_assessment', 'sonnet'), ('business_intelligence', 'sonnet')) AS t(task_type, model)) q
-         WHERE NOT EXISTS (SELECT 1 FROM o_cache c WHERE c.company_key = q.company_key AND c.task_type = q.task_type)) WINDOW w AS (ORDER BY updated_at DESC, company_key, task_type)) WHERE running <= 1.5 AND item_no <= 4000""",
+         WHERE NOT EXISTS (SELECT 1 FROM o_cache c WHERE c.company_key = q.company_key AND c.task_type = q.task_type)) WINDOW w AS (ORDER BY updated_at DESC, company_key, task_type)) WHERE running <= 1.5""",
 )
 def summary_queue(inp):
     profiles = inp["b_profiles"].select(
@@ -185,7 +185,7 @@ def summary_queue(inp):
         F.lit("-").alias("content_hash"),
     )
     cache = cache_of(inp).withColumn("content_hash", F.lit("-"))
-    queue = ledger.summary_queue(profiles, cache, "2024-01-17", budget=1.5, max_items=4000)
+    queue = ledger.summary_queue(profiles, cache, "2024-01-17", budget=1.5)
     return queue.select("company_key", "task_type", "model", "item_no")
 
 

@@ -10,7 +10,7 @@ from ..plans import match_metrics, second_gen
 from ..session import work_path
 from ..sources import maintenance, readers, writers
 from .aggregate_queries import challenge_metrics_of, overall_of
-from .core import AS_OF, num, query, stamp
+from .core import AS_OF, fixed, num, query, stamp
 from .silver_queries import gen_companies_of
 
 SRC_A = "domain string, company_name string, country string, industry string, total_funding decimal(15,2), crunchbase_url string, source_id long"
@@ -90,7 +90,7 @@ def scan_parquet_dir(inp):
     return readers.read_parquet(inp.spark, path)
 
 
-@query("scan_latest_file", f"SELECT dt, total_challenges, {num('avg_ams_challenge')} FROM o_ams_day")
+@query("scan_latest_file", f"SELECT dt, total_challenges, {fixed('avg_ams_challenge')} FROM o_ams_day")
 def scan_latest_file(inp):
     """Two JSON-array files (one row per day each); the newer one is read."""
     day = F.struct("dt", "total_challenges", "avg_ams_challenge")
@@ -140,7 +140,7 @@ def stage_promote(inp):
 
 @query(
     "sink_json_roundtrip",
-    f"SELECT dt AS date, total_challenges, total_shortlists, {num('avg_ams_challenge')}, '{{\"total\":' || total_challenges || '}}' AS counts_json FROM o_ams_day",
+    f"SELECT dt AS date, total_challenges, total_shortlists, {fixed('avg_ams_challenge')}, '{{\"total\":' || total_challenges || '}}' AS counts_json FROM o_ams_day",
 )
 def sink_json_roundtrip(inp):
     rows = overall_of(inp).select(
@@ -155,8 +155,8 @@ def sink_json_roundtrip(inp):
 
 @query(
     "ams_overall",
-    f"""SELECT 'overall' AS grain, dt, '' AS challenge_id, total_challenges AS n, {num('avg_ams_challenge AS ams')} FROM o_ams_day
-       UNION ALL SELECT 'challenge', dt, challenge_id, total_shortlists, {num('ams_challenge')} FROM o_ams""",
+    f"""SELECT 'overall' AS grain, dt, '' AS challenge_id, total_challenges AS n, {fixed('avg_ams_challenge AS ams')} FROM o_ams_day
+       UNION ALL SELECT 'challenge', dt, challenge_id, total_shortlists, {fixed('ams_challenge')} FROM o_ams""",
 )
 def ams_overall(inp):
     """Both metric tables written by day, then read back."""

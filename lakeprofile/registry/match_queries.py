@@ -13,12 +13,12 @@ from .row_queries import keyword_sql, name_sql
 @query(
     "candidate_prefilter",
     f"""SELECT 'filtered' AS kind, company_key, industry, country, {stamp('updated_at')} FROM b_candidates WHERE industry = 'finance' AND country = 'canada'
-       UNION ALL SELECT 'newest', company_key, industry, country, {stamp('updated_at')} FROM (SELECT * FROM b_candidates ORDER BY b_candidates.updated_at DESC, company_key LIMIT 5000) AS newest""",
+       UNION ALL SELECT 'newest', company_key, industry, country, {stamp('updated_at')} FROM (SELECT * FROM b_candidates ORDER BY b_candidates.updated_at DESC, company_key LIMIT 50) AS newest""",
 )
 def prefilter(inp):
     rows = inp["b_candidates"]
     filtered = candidate_prefilter(rows, {"industry": "finance", "country": "canada"})
-    newest = candidate_prefilter(rows, {"industry": None, "country": None}, limit=5000)
+    newest = candidate_prefilter(rows, {"industry": None, "country": None}, limit=50)
     shown = ["kind", "company_key", "industry", "country", "updated_at"]
     return filtered.withColumn("kind", F.lit("filtered")).select(*shown).unionByName(newest.withColumn("kind", F.lit("newest")).select(*shown))
 

@@ -222,6 +222,20 @@ def test_similarity_of_jvm_and_numpy_agree(spark):
     assert gap < 1e-9
 
 
+@pytest.mark.parametrize("cells", [(20_000, 1_000), (2, 1)])
+def test_vectors_of_other_widths_score_alone(spark, cells):
+    """A vector of another width, an empty or a missing number in one changes no other score."""
+    schema = "challenge_id string, text string, vector array<double>"
+    asked = spark.createDataFrame([("a", "", [1.0, 0.0]), ("b", "", [0.0, 0.0, 2.0])], schema)
+    offered = spark.createDataFrame(
+        [("x", [3.0, 0.0]), ("y", [3.0, 4.0]), ("z", [1.0, 1.0, 1.0]), ("n", [None, 1.0]), ("e", [])], "company_key string, embedding_vector array<double>"
+    ).selectExpr("*", "'' AS company_name", "'' AS industry", "'' AS country")
+    got = matching.match_topk(asked, offered, cell_candidates=cells[0], cell_challenges=cells[1]).collect()
+    scores = {(r.challenge_id, r.company_key): round(r.embedding_similarity, 9) for r in got}
+    third = round(1 / math.sqrt(3), 9)
+    assert scores == {("a", "x"): 1.0, ("a", "y"): 0.6, ("a", "z"): 0.0, ("a", "n"): 0.0, ("b", "x"): 0.0, ("b", "y"): 0.0, ("b", "z"): third, ("b", "n"): 0.0}
+
+
 # --- increments ------------------------------------------------------------------
 
 
