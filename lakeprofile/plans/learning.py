@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer, VectorAssembler
@@ -51,13 +51,14 @@ def training_stats(training: DataFrame) -> DataFrame:
     )
 
 
-def category_values(df: DataFrame, column: str, limit: int = 10_000) -> list[str]:
-    """Sorted category names; they become feature names, so their number is checked."""
+def category_values(df: DataFrame, column: str) -> list[str]:
+    """Sorted category names, all of them.
+
+    They become feature names, and a linear model keeps one coefficient per
+    feature in its document, so the list is as long as the model is.
+    """
     values = df.select(F.coalesce(column, F.lit("unknown")).alias("v")).distinct()
-    rows = values.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} categories; encode it by codes instead")
-    return sorted(r["v"] for r in rows)
+    return sorted(r["v"] for r in values.collect())
 
 
 def feature_matrix(
@@ -80,24 +81,52 @@ def feature_matrix(
 
 
 def with_split(df: DataFrame, key: str, label: str, seed: str = "42") -> DataFrame:
-    """Deterministic 80/20 split inside each label and a cross-validation fold."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(label), F.col(key)), F.lit(1000))
-    return df.withColumn("is_train", bucket < 800).withColumn("fold", (bucket % FOLDS).cast("int"))
+    """Exact 80/20 split inside each label, and a cross-validation fold.
+
+    The rows of a label are numbered in the order of a digest; the last fifth
+    (rounded) is the test part.  Range partitioning on (label, digest) splits a
+    label that holds most rows over many tasks.
+    """
+    drawn = df.withColumn("_draw", F.xxhash64(F.lit(seed), F.col(label), F.col(key)))
+    placed = running_totals(drawn, [F.col("_draw"), F.col(key)], "_place", partition_by=[label])
+    sizes = placed.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
+    joined = lookup_join(placed.withColumn("_label", F.col(label)), sizes, "_label", "left", spread=[key])
+    train = F.col("_place") <= F.col("_n") - F.round(F.col("_n") / FOLDS)
+    return joined.withColumns({"is_train": train, "fold": (F.col("_place") % FOLDS).cast("int")}).select(*df.columns, "is_train", "fold")
+
+
+def class_sizes(df: DataFrame, label: str) -> tuple[int, int]:
+    """Rows labelled 0 and rows labelled 1; other labels are an error."""
+    value = F.col(label)
+    ones, zeros, rows = df.agg(F.count_if(value == 1), F.count_if(value == 0), F.count(F.lit(1))).first()
+    if ones + zeros != rows:
+        raise ValueError(f"{label} has values other than 0 and 1")
+    return zeros, ones
 
 
 def with_balance(df: DataFrame, label: str) -> DataFrame:
-    """Weight n / (classes · n_class) per row."""
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    total = sizes.agg(F.sum("_n").alias("_all")).scalar()
-    classes = sizes.agg(F.count(F.lit(1)).alias("_k")).scalar()
-    weights = sizes.select(label, (total / (classes * F.col("_n"))).alias("weight"))
-    return df.join(F.broadcast(weights), label)  # one row per class
+    """Weight n / (classes · n_class) per row; give it the training part alone."""
+    sizes = class_sizes(df, label)
+    share = [sum(sizes) / (sum(n > 0 for n in sizes) * n) if n else 1.0 for n in sizes]
+    return df.withColumn("weight", F.when(F.col(label) == 1, share[1]).otherwise(share[0]))
+
 
+def fit_logistic(
+    train: DataFrame, names: Sequence[str], label: str, cost: float = 1.0, iterations: int = 1_000
+) -> tuple[LogisticRegressionModel, PipelineModel]:
+    """Class-balanced logistic regression with an L2 penalty.
 
-def fit_logistic(train: DataFrame, names: Sequence[str], label: str) -> tuple[LogisticRegressionModel, Pipeline]:
+    Minimises ``|w|² / 2 + cost · Σ weight · loss`` over features as they are.
+    Spark divides the loss by the sum of the weights (the number of rows), and
+    so the penalty.
+    """
+    balanced = with_balance(train, label)
+    rows = max(1, train.count())
     assembler = VectorAssembler(inputCols=list(names), outputCol="features")
-    lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol="weight", maxIter=100)
-    pipeline = Pipeline(stages=[assembler, lr]).fit(train)
+    lr = LogisticRegression(
+        featuresCol="features", labelCol=label, weightCol="weight", maxIter=iterations, regParam=1.0 / (cost * rows), standardization=False
+    )
+    pipeline = Pipeline(stages=[assembler, lr]).fit(balanced)
     return pipeline.stages[-1], pipeline
 
 
@@ -128,7 +157,7 @@ def train_and_evaluate(df: DataFrame, names: Sequence[str], label: str, key: str
 
     Returns one row of metrics and the model document.
     """
-    prepared = cut_lineage(with_balance(with_split(df, key, label), label))
+    prepared = cut_lineage(with_split(df, key, label))
     train, test = prepared.where("is_train"), prepared.where("NOT is_train")
     model, pipeline = fit_logistic(train, names, label)
     scored = pipeline.transform(test)
@@ -155,6 +184,7 @@ def train_and_evaluate(df: DataFrame, names: Sequence[str], label: str, key: str
         F.lit(sizes.get(True, 0)).alias("training_samples"),
         F.lit(sizes.get(False, 0)).alias("test_samples"),
         F.lit(len(names)).alias("feature_count"),
+        F.lit(model.summary.totalIterations < model.getMaxIter()).alias("converged"),
     )
     return row, model_document(model, names)
 

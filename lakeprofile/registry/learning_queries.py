@@ -103,10 +103,9 @@ def lr_train_eval(inp):
 @query("feature_importance")
 def feature_importance(inp):
     rows, names = features_of(inp)
-    prepared = learning.with_balance(rows, "label")
-    model, _ = learning.fit_logistic(prepared, names, "label")
+    model, _ = learning.fit_logistic(rows, names, "label")
     linear = learning.weights_frame(inp.spark, "logistic_regression", names, [float(c) for c in model.coefficients])
-    forest = learning.forest_importances(prepared, names, "label")
+    forest = learning.forest_importances(rows, names, "label")
     return learning.top_features(linear.unionByName(forest))
 
 

@@ -1,5 +1,6 @@
 """Model training and evaluation."""
 
+import numpy as np
 import pytest
 from conftest import one
 from pyspark.sql import functions as F
@@ -21,7 +22,8 @@ def labelled(spark):
 def test_split_is_stable_and_stratified(labelled):
     split = learning.with_split(labelled, "id", "label")
     shares = {r["label"]: r["s"] for r in split.groupBy("label").agg(F.avg(F.col("is_train").cast("int")).alias("s")).collect()}
-    assert all(0.72 < s < 0.88 for s in shares.values())
+    assert shares == {0: 0.8, 1: 0.8}  # exactly, in each label
+    assert {r["n"] for r in split.groupBy("label", "fold").agg(F.count("*").alias("n")).collect()} == {40, 80}
     assert split.exceptAll(learning.with_split(labelled, "id", "label")).count() == 0
 
 
@@ -68,9 +70,24 @@ def test_promotion_needs_a_real_gain(spark):
     assert got == {"a": (True, True, "medium"), "b": (False, True, "medium"), "c": (True, False, "medium")}
 
 
-def test_too_many_categories_are_refused(spark):
-    with pytest.raises(ValueError, match="more than 5"):
-        learning.category_values(spark.range(10).select(F.col("id").cast("string").alias("c")), "c", limit=5)
+def test_all_categories_count(spark):
+    names = learning.category_values(spark.range(10_500).select(F.col("id").cast("string").alias("c")), "c")
+    assert len(names) == 10_500 and names == sorted(names)
+
+
+def test_labels_are_binary(spark):
+    with pytest.raises(ValueError, match="other than 0 and 1"):
+        learning.with_balance(spark.range(3).withColumn("label", F.col("id")), "label")
+
+
+def test_fit_is_at_the_minimum_of_the_penalised_loss(labelled):
+    model, _ = learning.fit_logistic(labelled, ["signal", "noise"], "label")
+    rows = labelled.toPandas()
+    x, y = rows[["signal", "noise"]].to_numpy(), rows["label"].to_numpy()
+    w = np.array(model.coefficients)
+    weight = np.where(y == 1, 600 / (2 * 200), 600 / (2 * 400))
+    error = weight * (1 / (1 + np.exp(-(x @ w + model.intercept))) - y)
+    assert np.abs(w + x.T @ error).max() < 0.05 and abs(error.sum()) < 0.05
 
 
 def test_text_vectors_have_unit_length(spark):
