@@ -34,22 +34,24 @@ PHRASES = (
     "click here", "subscribe to", "sign in", "log in", "read more", "share this", "lorem ipsum", "powered by", "permission is hereby granted",
 )
 CLOSED = r"[.!?…:;\"'”’»)\]。！？][\x20\x09-\x0D]*$"
-SEPARATOR = r"[|»›•·>]"
+SEPARATORS = "|»›•·>"
 
 
 def without(text: Column, characters: str) -> Column:
     return F.translate(text, characters, "")
 
 
-def line_faults(line: Column, fragment_words: int, phrase_words: int) -> Column:
+def line_parts(line: Column) -> Column:
+    """What several rules ask of a line, worked out once."""
+    return F.struct(line.alias("line"), F.size(split_words(line)).alias("n"), F.length(without(line, BLANKS)).alias("chars"), F.lower(line).alias("plain"))
+
+
+def line_faults(part: Column, fragment_words: int, phrase_words: int) -> Column:
     """Name of the rule the line breaks, or null."""
-    words = split_words(line)
-    n = F.size(words)
-    length = F.length(without(line, BLANKS))
+    line, n, length, plain = part["line"], part["n"], part["chars"], part["plain"]
     shouts = F.length(line) - F.length(without(line, "!"))
     symbols = F.length(line) - F.length(without(line, SYMBOLS))
-    bars = F.size(F.split(line, SEPARATOR, -1)) - 1
-    plain = F.lower(line)
+    bars = F.length(line) - F.length(without(line, SEPARATORS))
     phrase = F.lit(False)
     for p in PHRASES:
         phrase = phrase | plain.contains(p)
@@ -58,39 +60,45 @@ def line_faults(line: Column, fragment_words: int, phrase_words: int) -> Column:
         .when((bars >= 3) & (n - bars <= 3 * (bars + 1)), "navigation")
         .when(symbols * 10 > length, "punctuation")
         .when((n < fragment_words) & ~line.rlike(CLOSED), "punctuation")
-        .when(phrase & (n < phrase_words), "boilerplate")
-        .when((n >= 10) & (F.size(F.array_distinct(words)) * 10 < 3 * n), "boilerplate")
+        .when((n < phrase_words) & phrase, "boilerplate")
+        .when((n >= 10) & (F.size(F.array_distinct(split_words(line))) * 10 < 3 * n), "boilerplate")
     )
 
 
-def repeated_words(words: Column, windows: Column) -> Column:
-    """Words in three-word windows that occur twice or more; ``windows`` are their digests in order."""
-    n = F.size(windows)
-    placed = F.array_sort(F.transform(windows, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
-    paired = F.zip_with(placed, F.concat(F.slice(placed, 2, n), F.array(F.lit(None).cast("struct<g:bigint,i:int>"))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+def placed_windows(windows: Column) -> Column:
+    """Digests of the windows with their places, equal ones side by side; empty where all differ."""
+    none = F.array().cast("array<struct<g:bigint,i:int>>")
+    placed = F.sort_array(F.transform(windows, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
+    return F.when(F.size(F.array_distinct(windows)) < F.size(windows), placed).otherwise(none)
+
+
+def repeated_words(placed: Column) -> Column:
+    """Words in three-word windows that occur twice or more."""
+    paired = F.zip_with(placed, F.concat(F.slice(placed, 2, F.size(placed)), F.array(F.lit(None).cast("struct<g:bigint,i:int>"))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     twice = F.filter(paired, lambda p: p["a"]["g"] == p["b"]["g"])
     starts = F.array_distinct(F.flatten(F.transform(twice, lambda p: F.array(p["a"]["i"], p["b"]["i"]))))
     covered = F.array_distinct(F.flatten(F.transform(starts, lambda i: F.array(i, i + 1, i + 2))))
-    return F.when((n > 0) & (F.size(F.array_distinct(windows)) < n), F.size(covered)).otherwise(0)
+    return F.when(F.size(placed) > 0, F.size(covered)).otherwise(0)
 
 
 def measure_lines(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, max_lost: float = 0.5, fragment_words: int = 10, phrase_words: int = 30) -> DataFrame:
     """One row per document: word and line measures, the cleaned text, and whether the document stays."""
     text = F.col("text")
-    split = doc_rows(docs).select("doc_id", "text", split_words(text).alias("words"), F.filter(F.split(text, "\n", -1), lambda s: F.length(without(s, BLANKS)) > 0).alias("lines"))
+    split = doc_rows(docs).select("doc_id", "text", split_words(text).alias("words"), F.filter(F.split(text, "\n", -1), lambda s: F.btrim(s, F.lit(BLANKS)) != "").alias("lines"))
     n = F.size("words")
     digests = F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(F.col("words")[i], F.col("words")[i + 1], F.col("words")[i + 2]))
     empty = F.array().cast("array<bigint>")
     first = F.array_distinct("lines")
-    with_windows = split.select("*", F.when(n >= 3, digests).otherwise(empty).alias("windows"), F.size("lines").alias("n_lines"), F.size(first).alias("n_first"), F.transform(first, lambda s: F.struct(s.alias("line"), F.length(without(s, BLANKS)).alias("chars"), line_faults(s, fragment_words, phrase_words).alias("fault"))).alias("judged"))
+    with_windows = split.select("*", F.when(n >= 3, digests).otherwise(empty).alias("windows"), F.size("lines").alias("n_lines"), F.size(first).alias("n_first"), F.transform(F.transform(first, line_parts), lambda j: F.struct(j["line"].alias("line"), j["chars"].alias("chars"), line_faults(j, fragment_words, phrase_words).alias("fault"))).alias("judged"))
+    with_places = with_windows.select("*", placed_windows(F.col("windows")).alias("placed"))
     good = F.filter("judged", lambda j: j["fault"].isNull())
     word_chars = F.length(without(text, BLANKS))
     clean_chars = F.aggregate(good, F.lit(0), lambda a, j: a + j["chars"])
-    measured = with_windows.select(
+    measured = with_places.select(
         "doc_id", n.cast("long").alias("n_words"), word_chars.cast("long").alias("word_chars"),
         (F.length(text) - F.length(without(text, SYMBOLS))).cast("long").alias("n_symbols"),
         (F.col("n_lines") - F.col("n_first")).cast("long").alias("n_dup_lines"),
-        repeated_words(F.col("words"), F.col("windows")).cast("long").alias("n_repeat_words"),
+        repeated_words(F.col("placed")).cast("long").alias("n_repeat_words"),
         clean_chars.cast("long").alias("clean_chars"),
         (F.col("n_lines") - F.size(good)).cast("long").alias("n_removed_lines"),
         F.array_join(F.transform(good, lambda j: j["line"]), "\n").alias("clean_text"),
@@ -126,7 +134,7 @@ ln AS (SELECT DISTINCT doc_id, unnest(lines) AS line FROM w),
 m AS (SELECT doc_id, line, length(regexp_replace(line, '{blank}', '', 'g')) AS chars,
              list_filter(regexp_split_to_array(line, '{blank}+'), lambda x: x <> '') AS ws,
              length(regexp_replace(line, '[^!]', '', 'g')) AS shouts, length(line) - length(regexp_replace(line, '{symbols}', '', 'g')) AS symbols,
-             len(regexp_split_to_array(line, '{SEPARATOR}')) - 1 AS bars FROM ln),
+             len(regexp_split_to_array(line, '[{SEPARATORS}]')) - 1 AS bars FROM ln),
 f AS (SELECT doc_id, chars, (shouts >= 3 AND shouts * 2 >= len(ws)) OR (bars >= 3 AND len(ws) - bars <= 3 * (bars + 1)) OR symbols * 10 > chars
              OR (len(ws) < {fragment_words} AND NOT regexp_matches(line, '{closed}')) OR (({phrases}) AND len(ws) < {phrase_words})
              OR (len(ws) >= 10 AND len(list_distinct(ws)) * 10 < 3 * len(ws)) AS bad FROM m),
