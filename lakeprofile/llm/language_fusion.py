@@ -15,10 +15,12 @@ in no known language end there.  A text too short for a trigram is left to its
 prior.  A row is rejected if its text holds no letter, if ``und`` wins, or if the
 best posterior is below ``least``.
 
-The models are fitted on a bounded sample of labelled rows: the rows whose digest
-falls below ``train_rows / rows``, about 8,000 however large the table; languages
-with fewer than ``least_rows`` of them are left out.  Counts for priors and
-declarations cover all rows.
+The models are fitted on a bounded sample of each language: of its different
+labelled texts those whose digest falls below ``train_rows / texts``, so all of
+them up to ``train_rows`` and about that many beyond, and each once however often
+it is copied.  Languages with fewer than ``least_rows`` labelled rows in the whole
+table are left out; the size of the table and of the other languages plays no
+part.  Counts for priors and declarations cover all rows.
 
 Null text counts as empty (rejected); null hosts, declarations and suffixes give
 no evidence of their own; equal rows get equal results; an empty table gives an
@@ -60,10 +62,17 @@ def trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return code[keep], cut[:-1], cut[1:], np.diff(letters)
 
 
-def sampled(rows: DataFrame, train_rows: int) -> DataFrame:
-    total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
-    place = F.pmod(F.xxhash64("text", "label"), F.lit(1 << 30)) / float(1 << 30)
-    return rows.where(F.col("label").isNotNull() & (place * total < train_rows))
+def sampled(rows: DataFrame, train_rows: int, least_rows: int) -> tuple[list[str], DataFrame]:
+    """Languages with ``least_rows`` labelled rows, in order, and (``text``, ``language``: its number) of their sample."""
+    known = rows.where(F.col("label").isNotNull()).select("text", "label", F.xxhash64("text").alias("digest"))
+    texts = known.groupBy("label", "digest").agg(F.count(F.lit(1)).alias("copies"))
+    found = texts.groupBy("label").agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("texts")).where(F.col("n") >= least_rows)
+    shares = sorted((r.label, train_rows / r.texts) for r in found.collect())  # one row per language
+    numbered = [(label, i, share) for i, (label, share) in enumerate(shares)]
+    table = rows.sparkSession.createDataFrame(numbered, "label string, language int, share double")
+    place = F.pmod(F.xxhash64("label", "digest"), F.lit(1 << 30)) / float(1 << 30)
+    drawn = known.join(F.broadcast(table), "label").where(place < F.col("share"))
+    return [label for label, _ in shares], drawn.groupBy("language", "digest").agg(F.min("text").alias("text"))
 
 
 def train(rows: DataFrame, train_rows: int = 8_000, least_rows: int = 5, smooth: float = 0.5) -> tuple[list[str], np.ndarray]:
@@ -71,31 +80,33 @@ def train(rows: DataFrame, train_rows: int = 8_000, least_rows: int = 5, smooth:
     small_batches(rows.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables: dict[str, np.ndarray] = {}
-        texts: dict[str, int] = {}
+        tables: dict[int, np.ndarray] = {}
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for number, table in tables.items():
+                at = np.flatnonzero(table)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), number, np.int32)), pa.array(at.astype(np.int32)), pa.array(table[at])], ["language", "slot", "n"])
+            tables.clear()
+
         for batch in pieces(batches, 0):
             code, low, high, _ = trigrams(batch.column(0))
-            for i, label in enumerate(batch.column(1).to_pylist()):
-                table = tables.setdefault(label, np.zeros(1 << BITS, np.int64))
+            for i, number in enumerate(batch.column(1).to_pylist()):
+                if number not in tables and len(tables) == 64:  # half a MB each
+                    yield from counted()
+                table = tables.setdefault(number, np.zeros(1 << BITS, np.int64))
                 table += np.bincount(code[low[i] : high[i]], minlength=1 << BITS)
-                texts[label] = texts.get(label, 0) + 1
-        for label, table in tables.items():
-            at = np.flatnonzero(table)
-            slot = np.r_[-1, at]  # slot -1 counts the texts
-            n = np.r_[texts[label], table[at]]
-            yield pa.RecordBatch.from_arrays([pa.array([label] * len(slot)), pa.array(slot.astype(np.int32)), pa.array(n)], ["label", "slot", "n"])
-
-    counted = sampled(rows, train_rows).select("text", "label").mapInArrow(count, "label string, slot int, n long")
-    # at most train_rows / least_rows languages of 2 ** BITS slots
-    table = counted.groupBy("label", "slot").agg(F.sum("n").alias("n")).toPandas()
-    enough = table[(table.slot == -1) & (table.n >= least_rows)].label
-    languages = sorted(enough)
+        yield from counted()
+
+    languages, sample = sampled(rows, train_rows, least_rows)
+    counts = sample.select("text", "language").mapInArrow(count, "language int, slot int, n long")
+    # at most 2 ** BITS slots per language
+    table = counts.groupBy("language", "slot").agg(F.sum("n").alias("n")).toPandas()
     model = np.full((len(languages) + 1, 1 << BITS), -BITS * np.log(2.0))
-    for i, language in enumerate(languages):
-        own = table[(table.label == language) & (table.slot >= 0)]
-        counts = np.full(1 << BITS, smooth)
-        counts[own.slot.to_numpy()] += own.n.to_numpy()
-        model[i] = np.log(counts / counts.sum())
+    for i in range(len(languages)):
+        own = table[table.language == i]
+        numbers = np.full(1 << BITS, smooth)
+        numbers[own.slot.to_numpy()] += own.n.to_numpy()
+        model[i] = np.log(numbers / numbers.sum())
     return [*languages, UNKNOWN], model.astype(np.float32)
 
 

@@ -346,6 +346,24 @@ def test_evidence_beside_the_text(spark):
     assert got[500].language == "de" and got[501].language == "fr" and not got[502].kept
 
 
+def test_languages_at_every_size(spark):
+    """Five labelled rows among many of another language are enough, and copies do not crowd out other texts."""
+    rows = spark.range(40_000).select(F.concat(F.lit("the and of that in "), F.col("id").cast("string")).alias("text"), F.lit("en").alias("label"))
+    few = spark.createDataFrame([(f"der die und nicht das ist {w}", "de") for w in ("ein", "zwei", "drei", "vier", "auch")] + [("le la et les", "fr")] * 4, rows.schema)
+    copied = spark.range(20_000).select(F.lit("il che di la e non").alias("text"), F.lit("it").alias("label"))
+    languages, sample = language_fusion.sampled(rows.union(few).union(copied), 1_000, 5)
+    assert languages == ["de", "en", "it"]
+    drawn = {r.language: r["count"] for r in sample.groupBy("language").count().collect()}
+    assert (drawn[0], drawn[2]) == (5, 1) and 800 < drawn[1] < 1_200
+    languages, model = language_fusion.train(rows.union(few).union(copied))
+    assert languages == ["de", "en", "it", "und"] and model.shape[0] == 4
+    texts = [("der die und nicht", "de"), ("the and of that", "en"), ("il che di la", "it")]
+    asked = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "key long, text string")
+    asked = asked.select("*", *[F.lit(None).cast("string").alias(c) for c in ("host", "domain", "declared", "suffix")])
+    got = {r.key: r.language for r in language_fusion.identify(asked, languages, model).collect()}
+    assert [got[i] for i in range(3)] == [t[1] for t in texts]
+
+
 # pipeline
 
 
