@@ -4,18 +4,22 @@ Two kinds of spans are found in every whole text:
 
 * identifiers (email, ip, card, phone) by their form;
 * terms that give an identifier away.  Over the whole corpus the documents that
-  hold an identifier e, a term t, and t beside e are counted.  The share of e's
+  hold an identifier e, a term t, and both are counted, wherever in the text they
+  stand; what is written inside an identifier is no term.  The share of e's
   information content that t discloses is
   ``PMI(e; t) / IC(e) = 1 - ln(df(t) / df(e, t)) / ln(N / df(e))``.
   From ``generalise_at`` on, t is replaced by its class; from ``remove_at`` on it
   is taken out.  A pair counts as evidence only if it was seen in
-  ``min_contexts`` different surroundings, so copies of one text prove nothing.
+  ``min_contexts`` different surroundings (``reach`` characters on either side of
+  the identifier and the terms beside the term), so copies of one text prove
+  nothing.
 
-Terms are judged where they stand beside an identifier: within ``reach``
-characters and ``nearest`` terms on either side, which keeps the number of pairs
-proportional to the number of identifiers, whatever a text or an identifier
-that fills the corpus brings.  All counts are partial sums in the map tasks
-before any shuffle.
+A term that discloses any identifier is marked wherever it occurs, in documents
+without the identifier, too.  No pair is left out but those whose counts alone
+show that the share stays below ``generalise_at``: it cannot be reached by a term
+of more than ``df(e) * (N / df(e)) ** (1 - generalise_at)`` documents.  Counted
+terms travel to the documents while there are at most ``broadcast_terms`` of
+them; beyond that both sides are joined by shuffle.  Both ways give the same rows.
 
 Null text counts as empty; a null ``doc_id`` is an id like any other; equal rows
 get equal results; an empty table gives an empty result.  Only ``doc_id`` and
@@ -27,9 +31,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import lookup_join
 from ..session import cut_lineage
 from .common import doc_rows, text_key
-from .spans import SPAN, count_kind, listed, match_spans, none, overlaps, replaced
+from .spans import SPAN, blanked, count_kind, listed, match_spans, none, replaced
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "general", "removed")
@@ -77,82 +82,86 @@ def entity(span: Column) -> Column:
     return F.concat(span["kind"], F.lit(":"), F.when(span["kind"].isin("card", "phone"), digits(span["value"])).otherwise(F.lower(span["value"])))
 
 
-def shifted(terms: Column, by: Column) -> Column:
-    return F.transform(terms, lambda t: F.struct(t["kind"], (t["start"] + by).alias("start"), (t["end"] + by).alias("end"), t["value"]))
-
-
 def with_identifiers(docs: DataFrame, reach: int) -> DataFrame:
-    """One narrow row per document: ``doc_id``, ``_key``, ``base`` spans and their surroundings ``near``."""
+    """One row per document: ``row`` (its number), ``doc_id``, ``_key``, ``base`` spans, ``bare`` (the text with blanks for
+    identifiers) and ``entities`` with a digest of their surroundings."""
     found = doc_rows(docs).withColumn("base", identifiers(F.col("text")))
     text = F.col("text")
-    near = F.transform(
+    mention = F.transform(
         "base",
         lambda s: F.struct(
-            F.greatest(s["start"] - reach, F.lit(0)).alias("left"),
-            F.substring(text, F.greatest(s["start"] - reach, F.lit(0)) + 1, F.least(s["start"], F.lit(reach))).alias("before"),
-            F.substring(text, s["end"] + 1, F.lit(reach)).alias("after"),
-            (s["end"] + reach < F.length(text)).alias("cut"),
+            entity(s).alias("entity"),
+            F.xxhash64(
+                F.substring(text, F.greatest(s["start"] - reach, F.lit(0)) + 1, F.least(s["start"], F.lit(reach))),
+                F.substring(text, s["end"] + 1, F.lit(reach)),
+            ).alias("context"),
         ),
     )
-    return found.select("doc_id", text_key(text).alias("_key"), "base", near.alias("near"))
-
-
-def nearby_terms(rows: DataFrame, nearest: int) -> DataFrame:
-    """One row per (document, identifier, term beside it)."""
-    mention = rows.where(F.size("base") > 0).select("doc_id", "_key", "base", F.explode(F.arrays_zip("base", "near")).alias("m"))
-    span, near = F.col("m.base"), F.col("m.near")
-    sides = mention.select(
-        "doc_id", "_key", "base", entity(span).alias("entity"), F.xxhash64(near["before"], near["after"]).alias("context"),
-        near["left"].alias("left"), span["end"].alias("end"), near["cut"].alias("cut"), F.length(near["after"]).alias("width"),
-        match_spans(near["before"], TERM, "term").alias("before"), match_spans(near["after"], TERM, "term").alias("after"),
-    )
-    # a term that the edge of the window may have cut is no term
-    inner = F.filter("before", lambda t: (F.col("left") == 0) | (t["start"] > 0))
-    outer = F.filter("after", lambda t: ~F.col("cut") | (t["end"] < F.col("width")))
-    last = F.slice(F.reverse(inner), 1, nearest)
-    terms = F.concat(shifted(last, F.col("left")), shifted(F.slice(outer, 1, nearest), F.col("end")))
-    kept = F.filter(terms, lambda t: ~overlaps(t, F.col("base")))
-    each = sides.select("doc_id", "_key", "entity", "context", F.explode(kept).alias("t"))
-    return each.select("doc_id", "_key", "entity", "context", F.lower("t.value").alias("term"), F.col("t.start").alias("start"), F.col("t.end").alias("end"), F.col("t.value").alias("value"))
-
-
-def term_documents(docs: DataFrame) -> DataFrame:
-    """Documents that hold a term, for every term of every whole text; terms by their 64-bit digest."""
-    own = F.transform(F.split("text", NO_TERM), lambda t: F.xxhash64(F.lower(t)))
-    return doc_rows(docs).select(F.explode(F.array_distinct(own)).alias("digest")).groupBy("digest").agg(F.count(F.lit(1)).alias("df_term"))
-
-
-def disclosing_terms(docs: DataFrame, near: DataFrame, min_contexts: int, generalise_at: float) -> DataFrame:
-    """(entity, term, disclosed): pairs of which the term discloses at least ``generalise_at`` of the entity."""
-    per_doc = near.groupBy("entity", "term", "doc_id", "_key").agg(F.min("context").alias("context"))
-    per_context = per_doc.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("n"))
-    pairs = per_context.groupBy("entity", "term").agg(F.sum("n").alias("df_pair"), F.count(F.lit(1)).alias("contexts"))
-    pairs = pairs.where(F.col("contexts") >= min_contexts)
-    entities = near.groupBy("entity", "doc_id", "_key").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity"))
-    total = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
-    known = pairs.join(entities, "entity").withColumn("digest", F.xxhash64("term")).join(term_documents(docs), "digest")
-    hidden = F.log(total / F.col("df_entity"))
-    left = F.log(F.greatest(F.col("df_term") / F.col("df_pair"), F.lit(1.0)))
-    share = F.when(hidden > 0, 1 - left / hidden).otherwise(F.lit(0.0))
-    return known.select("entity", "term", share.alias("disclosed")).where(F.col("disclosed") >= generalise_at)
+    bare = F.when(F.size("base") > 0, blanked(text, F.col("base"))).otherwise(text)
+    return found.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_key(text).alias("_key"), "base", bare.alias("bare"), mention.alias("entities"))
+
+
+def term_digests(text: Column) -> Column:
+    """64-bit digests of the terms of a text in order."""
+    return F.transform(F.filter(F.split(text, NO_TERM), lambda t: t != ""), lambda t: F.xxhash64(F.lower(t)))
+
+
+def held_terms(rows: DataFrame) -> DataFrame:
+    """``row`` and ``digest`` of every term of every text, once a text."""
+    return rows.select("row", F.explode(F.array_distinct(term_digests(F.col("bare")))).alias("digest"))
+
+
+def with_terms(held: DataFrame, terms: DataFrame, broadcast_terms: int, spread: str = "row") -> DataFrame:
+    """Rows of ``held`` whose ``digest`` is among ``terms`` (one row per digest), with its columns."""
+    if terms.count() <= broadcast_terms:
+        return held.join(F.broadcast(terms), "digest")
+    return lookup_join(held, terms, "digest", "inner", spread=[spread])
+
+
+def disclosing_terms(rows: DataFrame, min_contexts: int, generalise_at: float, broadcast_terms: int) -> DataFrame:
+    """(digest, disclosed): terms that disclose at least ``generalise_at`` of an entity, and the most they disclose."""
+    total = rows.count()
+    mention = rows.where(F.size("entities") > 0).select("row", F.explode("entities").alias("e"))
+    mention = cut_lineage(mention.groupBy("row", F.xxhash64("e.entity").alias("entity")).agg(F.min("e.context").alias("context")))
+    entities = mention.groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity"))
+    # an entity of all documents has no information to disclose
+    entities = cut_lineage(entities.where((F.col("df_entity") >= min_contexts) & (F.col("df_entity") < total)))
+    most = F.col("df_entity") * F.pow(total / F.col("df_entity"), F.lit(1 - generalise_at)) * (1 + 1e-9)
+    known = lookup_join(mention, entities, "entity", "inner", spread=["row"]).withColumn("most", most)
+    each = F.struct("entity", "context", "df_entity", "most")
+    evident = cut_lineage(known.groupBy("row").agg(F.collect_list(each).alias("es"), F.max("most").alias("most")))
+    limit = evident.agg(F.max("most").alias("m")).first()["m"]
+    counted = held_terms(rows).groupBy("digest").agg(F.count(F.lit(1)).alias("df_term"))
+    counted = cut_lineage(counted.where((F.col("df_term") >= min_contexts) & (F.col("df_term") <= F.lit(limit))))
+    own = term_digests(F.col("bare"))
+    told = rows.where(F.size("entities") > 0).join(evident, "row").select("row", "es", "most", own.alias("own"))
+    beside = F.transform("own", lambda t, i: F.struct(t.alias("digest"), F.xxhash64(F.get("own", i - 1), F.get("own", i + 1)).alias("beside")))
+    placed = told.select("row", "es", "most", F.explode(beside).alias("t")).select("row", "es", "most", "t.digest", "t.beside")
+    fit = with_terms(placed, counted, broadcast_terms).where(F.col("df_term") <= F.col("most"))
+    pairs = fit.select("row", "digest", "df_term", "beside", F.explode("es").alias("e")).where(F.col("df_term") <= F.col("e.most"))
+    names = [F.col("e.entity").alias("entity"), "digest", F.col("e.df_entity").alias("df_entity"), "df_term"]
+    keys = ["entity", "digest", "df_entity", "df_term"]
+    per_doc = pairs.groupBy(*names, "row").agg(F.min(F.xxhash64("e.context", "beside")).alias("context"))
+    per_context = per_doc.groupBy(*keys, "context").agg(F.count(F.lit(1)).alias("n"))
+    seen = per_context.groupBy(*keys).agg(F.sum("n").alias("df_pair"), F.count(F.lit(1)).alias("contexts")).where(F.col("contexts") >= min_contexts)
+    share = 1 - F.log(F.col("df_term") / F.col("df_pair")) / F.log(total / F.col("df_entity"))
+    return seen.select("digest", share.alias("disclosed")).where(F.col("disclosed") >= generalise_at).groupBy("digest").agg(F.max("disclosed").alias("disclosed"))
 
 
 def find_personal_data(
-    docs: DataFrame, reach: int = 80, nearest: int = 8, min_contexts: int = 2, generalise_at: float = 0.6, remove_at: float = 0.9
+    docs: DataFrame, reach: int = 80, min_contexts: int = 2, generalise_at: float = 0.6, remove_at: float = 0.9, broadcast_terms: int = 1_000_000
 ) -> DataFrame:
     """``doc_id``, ``_key`` (digest of the text) and ``spans`` of every document."""
     rows = cut_lineage(with_identifiers(docs, reach))
-    near = nearby_terms(rows, nearest)
-    telling = disclosing_terms(docs, near, min_contexts, generalise_at)
-    hits = near.join(telling, ["entity", "term"]).groupBy("doc_id", "_key", "start", "end", "value").agg(F.max("disclosed").alias("disclosed"))
-    kind = F.when(F.col("disclosed") >= remove_at, "removed").otherwise("general")
-    span = F.struct(kind.alias("kind"), "start", "end", "value").cast(SPAN)
-    added = hits.groupBy(F.col("doc_id").alias("_doc"), F.col("_key").alias("_added_key")).agg(F.collect_list(span).alias("added"))
-    # only rows with an identifier can have such terms; the others need no join
-    with_base = rows.where(F.size("base") > 0).select("doc_id", "_key", "base")
-    joined = with_base.join(added, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_added_key")), "left")
-    full = joined.select("doc_id", "_key", F.concat("base", F.coalesce("added", none())).alias("spans"))
-    return full.unionByName(rows.where(F.size("base") == 0).select("doc_id", "_key", F.col("base").alias("spans")))
+    telling = cut_lineage(disclosing_terms(rows, min_contexts, generalise_at, broadcast_terms))
+    removed = F.collect_list(F.when(F.col("disclosed") >= remove_at, F.col("digest"))).alias("removed")
+    hits = with_terms(held_terms(rows), telling, broadcast_terms).groupBy("row").agg(F.collect_list("digest").alias("marked"), removed)
+    joined = rows.drop("entities").join(hits, "row", "left")
+    digest_of = lambda value: F.xxhash64(F.lower(value))
+    found = match_spans(F.col("bare"), TERM, "general", lambda t: F.array_contains("marked", digest_of(t)))
+    kind = lambda t: F.when(F.array_contains("removed", digest_of(t["value"])), "removed").otherwise("general")
+    added = F.transform(found, lambda t: F.struct(kind(t).alias("kind"), t["start"], t["end"], t["value"])).cast(f"array<{SPAN}>")
+    return joined.select("doc_id", "_key", F.when(F.col("marked").isNull(), F.col("base")).otherwise(F.concat("base", added)).alias("spans"))
 
 
 def term_class(span: Column) -> Column:

@@ -41,6 +41,19 @@ def overlaps(span: Column, others: Column) -> Column:
     return F.exists(others, lambda o: (o["start"] < span["end"]) & (span["start"] < o["end"]))
 
 
+def blanked(text: Column, spans: Column) -> Column:
+    """Text with as many blanks in the place of every span, so that all positions stay."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+
+    def step(state: Column, s: Column) -> Column:
+        begin, end = F.greatest(state["at"], s["start"]), F.greatest(state["at"], s["end"])
+        piece = F.concat(F.substring(text, state["at"] + 1, begin - state["at"]), F.repeat(F.lit(" "), end - begin))
+        return F.struct(end.alias("at"), F.concat(state["out"], F.array(piece)).alias("out"))
+
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    return F.aggregate(ordered, empty, step, lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, s["at"] + 1, F.length(text))))
+
+
 def listed(spans: Column, kinds: Sequence[str], start_first: bool = False) -> Column:
     """``kind:start:end`` of all spans, comma-joined, by kind as listed and start, or by start first."""
 

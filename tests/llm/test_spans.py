@@ -69,6 +69,23 @@ def test_disclosing_terms(spark):
     assert "zorblax" not in clean[0] and "[EMAIL]" in clean[0] and clean[100] == noise[0][1]
 
 
+@pytest.mark.parametrize("broadcast_terms", [1_000_000, 0])
+def test_terms_disclose_from_anywhere(spark, broadcast_terms):
+    """A nickname far from the address, beyond eight other terms, is found and marked wherever it occurs, in all texts."""
+    filler = lambda i: " ".join(f"w{(i * 37 + k * (k + i)) % 90}" for k in range(60))
+    told = [(i, f"Zorblax wrote {filler(i)} to ann@x.org {filler(i + 3)} signed zorblax") for i in range(6)]
+    noise = [(100 + i, f"somebody wrote {filler(i)} to all") for i in range(300)] + [(900, "who is ZORBLAX and ann"), (901, "+1 (456) 555-2186x é zorblax")]
+    docs = spark.createDataFrame(told + noise, "doc_id long, text string")
+    texts = dict(told + noise)
+    settings = {"broadcast_terms": broadcast_terms}
+    spans = {r.doc_id: [(s.value, s.start, s.end) for s in r.spans if s.kind in ("general", "removed")] for r in pii.find_personal_data(docs, **settings).collect()}
+    for i, text in texts.items():
+        want = [(m[0], *m.span()) for m in re.finditer("(?i)zorblax", text)]
+        assert [s for s in spans[i] if s[0].lower() == "zorblax"] == want, text
+    assert not any(s[0] in ("wrote", "to", "ann", "x", "org") for found in spans.values() for s in found)
+    assert all("zorblax" not in r.text.lower() for r in pii.sanitise(docs, **settings).collect())
+
+
 def test_copies_are_no_evidence(spark):
     docs = spark.createDataFrame([(i, "rareword ann@x.org otherword") for i in range(9)] + [(50 + i, f"text {i}") for i in range(100)], "doc_id long, text string")
     assert all(s.kind == "email" for r in pii.find_personal_data(docs).collect() for s in r.spans)
