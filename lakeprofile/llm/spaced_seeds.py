@@ -4,9 +4,11 @@ A mask looks at some word positions of a window and ignores the others, so a
 replaced word on an ignored position does not hide a copy.  Every window of
 every whole document and of every benchmark item is digested under each mask;
 equal digests are hits.  Around a hit the two texts are laid over each other and
-the best stretch (matching word +1, other word -3) is measured; a document is
-contaminated by an item when at least ``min_overlap`` words of such a stretch
-match, or all words of a shorter item.  No hit is kept without that check.
+the stretches (matching word +1, other word -3, from a match on while the sum is
+above 0) are measured; a document is contaminated by an item when at least
+``min_overlap`` words of any stretch match, or all words of a shorter item.  No hit
+is kept without that check.  Reported is the part with the highest sum or, if too
+few of its words match, the one with the most matching words.
 
 Words are runs of letters and digits in lower case.  Items with fewer words than
 the shortest mask cannot be hit and never match; so do null and empty texts.
@@ -55,8 +57,9 @@ def windows(rows: DataFrame, masks: Sequence[str]) -> DataFrame:
     return placed.select("*", F.explode(window_digests(F.col("words"), F.col("at"), masks)).alias("seed")).where(F.col("seed").isNotNull())
 
 
-def best_stretch(same: Column) -> Column:
-    """Of an array of matches, the stretch with the highest score: its words, matching words and start."""
+def best_stretch(same: Column, least: Column) -> Column:
+    """Of an array of matches, the stretch with the highest score if ``least`` of its words match, else the one with the
+    most matching words: its words, matching words and start."""
 
     def step(s: Column, hit: Column) -> Column:
         score = F.when(hit, s["score"] + 1).otherwise(s["score"] - 3)
@@ -64,14 +67,22 @@ def best_stretch(same: Column) -> Column:
         start = F.when(s["score"] > 0, s["start"]).otherwise(s["at"])
         hits = F.when(s["score"] > 0, s["hits"]).otherwise(0) + F.when(hit, 1).otherwise(0)
         better = lives & (score > s["top"])
+        fuller = lives & (hits > s["most"])
         return F.struct(
             (s["at"] + 1).alias("at"), F.when(lives, score).otherwise(0).alias("score"), start.alias("start"), F.when(lives, hits).otherwise(0).alias("hits"),
             F.when(better, score).otherwise(s["top"]).alias("top"), F.when(better, s["at"] + 1 - start).otherwise(s["words"]).alias("words"),
             F.when(better, hits).otherwise(s["matched"]).alias("matched"), F.when(better, start).otherwise(s["first"]).alias("first"),
+            F.when(fuller, hits).otherwise(s["most"]).alias("most"), F.when(fuller, s["at"] + 1 - start).otherwise(s["most_words"]).alias("most_words"),
+            F.when(fuller, start).otherwise(s["most_first"]).alias("most_first"),
         )
 
-    names = ("at", "score", "start", "hits", "top", "words", "matched", "first")
-    return F.aggregate(same, F.struct(*[F.lit(0).alias(n) for n in names]), step, lambda s: F.struct(s["words"].alias("words"), s["matched"].alias("matched"), s["first"].alias("first")))
+    def chosen(s: Column) -> Column:
+        top = F.struct(s["words"].alias("words"), s["matched"].alias("matched"), s["first"].alias("first"))
+        fullest = F.struct(s["most_words"].alias("words"), s["most"].alias("matched"), s["most_first"].alias("first"))
+        return F.when(s["matched"] >= least, top).otherwise(fullest)
+
+    names = ("at", "score", "start", "hits", "top", "words", "matched", "first", "most", "most_words", "most_first")
+    return F.aggregate(same, F.struct(*[F.lit(0).alias(n) for n in names]), step, chosen)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = MASKS, min_overlap: int = 10, broadcast_seeds: int = 1_000_000) -> DataFrame:
@@ -91,8 +102,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = M
     # many hits lie on one alignment; what it covers is the same for all of them
     each = aligned.groupBy("doc_id", "_key", "item_id", "_before", "_other", "_n").agg(F.first("mine").alias("mine"), F.first("theirs").alias("theirs"))
     same = F.zip_with("mine", "theirs", lambda a, b: a == b)
-    laid = each.select("doc_id", "_key", "item_id", "_before", "_n", best_stretch(same).alias("s"))
-    good = laid.where(F.col("s.matched") >= F.least(F.lit(min_overlap), F.col("_n")))
+    least = F.least(F.lit(min_overlap), F.col("_n"))
+    laid = each.select("doc_id", "_key", "item_id", "_before", least.alias("_least"), best_stretch(same, least).alias("s"))
+    good = laid.where(F.col("s.matched") >= F.col("_least"))
     best = F.max(F.struct(F.col("s.matched").alias("m"), F.col("s.words").alias("w"), (-(F.col("_before") + F.col("s.first"))).alias("f")))
     top = good.groupBy("doc_id", "_key", "item_id").agg(best.alias("b"))
     return top.select("doc_id", "_key", "item_id", F.col("b.m").cast("long").alias("matched_words"), F.col("b.w").cast("long").alias("overlap_words"), (-F.col("b.f")).cast("long").alias("first_word"))

@@ -250,6 +250,19 @@ def test_spaced_seeds(spark):
     assert spaced_seeds.contaminated(docs, empty(bench)).count() == 0 and spaced_seeds.contaminated(empty(docs), bench).count() == 0
 
 
+def test_more_copied_text_hides_nothing(spark):
+    """A stretch that is caught alone is caught behind a shorter one with a higher score, too."""
+    item = [f"i{k}" for k in range(40)]
+    edited = item[:9] + ["x"] * 3 + item[12:17] + ["x"] + item[18:23]
+    close = item[:9] + ["x"] * 2 + item[11:16] + ["x"] + item[17:20] + ["x"] + item[21:23] + ["x"] * 9
+    rows = [(1, edited), (2, edited[12:]), (3, edited[:12]), (4, close)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: (r.matched_words, r.overlap_words, r.first_word) for r in spaced_seeds.contaminated(docs, bench).collect()}
+    assert got == {1: (10, 11, 12), 2: (10, 11, 0), 4: (19, 23, 0)}
+    assert {r.doc_id for r in spaced_seeds.decontaminate(docs, bench).collect()} == {3}
+
+
 # token counts
 
 
