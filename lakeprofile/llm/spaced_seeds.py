@@ -10,8 +10,11 @@ above 0) are measured; a document is contaminated by an item when at least
 is kept without that check.  Reported is the part with the highest sum or, if too
 few of its words match, the one with the most matching words.
 
-Words are runs of letters and digits in lower case.  Items with fewer words than
-the shortest mask cannot be hit and never match; so do null and empty texts.
+Words are runs of letters and digits in lower case; in scripts written without
+blanks every letter is a word.  Items with fewer words than the shortest mask are
+looked up whole: all their words must follow each other, so an item of one word
+matches every document with that word.  Items without words, null and empty texts
+never match.
 Null ids are ids like any other; equal rows get equal results; empty tables give
 an empty result.  Only ids and texts are read.
 
@@ -32,10 +35,12 @@ from .common import doc_rows, text_key, whole
 #: 1: the word counts, 0: it is ignored.
 MASKS = ("11011011", "111001011", "10110010101")
 NO_TERM = r"[^\p{L}\p{N}]+"
+NO_BLANKS = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsBopomofo}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 
 
 def word_digests(text: Column) -> Column:
-    words = F.filter(F.split(F.lower(text), NO_TERM), lambda w: w != "")
+    apart = F.when(text.rlike(NO_BLANKS), F.regexp_replace(text, f"({NO_BLANKS})", " $1 ")).otherwise(text)
+    words = F.filter(F.split(F.lower(apart), NO_TERM), lambda w: w != "")
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
@@ -57,6 +62,23 @@ def windows(rows: DataFrame, masks: Sequence[str]) -> DataFrame:
     return placed.select("*", F.explode(window_digests(F.col("words"), F.col("at"), masks)).alias("seed")).where(F.col("seed").isNotNull())
 
 
+def whole_items(texts: DataFrame, items: DataFrame, broadcast_seeds: int) -> DataFrame:
+    """Documents that hold all words of an item one after another, as ``contaminated`` gives them; for short items."""
+    lengths = sorted(r.n for r in items.select(F.size("words").alias("n")).distinct().collect())  # fewer than the shortest mask has places
+    run = lambda at, n: F.when(at + n <= F.size("words"), F.xxhash64(F.lit(n), *[F.col("words")[at + i] for i in range(n)]))
+    sized = F.coalesce(*[F.when(F.size("words") == n, run(F.lit(0), n)) for n in lengths], F.lit(None).cast("long"))
+    seeds = items.select(sized.alias("seed"), "item_id", F.col("words").alias("item_words"))
+    placed = texts.select("*", F.posexplode_outer("words").alias("at", "_word")).drop("_word")
+    runs = F.array(*[run(F.col("at"), n) for n in lengths]).cast("array<bigint>")
+    there = placed.select("*", F.explode(runs).alias("seed")).where(F.col("seed").isNotNull())
+    hits = there.join(F.broadcast(seeds) if items.count() <= broadcast_seeds else seeds, "seed")
+    size = F.size("item_words")
+    same = hits.where(F.slice("words", F.col("at") + 1, size) == F.col("item_words"))
+    found = same.groupBy("doc_id", "_key", "item_id", size.cast("long").alias("n")).agg(F.min("at").cast("long").alias("at"))
+    longest = found.groupBy("doc_id", "_key", "item_id").agg(F.max(F.struct("n", (-F.col("at")).alias("f"))).alias("b"))
+    return longest.select("doc_id", "_key", "item_id", F.col("b.n").alias("matched_words"), F.col("b.n").alias("overlap_words"), (-F.col("b.f")).alias("first_word"))
+
+
 def best_stretch(same: Column, least: Column) -> Column:
     """Of an array of matches, the stretch with the highest score if ``least`` of its words match, else the one with the
     most matching words: its words, matching words and start."""
@@ -88,7 +110,8 @@ def best_stretch(same: Column, least: Column) -> Column:
 def contaminated(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = MASKS, min_overlap: int = 10, broadcast_seeds: int = 1_000_000) -> DataFrame:
     """(doc_id, _key, item_id, matched_words, overlap_words, first_word) of the verified overlaps."""
     shortest = min(map(len, masks))
-    items = benchmark.select("item_id", word_digests(whole("text")).alias("words")).where(F.size("words") >= shortest).dropDuplicates()
+    given = benchmark.select("item_id", word_digests(whole("text")).alias("words")).where(F.size("words") > 0).dropDuplicates()
+    items, short = given.where(F.size("words") >= shortest), given.where(F.size("words") < shortest)
     count = items.agg(F.coalesce(F.sum(F.size("words")), F.lit(0)).alias("n")).first()["n"] * len(masks)
     seeds = windows(items, masks).select("seed", "item_id", F.col("at").alias("item_at"), F.col("words").alias("item_words"))
     texts = doc_rows(docs).select("doc_id", text_key(F.col("text")).alias("_key"), word_digests(F.col("text")).alias("words"))
@@ -105,9 +128,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = M
     least = F.least(F.lit(min_overlap), F.col("_n"))
     laid = each.select("doc_id", "_key", "item_id", "_before", least.alias("_least"), best_stretch(same, least).alias("s"))
     good = laid.where(F.col("s.matched") >= F.col("_least"))
-    best = F.max(F.struct(F.col("s.matched").alias("m"), F.col("s.words").alias("w"), (-(F.col("_before") + F.col("s.first"))).alias("f")))
-    top = good.groupBy("doc_id", "_key", "item_id").agg(best.alias("b"))
-    return top.select("doc_id", "_key", "item_id", F.col("b.m").cast("long").alias("matched_words"), F.col("b.w").cast("long").alias("overlap_words"), (-F.col("b.f")).cast("long").alias("first_word"))
+    best = lambda m, w, f: F.max(F.struct(m.alias("m"), w.alias("w"), (-f).alias("f"))).alias("b")
+    top = good.groupBy("doc_id", "_key", "item_id").agg(best(F.col("s.matched"), F.col("s.words"), F.col("_before") + F.col("s.first")))
+    found = top.select("doc_id", "_key", "item_id", F.col("b.m").cast("long").alias("matched_words"), F.col("b.w").cast("long").alias("overlap_words"), (-F.col("b.f")).cast("long").alias("first_word"))
+    if short.isEmpty():
+        return found
+    # an id with a long and a short text counts once, as it does with two long ones
+    both = found.unionByName(whole_items(texts, short, broadcast_seeds)).groupBy("doc_id", "_key", "item_id")
+    top = both.agg(best(F.col("matched_words"), F.col("overlap_words"), F.col("first_word")))
+    return top.select("doc_id", "_key", "item_id", F.col("b.m").alias("matched_words"), F.col("b.w").alias("overlap_words"), (-F.col("b.f")).alias("first_word"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **settings: int) -> DataFrame:

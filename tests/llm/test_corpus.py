@@ -263,6 +263,21 @@ def test_more_copied_text_hides_nothing(spark):
     assert {r.doc_id for r in spaced_seeds.decontaminate(docs, bench).collect()} == {3}
 
 
+def test_short_items_and_scripts_without_blanks(spark):
+    """Items shorter than every mask match whole; Chinese and Japanese texts match by their letters."""
+    chinese, japanese = "长江是亚洲最长的河流全长约六千三百公里", "富士山は日本で一番高い山です"
+    rows = [
+        (1, "so what is the capital of France they asked"), (2, "what is the capital of Spain"), (3, "of France"), (4, "The answer: forty-two!"),
+        (5, f"据说{chinese}。"), (6, f"{japanese}とても"), (7, "长江很长"), (8, ""), (9, "什么是人"),
+    ]
+    items = [(20, "What is the capital of France?"), (21, "forty two"), (22, chinese), (23, japanese), (24, "什么是"), (25, "..."), (26, "of france")]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for broadcast_seeds in (1_000_000, 0):
+        got = {(r.doc_id, r.item_id): (r.matched_words, r.first_word) for r in spaced_seeds.contaminated(docs, bench, broadcast_seeds=broadcast_seeds).collect()}
+        assert got == {(1, 20): (6, 1), (1, 26): (2, 5), (3, 26): (2, 0), (4, 21): (2, 2), (5, 22): (len(chinese), 2), (6, 23): (len(japanese), 0), (9, 24): (3, 0)}
+    assert {r.doc_id for r in spaced_seeds.decontaminate(docs, bench).collect()} == {2, 7, 8}
+
+
 # token counts
 
 
