@@ -22,7 +22,8 @@ task of their own, so no task holds an unbounded cell.
 Null text counts as empty; texts without words have fingerprint 0 and link to
 each other; a null ``doc_id`` gets the least id of its component, null if it has
 none; equal rows are copies; an empty table gives an empty result.  Only
-``doc_id`` and ``text`` are read.
+``doc_id`` and ``text`` are read.  What stays is one row per component, also where
+ids are null or shared by different texts.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import lookup_join
 from ..session import cut_lineage, ship_package
-from .common import doc_rows, shuffle_tasks, small_batches, split_words
+from .common import doc_rows, shuffle_tasks, small_batches, split_words, text_key, whole
 from .components import components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -67,14 +68,14 @@ def majority(digests: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """``doc_id`` and 64-bit ``fingerprint`` (as a signed long) of every whole text."""
+    """``doc_id``, ``_key`` (digest of the text) and 64-bit ``fingerprint`` (as a signed long) of every whole text."""
     small_batches(docs.sparkSession)
-    words = doc_rows(docs).select("doc_id", split_words(F.translate("text", UPPER, LOWER)).alias("words"))
+    words = doc_rows(docs).select("doc_id", text_key(F.col("text")).alias("_key"), split_words(F.translate("text", UPPER, LOWER)).alias("words"))
     kind = words.schema["doc_id"].dataType.simpleString()
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(1)
+            lists = batch.column(2)
             offsets = np.asarray(lists.offsets, dtype=np.int64)
             values = np.asarray(lists.values, dtype=np.int64)[offsets[0] : offsets[-1]]
             prints = []
@@ -83,10 +84,10 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
                 part = offsets[a : a + step + 1]
                 prints.append(majority(values[part[0] - offsets[0] : part[-1] - offsets[0]], part - part[0]))
             joined = np.concatenate(prints) if prints else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(joined.view(np.int64))], ["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(joined.view(np.int64))], ["doc_id", "_key", "fingerprint"])
 
-    digests = words.select("doc_id", shingle_digests(F.col("words"), shingle).alias("digests"))
-    return digests.mapInArrow(vote, f"doc_id {kind}, fingerprint long")
+    digests = words.select("doc_id", "_key", shingle_digests(F.col("words"), shingle).alias("digests"))
+    return digests.mapInArrow(vote, f"doc_id {kind}, _key long, fingerprint long")
 
 
 def cells(fingerprint: Column, blocks: int, max_bits: int) -> tuple[Column, Column]:
@@ -186,24 +187,26 @@ def byte_counts(points: np.ndarray) -> np.ndarray:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, blocks: int = 7, cell_rows: int = 4096) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (long), ``component_id`` (least linked id) and ``copies`` (rows with the fingerprint)."""
+    """``doc_id``, ``_key`` (digest of the text), ``fingerprint`` (long), ``root`` (least linked fingerprint), ``component_id`` (least
+    linked id) and ``copies`` (rows with the fingerprint)."""
     prints = cut_lineage(fingerprints(docs, shingle))
     points = cut_lineage(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies")))
     found = components(links(points.select("fingerprint"), max_bits, blocks, cell_rows)).withColumnRenamed("node", "fingerprint")
     joined = points.join(found, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     grouped = cut_lineage(joined)
     roots = cut_lineage(grouped.groupBy("root").agg(F.min("first_id").alias("component_id")))
-    classes = grouped.join(roots, "root").select("fingerprint", "component_id", "copies")
-    return lookup_join(prints, cut_lineage(classes), "fingerprint", spread=["doc_id"])
+    classes = grouped.join(roots, "root").select("fingerprint", "root", "component_id", "copies")
+    return lookup_join(prints, cut_lineage(classes), "fingerprint", spread=["doc_id", "_key"])
 
 
 def keep_one(docs: DataFrame, **settings: int) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the least id; all columns."""
+    """One document of each group of near-duplicates, the one with the least id (nulls last) and text digest; all columns."""
     found = near_duplicates(docs, **settings)
-    stays = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_doc")).distinct()
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_id"))
-    left = rows.join(stays, F.col("_id").eqNullSafe(F.col("_doc")), "left_semi")
-    order = Window.partitionBy("_id").orderBy(F.col("_row.text").asc_nulls_first())
+    least = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key")).alias("s"))
+    stays = least.select(F.col("s.doc_id").alias("_doc"), F.col("s._key").alias("_text_key"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_id"), text_key(whole("text")).alias("_key"))
+    left = rows.join(stays, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_text_key")), "left_semi")
+    order = Window.partitionBy("_id", "_key").orderBy(F.to_json("_row"))  # rows that differ in other columns only
     return left.withColumn("_n", F.row_number().over(order)).where("_n = 1").select("_row.*")
 
 

@@ -185,6 +185,17 @@ def test_keep_one(spark, odd):
     assert ids == sorted({r.component_id for r in popcount_simhash.near_duplicates(odd).collect()})
 
 
+def test_keep_one_per_component(spark):
+    """Null ids and ids that are shared by different texts lose no component."""
+    luck = random.Random(4)
+    text = lambda: " ".join(luck.choice("abcdefghijklmnop") * luck.randint(1, 9) for _ in range(40))
+    texts = [text() for _ in range(12)]
+    rows = [(None, t, "x") for t in texts[:6]] + [(None, texts[0], "x"), (None, texts[0], "y"), (5, texts[1], "x"), (5, texts[7], "x"), (5, texts[8], "x"), (4, texts[8], "x"), (9, texts[9], "x")]
+    kept = popcount_simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    want = [(None, texts[i]) for i in (0, 2, 3, 4, 5)] + [(5, texts[1]), (5, texts[7]), (4, texts[8]), (9, texts[9])]
+    assert sorted(((r.doc_id or 0, r.text) for r in kept.collect())) == sorted((i or 0, t) for i, t in want)
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(70)] + [(100, 105), (105, 101)], "u long, v long")
     got = {r.node: r.root for r in components.components(edges).collect()}
