@@ -113,7 +113,9 @@ def text_ids(texts: pa.Array, name: str) -> tuple[np.ndarray, np.ndarray]:
     words = coded.dictionary
     if not len(words):
         return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-    lowered = pc.if_else(pc.string_is_ascii(words), pc.ascii_lower(words), words)
+    # the tokenizer's special tokens ("<|endoftext|>") are matched before it lower-cases
+    same = pc.and_(pc.string_is_ascii(words), pc.invert(pc.match_substring(words, "<|")))
+    lowered = pc.if_else(same, pc.ascii_lower(words), words)
     cut = pc.ascii_split_whitespace(pc.replace_substring_regex(lowered, LETTER_MARK, r"\1 \2"))
     pieces = cut.flatten().dictionary_encode()
     ids, sizes = piece_ids(pieces.dictionary.to_pylist(), name)

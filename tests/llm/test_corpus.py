@@ -229,6 +229,18 @@ def test_tokens_round_trip(spark, docs, texts):
             assert (block.part(low, high) == whole[low:high]).all()
 
 
+def test_special_tokens_keep_their_case():
+    import pyarrow as pa
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["<|ENDOFTEXT|>", "a <|EndOfText|> b", "x<|StartOfText|>Y.", "<|endoftext|> <|ENDOFTEXT|>", "PLAIN <| Words|>", "<|STARTOFTEXT|>"]
+    ids, sizes = repair_tokens.text_ids(pa.array(texts), "word_bpe_49k.json")
+    want = [own.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 def test_tokens_empty(spark, odd):
     path = work_path(spark, "tokens")
     repair_tokens.write_tokens(empty(odd), path)
