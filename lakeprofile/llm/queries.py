@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_path
-from . import language_fusion, length_histogram, line_rules, nbsvm, pii, pivotal_mix, popcount_simhash, repair_tokens, secrets, spaced_seeds
+from . import (
+    best_fit_packing, conversation_repair, language_fusion, length_histogram, line_rules, merkle_manifest, nbsvm, pii, pivotal_mix, popcount_simhash, repair_tokens, secrets,
+    spaced_seeds,
+)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,16 +77,34 @@ def op10_secret_linking(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, folder, "documents")))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Merkle leaf, roots and proof of ``documents``, and which rows of a damaged copy still verify."""
+    return merkle_manifest.digest(table(spark, folder, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults and cheapest repair of damaged ``conversations``."""
+    return conversation_repair.digest(table(spark, folder, "conversations"))
+
+
+def op13_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """``documents`` packed into sequences of 4096 tokens, read back from the files."""
+    path = work_path(spark, "packed")
+    best_fit_packing.pack(table(spark, folder, "documents"), path)
+    return best_fit_packing.digest(best_fit_packing.read_pieces(spark, path))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_pii, op2_line_rules, op3_nbsvm, op4_popcount_simhash, op5_repair_tokens, op6_spaced_seeds, op7_length_histogram,
         op8_pivotal_mix, op9_language_fusion, op10_secret_linking,
+        op11_merkle_manifest, op12_conversation_repair, op13_best_fit_packing,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
 
 #: Texts with positions, digests, models, draws and tokens have no plain SQL; those are tested against brute force.
-ORACLES: dict[str, str] = {"op2_line_rules": line_rules.oracle()}
+ORACLES: dict[str, str] = {"op2_line_rules": line_rules.oracle(), "op11_merkle_manifest": merkle_manifest.oracle()}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
