@@ -140,9 +140,9 @@ def model_document(model: LogisticRegressionModel, names: Sequence[str]) -> dict
     }
 
 
-def model_frame(spark: SparkSession, document: Mapping) -> DataFrame:
-    """One-row frame holding the model document as JSON."""
-    return spark.range(1).select(F.lit(json.dumps(document)).alias("model_json"))
+def model_frame(spark: SparkSession, document: Mapping, name: str = "model_json") -> DataFrame:
+    """One-row frame holding a document as JSON."""
+    return spark.range(1).select(F.lit(json.dumps(document)).alias(name))
 
 
 def areas(scored: DataFrame, label: str, raw: str = "rawPrediction") -> dict[str, float]:
@@ -152,10 +152,19 @@ def areas(scored: DataFrame, label: str, raw: str = "rawPrediction") -> dict[str
     return out
 
 
-def train_and_evaluate(df: DataFrame, names: Sequence[str], label: str, key: str) -> tuple[DataFrame, dict]:
+#: Fields of the document that tells how good a stored model is; the model document holds them too.
+EVALUATION_FIELDS = ("auc_score", "pr_auc_score", "training_samples", "test_samples", "model_version", "trained_at")
+
+
+def evaluation_document(document: Mapping) -> dict:
+    """The part of a model document that is stored apart, so that it can be read without the coefficients."""
+    return {k: document[k] for k in EVALUATION_FIELDS}
+
+
+def train_and_evaluate(df: DataFrame, names: Sequence[str], label: str, key: str, trained_at: str = "") -> tuple[DataFrame, dict]:
     """Fit on the train part, score the rest, cross-validate by fold.
 
-    Returns one row of metrics and the model document.
+    Returns one row of metrics and the model document, marked with ``trained_at`` and a version made of it.
     """
     prepared = cut_lineage(with_split(df, key, label))
     train, test = prepared.where("is_train"), prepared.where("NOT is_train")
@@ -186,7 +195,10 @@ def train_and_evaluate(df: DataFrame, names: Sequence[str], label: str, key: str
         F.lit(len(names)).alias("feature_count"),
         F.lit(model.summary.totalIterations < model.getMaxIter()).alias("converged"),
     )
-    return row, model_document(model, names)
+    document = model_document(model, names)
+    document.update(training_samples=sizes.get(True, 0), test_samples=sizes.get(False, 0), **{k: metrics[k] for k in ("auc_score", "pr_auc_score")})
+    document.update(trained_at=trained_at, model_version="v" + "".join(c for c in trained_at if c.isdigit()))
+    return row, document
 
 
 def forest_importances(df: DataFrame, names: Sequence[str], label: str, trees: int = 20) -> DataFrame:
@@ -216,14 +228,14 @@ def confusion_counts(scored: DataFrame, label: str, prediction: str) -> DataFram
     )
 
 
-def classification_summary(counts: DataFrame) -> DataFrame:
-    """Accuracy and support-weighted precision, recall and F1 of two classes."""
+def classification_summary(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Accuracy and support-weighted precision, recall and F1 of two classes, per ``by``."""
 
     def cell(actual: int, predicted: int) -> Column:
         hit = (F.col("actual") == actual) & (F.col("predicted") == predicted)
         return F.sum(F.when(hit, F.col("n")).otherwise(F.lit(0))).cast("double")
 
-    cells = counts.agg(
+    cells = counts.groupBy(*by).agg(
         *[cell(a, p).alias(f"c{a}{p}") for a in (0, 1) for p in (0, 1)], F.sum("n").cast("double").alias("total")
     )
 
@@ -241,6 +253,7 @@ def classification_summary(counts: DataFrame) -> DataFrame:
         return share(per[0][0] * per[0][i] + per[1][0] * per[1][i], F.col("total"))
 
     return cells.select(
+        *by,
         share(F.col("c00") + F.col("c11"), F.col("total")).alias("accuracy"),
         weighted(1).alias("precision"),
         weighted(2).alias("recall"),

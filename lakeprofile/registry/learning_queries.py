@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators.matching import logistic_score
 from ..operators.ordering import category_codes as add_codes
-from ..plans import learning
+from ..plans import evaluation, learning
 from .core import START, cte, num, query, shared, stamp
 from .gold_queries import profiles_of
 
@@ -88,16 +88,18 @@ def categorical_codes(inp):
 
 @query("lr_train_eval")
 def lr_train_eval(inp):
-    """Metrics of a trained model and the model read back from its JSON file."""
+    """Metrics of a trained model; the model and its evaluation read back from their JSON files."""
     from ..session import work_path
     from ..sources.writers import write_document
 
     rows, names = features_of(inp)
-    metrics, document = learning.train_and_evaluate(rows, names, "label", "doc_id")
-    path = work_path(inp.spark, "model")
-    write_document(learning.model_frame(inp.spark, document), path)
-    stored = inp.spark.read.json(path).select("model_json").scalar()
-    return metrics.withColumn("model_json", stored)
+    metrics, document = learning.train_and_evaluate(rows, names, "label", "doc_id", "2024-01-31T00:00:00")
+    texts = {"model_json": document, "evaluation_json": learning.evaluation_document(document)}
+    for name, content in texts.items():
+        path = work_path(inp.spark, name)
+        write_document(learning.model_frame(inp.spark, content, name), path)
+        metrics = metrics.withColumn(name, inp.spark.read.json(path).select(name).scalar())
+    return metrics
 
 
 @query("feature_importance")
@@ -168,6 +170,108 @@ def roc_auc(inp):
     return learning.area_under_roc(doc_scores(inp), "label", "score")
 
 
+#: Scored models of the evaluation record: name, weight of the similarity, of the text length, of English, and the intercept.
+RIVALS = {"coarse": (1.5, 0.0, 0.0, -0.7), "linear": (2.0, 0.0004, -0.6, -1.0), "reversed": (-2.0, 0.0, 0.4, 0.8)}
+WEIGHTED = ("embedding_similarity", "n_chars", "industry_en")
+cte(
+    "o_rival_scores",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS model_name, doc_id, label, doc_id % 5 AS fold,
+        round(1 / (1 + exp(-({a} * embedding_similarity + {b} * n_chars + {c} * CASE WHEN industry = 'en' THEN 1 ELSE 0 END + {d}))), 2) AS score FROM b_training_docs"""
+        for name, (a, b, c, d) in RIVALS.items()
+    ),
+)
+cte(
+    "o_rival_steps",
+    """SELECT model_name, score, sum(label) AS pos, sum(1 - label) AS neg, sum(sum(label)) OVER w AS tp, sum(sum(1 - label)) OVER w AS fp, sum(sum(label)) OVER (PARTITION BY model_name) AS p, sum(sum(1 - label)) OVER (PARTITION BY model_name) AS n
+       FROM o_rival_scores GROUP BY model_name, score WINDOW w AS (PARTITION BY model_name ORDER BY score DESC)""",
+)
+cte(
+    "o_rival_line",
+    """SELECT model_name, tp, fp, p, n, tp AS hits, tp + fp AS said FROM o_rival_steps UNION ALL SELECT DISTINCT model_name, 0, 0, p, n, 1, 1 FROM o_rival_steps""",
+)
+cte(
+    "o_rival_bends",
+    """SELECT model_name, count(*) FILTER (WHERE before IS NULL OR after IS NULL OR (fp - bf) * (af_tp - tp) <> (af_fp - fp) * (tp - bt)) AS roc_points,
+       count(*) FILTER (WHERE before IS NULL OR after IS NULL OR NOT ((bt = tp AND tp = af_tp) OR (bh * said = hits * bs AND hits * asaid = ah * said))) AS pr_points,
+       sum((fp - bf) * (tp + bt)) / (2.0 * max(p) * max(n)) AS auc, sum((tp - bt) * (hits / said + bh / bs)) / (2.0 * max(p)) AS pr_auc
+       FROM (SELECT *, lag(said) OVER w AS before, lead(said) OVER w AS after, lag(fp) OVER w AS bf, lag(tp) OVER w AS bt, lead(fp) OVER w AS af_fp, lead(tp) OVER w AS af_tp, lag(hits) OVER w AS bh, lag(said) OVER w AS bs,
+             lead(hits) OVER w AS ah, lead(said) OVER w AS asaid FROM o_rival_line WINDOW w AS (PARTITION BY model_name ORDER BY tp + fp)) GROUP BY model_name""",
+)
+cte(
+    "o_rival_cells",
+    """SELECT model_name, count(*) FILTER (WHERE label = 0 AND score < 0.5)::DOUBLE AS tn, count(*) FILTER (WHERE label = 0 AND score >= 0.5)::DOUBLE AS fp,
+       count(*) FILTER (WHERE label = 1 AND score < 0.5)::DOUBLE AS fn, count(*) FILTER (WHERE label = 1 AND score >= 0.5)::DOUBLE AS tp, count(*) AS n FROM o_rival_scores GROUP BY model_name""",
+)
+cte(
+    "o_rival_rates",
+    """SELECT *, coalesce(tn / nullif(tn + fn, 0), 0) AS p0, coalesce(tp / nullif(tp + fp, 0), 0) AS p1, coalesce(tn / nullif(tn + fp, 0), 0) AS r0, coalesce(tp / nullif(tp + fn, 0), 0) AS r1 FROM o_rival_cells""",
+)
+cte(
+    "o_rival_folds",
+    """SELECT model_name, avg(a) AS m, stddev_pop(a) AS s FROM (SELECT model_name, fold, avg(((score >= 0.5)::INT = label)::INT) AS a FROM o_rival_scores GROUP BY model_name, fold) GROUP BY model_name""",
+)
+
+
+@shared
+def rival_scores(inp):
+    docs, parts = inp["b_training_docs"], []
+    for name, (*weights, intercept) in RIVALS.items():
+        model = {"coefficients": weights, "intercept": intercept, "feature_order": list(WEIGHTED)}
+        score = logistic_score(model, {c: F.col(c) for c in WEIGHTED[:2]}, {"industry": F.col("industry")})
+        parts.append(docs.select(F.lit(name).alias("model_name"), "label", (F.col("doc_id") % 5).alias("fold"), F.round(score, 2).alias("score")))
+    out, *rest = parts
+    for part in rest:
+        out = out.unionByName(part)
+    return out.withColumn("prediction", (F.col("score") >= 0.5).cast("int"))
+
+
+def rival_weights(inp):
+    entries = [F.struct(F.lit(m).alias("model_name"), F.lit(f).alias("feature"), F.lit(float(w)).alias("weight")) for m, ws in RIVALS.items() for f, w in zip(WEIGHTED, ws, strict=False)]
+    return inp.spark.range(1).select(F.explode(F.array(*entries)).alias("w")).select("w.*")
+
+
+def feature_json(name: str) -> str:
+    best = sorted(zip(WEIGHTED, RIVALS[name], strict=False), key=lambda f: (-abs(f[1]), f[0]))
+    return "{" + ",".join(f'"{f}":{"4.0E-4" if w == 0.0004 else w}' for f, w in best) + "}"
+
+
+@query(
+    "evaluation_record",
+    f"""SELECT '2024-01-31T00:00:00' AS evaluation_date, model_name, {num('(tp + tn) / n AS accuracy', '((tn + fp) * p0 + (tp + fn) * p1) / n AS precision', '((tn + fp) * r0 + (tp + fn) * r1) / n AS recall',
+       '((tn + fp) * coalesce(2 * p0 * r0 / nullif(p0 + r0, 0), 0) + (tp + fn) * coalesce(2 * p1 * r1 / nullif(p1 + r1, 0), 0)) / n AS f1_score',
+       'auc AS auc_score', 'pr_auc AS pr_auc_score', 'm AS cross_val_mean', 's AS cross_val_std', 'auc AS stored_auc_score', 'pr_auc AS stored_pr_auc_score')}, n AS samples,
+       '[[' || tn::BIGINT || ',' || fp::BIGINT || '],[' || fn::BIGINT || ',' || tp::BIGINT || ']]' AS confusion_matrix,
+       CASE model_name {' '.join(f"WHEN '{m}' THEN '{feature_json(m)}'" for m in RIVALS)} END AS top_features, roc_points, pr_points, 2024 AS year, 1 AS month, 31 AS day, 't000000' AS run
+       FROM o_rival_rates JOIN o_rival_bends USING (model_name) JOIN o_rival_folds USING (model_name)""",
+)
+def evaluation_record(inp):
+    """The record read back from its files, beside the areas of the stored curves."""
+    from ..session import work_path
+
+    path = work_path(inp.spark, "evaluation")
+    evaluation.write_evaluation(evaluation.evaluate(rival_scores(inp), rival_weights(inp), "2024-01-31T00:00:00"), path)
+    roc, pr = (evaluation.read_evaluation(inp.spark, path, part).where("year = 2024 AND month = 1 AND day = 31") for part in ("roc_curve", "pr_curve"))
+    areas = evaluation.roc_area(roc).join(evaluation.pr_area(pr), "model_name")
+    areas = areas.select("model_name", F.col("auc_score").alias("stored_auc_score"), F.col("pr_auc_score").alias("stored_pr_auc_score"))
+    return evaluation.read_evaluation(inp.spark, path).join(areas, "model_name")
+
+
+@query(
+    "evaluation_curves",
+    f"""SELECT 'roc' AS curve, model_name, {num('fp / n AS x', 'tp / p AS y')} FROM (SELECT *, lag(fp) OVER w AS bf, lag(tp) OVER w AS bt, lead(fp) OVER w AS af, lead(tp) OVER w AS a_t FROM o_rival_line WINDOW w AS (PARTITION BY model_name ORDER BY tp + fp))
+       WHERE bf IS NULL OR af IS NULL OR (fp - bf) * (a_t - tp) <> (af - fp) * (tp - bt)
+       UNION ALL SELECT 'pr', model_name, {num('tp / p AS x', 'hits / said AS y')} FROM (SELECT *, lag(tp) OVER w AS bt, lag(hits) OVER w AS bh, lag(said) OVER w AS bs, lead(tp) OVER w AS a_t, lead(hits) OVER w AS ah, lead(said) OVER w AS asaid
+       FROM o_rival_line WINDOW w AS (PARTITION BY model_name ORDER BY tp + fp)) WHERE bt IS NULL OR a_t IS NULL OR NOT ((bt = tp AND tp = a_t) OR (bh * said = hits * bs AND hits * asaid = ah * said))""",
+)
+def evaluation_curves(inp):
+    """Both curves of every model, straight stretches reduced to their ends."""
+    points = evaluation.threshold_points(rival_scores(inp), "label", "score")
+    roc = evaluation.roc_points(points).select(F.lit("roc").alias("curve"), "model_name", F.col("fpr").alias("x"), F.col("tpr").alias("y"))
+    pr = evaluation.pr_points(points).select(F.lit("pr").alias("curve"), "model_name", F.col("recall").alias("x"), F.col("precision").alias("y"))
+    return roc.unionByName(pr)
+
+
 @query("model_latest", f"SELECT model_type, model_version, {num('auc_score', 'pr_auc_score')}, training_date FROM b_model_versions WHERE training_date >= '2024-01-01'")
 def model_latest(inp):
     return learning.model_latest(inp["b_model_versions"], START).select("model_type", "model_version", "auc_score", "pr_auc_score", "training_date")
