@@ -64,40 +64,6 @@ def upsert_latest(
     return keep_first(current.unionByName(updates, allowMissingColumns=True), [key], order)
 
 
-def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    return df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-
-
-def write_keyed(rows: DataFrame, path: str, key: str, buckets: int) -> None:
-    """Store a keyed table partitioned by key hash; no rows make an empty table."""
-    out = bucketed(rows, key, buckets)
-    out.repartition(buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
-
-
-def merge_into_keyed(
-    updates: DataFrame, path: str, key: str, updated_at: str, buckets: int, tie_breaker: Sequence[str] = ()
-) -> None:
-    """Merge updates into a keyed table, rewriting only the touched buckets.
-
-    The merged rows are checkpointed before the overwrite, so the read of the
-    old files is over when they are replaced.
-    """
-    spark = updates.sparkSession
-    fresh = bucketed(updates, key, buckets)
-    touched = fresh.select("bucket").distinct()  # at most ``buckets`` rows
-    stored = spark.read.schema(fresh.schema).parquet(path)
-    old = stored.join(F.broadcast(touched), "bucket", "left_semi")
-    merged = cut_lineage(upsert_latest(old.drop("bucket"), fresh.drop("bucket"), key, updated_at, tie_breaker))
-    (
-        bucketed(merged, key, buckets)
-        .repartition(buckets, "bucket")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket")
-        .parquet(path)
-    )
-
-
 def ttl_alive(df: DataFrame, expires_at: str, now: Column) -> DataFrame:
     return df.where(F.col(expires_at) >= now)
 
@@ -156,6 +122,11 @@ def quota_windows(calls: DataFrame, ts: str, quotas: Mapping[str, int] = API_QUO
     minutes = calls.groupBy(F.window(ts, "1 minute").start.alias("minute")).agg(
         F.count(F.lit(1)).alias("calls")
     )
+    return widths_of(minutes, quotas)
+
+
+def widths_of(minutes: DataFrame, quotas: Mapping[str, int] = API_QUOTAS) -> DataFrame:
+    """Windows of each width from ``calls`` per ``minute``."""
     parts = []
     for width, limit in quotas.items():
         per = minutes.groupBy(F.window("minute", width).start.alias("window_start")).agg(

@@ -91,10 +91,17 @@ cte(
 )
 
 
+# the same choice in the order of keys: the stay of each name is settled before the next one is looked at
+cte(
+    "o_near",
+    """SELECT a.company_key AS later, list(b.company_key) AS earlier FROM o_linked a JOIN o_linked b ON b.company_key < a.company_key AND levenshtein(lower(trim(b.company_name)), lower(trim(a.company_name))) <= 1 GROUP BY 1""",
+)
+cte("o_settled", "SELECT list_reduce([NULL::VARCHAR[]] || list([later] || earlier ORDER BY later), lambda gone, n: CASE WHEN len(list_filter(n[2:], lambda k: NOT list_contains(coalesce(gone, []), k))) > 0 THEN list_append(coalesce(gone, []), n[1]) ELSE gone END) AS gone FROM o_near")
+
+
 @query(
     "dedup_linkedin_fuzzy",
-    """SELECT company_key, company_name, linkedin_url FROM o_linked a
-       WHERE NOT EXISTS (SELECT 1 FROM o_linked b WHERE b.company_key < a.company_key AND levenshtein(lower(b.company_name), lower(a.company_name)) <= 1)""",
+    """SELECT company_key, company_name, linkedin_url FROM o_linked WHERE NOT coalesce(list_contains((SELECT gone FROM o_settled), company_key), false)""",
 )
 def dedup_linkedin_fuzzy(inp):
     companies = silver.silver_companies(source_rows(inp), AS_OF)

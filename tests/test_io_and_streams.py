@@ -4,7 +4,8 @@ import pytest
 from conftest import SMALL, plan_of
 from pyspark.sql import functions as F
 
-from lakeprofile.operators.incremental import default_watermark, delta_read, quota_windows, upsert_latest, write_keyed
+from lakeprofile.operators import keyed_table
+from lakeprofile.operators.incremental import default_watermark, delta_read, quota_windows, upsert_latest
 from lakeprofile.plans import ledger, quality
 from lakeprofile.registry import ORACLES, QUERIES
 from lakeprofile.registry.core import Inputs
@@ -96,12 +97,12 @@ def events(spark, tmp_path):
 def test_stream_upsert_equals_batch_and_resumes(spark, tmp_path, events):
     rows, path = events
     table, progress = str(tmp_path / "keyed"), str(tmp_path / "progress")
-    write_keyed(rows.limit(0), table, "company_key", 3)
+    keyed_table.create(rows.limit(0), table, "company_key", 3)
 
     def run():
         stream = streams.file_stream(spark, path, rows.schema, files_per_batch=1)
         streams.stream_upsert(stream, table, progress, "company_key", "updated_at", 3, ["event_id"])
-        return {(r["company_key"], r["event_id"]) for r in spark.read.parquet(table).collect()}
+        return {(r["company_key"], r["event_id"]) for r in keyed_table.read(spark, table, rows.schema).collect()}
 
     batch = upsert_latest(rows, rows.limit(0), "company_key", "updated_at", ["event_id"])
     assert run() == {(r["company_key"], r["event_id"]) for r in batch.collect()}
@@ -111,16 +112,94 @@ def test_stream_upsert_equals_batch_and_resumes(spark, tmp_path, events):
     assert max(int(e) for k, e in again if k == "1") >= 10**6
 
 
-def test_stream_quota_equals_batch(spark, tmp_path):
+def status(df):
+    return {(r["width"], str(r["window_start"]), r["calls"], r["over_limit"]) for r in df.collect()}
+
+
+@pytest.mark.parametrize("lateness", ["60 DAYS", "1 HOUR"])
+def test_stream_quota_on_time_and_late_calls_are_all_calls(spark, tmp_path, lateness):
     calls = Inputs(spark, SMALL)["b_api_calls"]
-    path = str(tmp_path / "in")
+    calls = calls.unionByName(calls.limit(1).withColumn("call_id", F.lit(-1).cast("long")).withColumn("called_at", F.lit(None).cast(calls.schema["called_at"].dataType)))
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
     calls.repartition(3, "call_id").write.parquet(path)
+    streams.stream_quota(streams.file_stream(spark, path, calls.schema, files_per_batch=1), "called_at", out, str(tmp_path / "progress"), lateness)
+    late = streams.late_calls(spark, out, calls.schema)
+    assert late.where("call_id = -1").count() == 1 and (late.count() > 1) == (lateness == "1 HOUR")
+    on_time = calls.join(late.select("call_id"), "call_id", "left_anti")
+    assert status(streams.quota_status(spark, out)) == status(quota_windows(on_time, "called_at"))
+    if lateness == "60 DAYS":
+        assert status(streams.quota_status(spark, out)) == status(quota_windows(calls, "called_at"))
+
+
+class Killed(Exception):
+    pass
+
+
+def killer(step, batch):
+    """Fails once behind a step of a batch, as a lost driver would."""
+    left = [1]
+
+    def after(now, number):
+        if left and now == step and number == batch:
+            left.clear()
+            raise Killed
+
+    return after
+
+
+@pytest.mark.parametrize("step, batch", [("rows", 1), ("late", 1), ("marks", 1), ("rows", 0), ("marks", 2)])
+def test_killed_delta_neither_skips_nor_repeats(spark, tmp_path, events, step, batch):
+    rows, path = events
+    start = F.lit("2024-01-05 00:00:00")
+
+    def run(out, progress, after=None):
+        stream = streams.file_stream(spark, path, rows.schema, files_per_batch=1)
+        streams.stream_delta(stream, ["profile_text"], "updated_at", out, progress, start, after)
+
+    def state(out):
+        parts = [sorted((r["event_id"], r["batch"]) for r in streams.read_delta(spark, out, rows.schema, part).collect()) for part in ("rows", "late")]
+        return [*parts, streams.read_watermark(spark, out).first()[0]]
+
+    run(str(tmp_path / "whole"), str(tmp_path / "p1"))
+    out, progress, after = str(tmp_path / "killed"), str(tmp_path / "p2"), killer(step, batch)
+    with pytest.raises(Exception, match="Killed"):
+        run(out, progress, after)
+    run(out, progress, after)
+    got = state(out)
+    assert got == state(str(tmp_path / "whole"))
+    taken = [e for e, _ in got[0] + got[1]]
+    assert sorted(taken) == sorted(r["event_id"] for r in rows.where("profile_text <> ''").select("event_id").collect())
+    newest = rows.where("profile_text <> ''").agg(F.max("updated_at")).first()[0]
+    assert got[2] == newest.replace(tzinfo=None)
+
+
+def test_delta_readers_do_not_see_an_unfinished_batch(spark, tmp_path, events):
+    rows, path = events
     out = str(tmp_path / "out")
-    stream = streams.file_stream(spark, path, calls.schema, files_per_batch=1)
-    streams.stream_quota(stream, "called_at", out, str(tmp_path / "progress"), lateness="60 days")
-    got = {(str(r["window_start"]), r["calls"]) for r in streams.latest_windows(spark, out).collect()}
-    batch = quota_windows(calls, "called_at", {"1 minute": 50})
-    assert got == {(str(r["window_start"]), r["calls"]) for r in batch.collect()}
+    stream = streams.file_stream(spark, path, rows.schema, files_per_batch=1)
+    with pytest.raises(Exception, match="Killed"):
+        streams.stream_delta(stream, ["profile_text"], "updated_at", out, str(tmp_path / "p"), F.lit("2024-01-01"), killer("late", 1))
+    assert {r["batch"] for r in streams.read_delta(spark, out, rows.schema).select("batch").distinct().collect()} == {0}
+    later = rows.limit(5).withColumn("updated_at", F.col("updated_at") + F.expr("INTERVAL 1 YEAR"))
+    streams.stream_delta(stream, ["profile_text"], "updated_at", out, str(tmp_path / "p"), F.lit("2030-01-01"))  # the start of a first run does not count here
+    before = streams.read_watermark(spark, out).first()[0]
+    later.coalesce(1).write.mode("append").parquet(path)
+    streams.stream_delta(stream, ["profile_text"], "updated_at", out, str(tmp_path / "p"), F.lit("2030-01-01"))
+    assert streams.read_watermark(spark, out).first()[0] > before
+
+
+@pytest.mark.parametrize("step", ["minutes", "late", "marks"])
+def test_killed_quota_counts_no_call_twice(spark, tmp_path, step):
+    calls = Inputs(spark, SMALL)["b_api_calls"]
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    calls.repartition(3, "call_id").write.parquet(path)
+    after = killer(step, 1)
+    for _ in range(2):
+        try:
+            streams.stream_quota(streams.file_stream(spark, path, calls.schema, files_per_batch=1), "called_at", out, str(tmp_path / "progress"), "60 DAYS", after)
+        except Exception as error:  # noqa: BLE001
+            assert "Killed" in str(error)
+    assert status(streams.quota_status(spark, out)) == status(quota_windows(calls, "called_at"))
 
 
 # --- plans ----------------------------------------------------------------------------

@@ -135,10 +135,35 @@ def test_near_names_match_brute_force(spark, names):
     keyed = [(f"k{i:03d}", n) for i, n in enumerate(names)]
     rows = spark.createDataFrame(keyed, "key string, name string")
     kept = {r["key"] for r in dedup.survivors_by_near_name(rows, "key", "name").collect()}
-    want = {k for k, n in keyed if not any(k2 < k and one_edit(n, n2) for k2, n2 in keyed)}
+    want = set()
+    for k, n in keyed:  # in the order of their keys
+        if not any(one_edit(n, dict(keyed)[k2]) for k2 in want):
+            want.add(k)
     assert kept == want
 
 
+def near(spark, *names):
+    rows = spark.createDataFrame([(f"k{i:03d}", n) for i, n in enumerate(names)], "key string, name string")
+    return [names[int(r["key"][1:])] for r in dedup.survivors_by_near_name(rows, "key", "name").orderBy("key").collect()]
+
+
+def test_a_name_goes_for_one_that_stays_only(spark):
+    assert near(spark, "xxab", "xxabc", "xxabcd") == ["xxab", "xxabcd"]
+    assert near(spark, *["a" * n for n in range(1, 8)]) == ["a", "aaa", "aaaaa", "aaaaaaa"]
+    assert near(spark, "ab", "ba", "a b", "AB ") == ["ab", "ba"]
+    assert near(spark, "", "x", "xy", "😀y", "😀") == ["", "xy", "😀"]
+
+
+def test_near_names_are_linear_in_a_long_name(spark):
+    body = "".join(chr(97 + i * 7 % 26) for i in range(10_000))
+    names = [body, body[:5000] + "#" + body[5001:], body[:9999], body[:20] + "##" + body[22:], body[:20] + "##" + body[22:] + "!"]
+    assert near(spark, *names) == [names[0], names[3]]
+    rows = spark.createDataFrame([(f"k{i}", n) for i, n in enumerate(names)], "key string, name string")
+    labels = dedup.name_labels(rows, "key", "name")
+    assert labels.count() <= sum(2 * len(n) + 1 for n in names)
+    assert max(len(str(r)) for r in labels.limit(50).collect()) < 300  # no label holds a name
+
+
 def test_null_names_and_links_stay(spark):
     rows = spark.createDataFrame([("a", None, None), ("b", None, " "), ("c", "x", "L"), ("d", "y", "l ")], "key string, name string, link string")
     assert dedup.survivors_by_near_name(rows.drop("link"), "key", "name").count() == 3  # x and y are one edit apart
@@ -258,18 +283,6 @@ def test_upsert_is_idempotent(spark):
     assert {tuple(r) for r in once.collect()} == want == {tuple(r) for r in twice.collect()}
 
 
-def test_keyed_merge_touches_only_its_buckets(spark, tmp_path):
-    path = str(tmp_path / "keyed")
-    rows = spark.range(40).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v"), F.lit(1).alias("t"))
-    incremental.write_keyed(rows, path, "k", 8)
-    before = {p.name: {f.name for f in p.glob("*.parquet")} for p in (tmp_path / "keyed").glob("bucket=*")}
-    incremental.merge_into_keyed(rows.where("k = '7'").withColumns({"v": F.lit(2), "t": F.lit(2)}), path, "k", "t", 8)
-    after = {p.name: {f.name for f in p.glob("*.parquet")} for p in (tmp_path / "keyed").glob("bucket=*")}
-    assert sum(before[b] != after[b] for b in before) == 1
-    stored = {r["k"]: r["v"] for r in spark.read.parquet(path).collect()}
-    assert len(stored) == 40 and stored["7"] == 2 and stored["8"] == 1
-
-
 def test_budget_gate_stops_on_money_and_count(spark):
     rows = spark.createDataFrame([(i, 0.1) for i in range(10)], "id int, cost double")
     gate = lambda budget, items: [
