@@ -43,10 +43,18 @@ def watermark_advance(processed: DataFrame, watermark: Column, updated_at: str =
     return processed.agg(F.greatest(watermark, F.max(updated_at)).alias("watermark"))
 
 
-def changed_rows(current: DataFrame, previous: DataFrame, key: str, new_hash: str, old_hash: str) -> DataFrame:
-    """Rows that are new or whose content hash differs from the stored one."""
-    known = previous.select(F.col(key).alias("_key"), F.col(old_hash).alias("_old")).distinct()
-    # anti join: several stored hashes of a key never multiply its row
+def newest_stored(stored: DataFrame, key: str, values: Sequence[str], at: str) -> DataFrame:
+    """One row per key: the ``values`` stored last (a row without a time counts as oldest; of equal times the largest values)."""
+    newest = F.max(F.struct(F.col(at).isNotNull(), F.col(at), F.struct(*values).alias("v")))["v"]
+    return stored.groupBy(key).agg(newest.alias("_v")).select(key, *[F.col(f"_v.{v}").alias(v) for v in values])
+
+
+def changed_rows(current: DataFrame, previous: DataFrame, key: str, new_hash: str, old_hash: str, at: str) -> DataFrame:
+    """Rows that are new or whose content hash differs from the one stored last.
+
+    ``previous`` may hold every hash a key ever had; content that went from A to B and back is changed.
+    """
+    known = newest_stored(previous, key, [old_hash], at).select(F.col(key).alias("_key"), F.col(old_hash).alias("_old"))
     return current.join(known, (F.col(key) == F.col("_key")) & F.col(new_hash).eqNullSafe(F.col("_old")), "left_anti")
 
 

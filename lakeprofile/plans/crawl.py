@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.json_fields import text_schema
+from ..operators.incremental import newest_stored
 
 CRAWL_SCHEMA = (
     "domain string, timestamp string, success boolean, content_hash string, pages_crawled int, total_links int, "
@@ -43,13 +44,13 @@ def page_links(pages: Column) -> Column:
     )
 
 
-def crawl_content_hash(pages: Column) -> Column:
-    """SHA-256 prefix of all pages' markdown and html, joined in page order."""
+def crawl_digest(pages: Column) -> Column:
+    """SHA-256 of all pages' markdown and html, joined in page order; whole, as changes are decided by it."""
     texts = F.transform(
         F.coalesce(pages, F.array()),
         lambda p: F.concat(F.coalesce(p["markdown"], F.lit("")), F.coalesce(p["html"], F.lit(""))),
     )
-    return F.substring(F.sha2(F.array_join(texts, ""), 256), 1, 16)
+    return F.sha2(F.array_join(texts, ""), 256)
 
 
 def normalize_crawls(raw: DataFrame) -> DataFrame:
@@ -65,7 +66,8 @@ def normalize_crawls(raw: DataFrame) -> DataFrame:
         "domain",
         "timestamp",
         F.coalesce("success", F.lit(False)).alias("success"),
-        F.coalesce("content_hash", crawl_content_hash(F.col("data.data.pages"))).alias("content_hash"),
+        F.coalesce("content_hash", F.substring(crawl_digest(F.col("data.data.pages")), 1, 16)).alias("content_hash"),  # the published short form
+        crawl_digest(F.col("data.data.pages")).alias("content_digest"),
         F.coalesce("pages_crawled", F.lit(0)).alias("pages_crawled"),
         F.coalesce("total_links", page_links(F.col("data.data.pages"))).alias("total_links"),
         F.coalesce("response_time_ms", F.lit(0)).alias("response_time_ms"),
@@ -84,13 +86,13 @@ def normalize_crawls(raw: DataFrame) -> DataFrame:
     )
 
 
-def crawl_candidates(health: DataFrame, hashes: DataFrame, key: str, minimum: float = 70.0) -> DataFrame:
+def crawl_candidates(health: DataFrame, hashes: DataFrame, key: str, at: str, minimum: float = 70.0) -> DataFrame:
     """Healthy domains never crawled before or whose content has drifted.
 
-    ``hashes`` has one row per key with the stored and the present hash.
+    ``hashes`` holds the stored and the present whole digest of each check; the last one of a key counts.
     """
     healthy = health.where(F.col("health_score") * 100 >= minimum)
-    joined = healthy.join(hashes, key, "left")
+    joined = healthy.join(newest_stored(hashes, key, ["prev_hash", "content_hash"], at), key, "left")
     drifted = ~F.col("content_hash").eqNullSafe(F.col("prev_hash"))
     return joined.where(F.col("prev_hash").isNull() | drifted)
 

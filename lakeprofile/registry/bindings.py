@@ -192,11 +192,14 @@ SELECT page_id, lower(regexp_extract(url, 'https?://([^/?#]+)', 1)) AS domain, p
        regexp_extract(html, '<title>([^<]*)</title>', 1) AS meta_title, CASE WHEN page_id % 4 = 0 THEN NULL ELSE 'text' END AS meta_description,
        regexp_extract(html, 'lang="([a-z]+)"', 1) AS meta_language, CASE WHEN page_id % 3 = 0 THEN url ELSE NULL END AS canonical_url
 FROM {pages}""",
-    # earlier content hashes: some unknown, some drifted
+    # stored and present content hashes by check: some unknown, some drifted, some only at an earlier check
     "b_prev_hash": """
 SELECT page_id, CASE WHEN page_id % 3 = 0 THEN NULL WHEN page_id % 5 = 0 THEN md5(concat(html, 'old')) ELSE md5(html) END AS prev_hash,
-       md5(html) AS content_hash
-FROM {pages}""",
+       md5(html) AS content_hash, cast('2024-01-20 00:00:00' AS TIMESTAMP) AS checked_at
+FROM {pages}
+UNION ALL
+SELECT page_id, CASE WHEN page_id % 5 = 0 THEN md5(html) ELSE md5(concat(html, 'old')) END, md5(html), cast('2024-01-10 00:00:00' AS TIMESTAMP)
+FROM {pages} WHERE page_id % 4 = 0""",
     # labelled features for training and evaluation
     "b_training_docs": """
 SELECT d.doc_id, l.quality AS label, cast(d.n_chars AS DOUBLE) AS n_chars, d.lang AS industry, d.source AS country,
@@ -286,12 +289,17 @@ SELECT cast(user_id AS STRING) AS company_key, event_id, event_type AS status, v
        CASE WHEN event_id % 10 = 0 THEN '' ELSE concat('Profile ', cast(event_id AS STRING)) END AS profile_text,
        CASE WHEN event_id % 12 = 0 THEN NULL ELSE md5(cast(event_id AS STRING)) END AS profile_text_hash
 FROM {events}""",
-    # profiles whose stored embedding hash may be missing or old
+    # profiles whose stored embedding hash may be missing or old, or was right once and is not any more
     "b_profiles": """
 SELECT doc_id AS company_key, text AS profile_text, md5(text) AS profile_text_hash, lang AS industry, source AS country,
        cast('2024-01-10 00:00:00' AS TIMESTAMP) + doc_id * INTERVAL '1' MINUTE AS updated_at
 FROM {documents}""",
     "b_embedded": """
-SELECT doc_id AS company_key, CASE WHEN doc_id % 4 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN md5(concat(text, 'old')) ELSE md5(text) END AS embedded_hash
-FROM {documents}""",
+SELECT doc_id AS company_key, CASE WHEN doc_id % 4 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN md5(concat(text, 'old')) ELSE md5(text) END AS embedded_hash,
+       cast('2024-01-05 00:00:00' AS TIMESTAMP) AS stored_at
+FROM {documents}
+UNION ALL
+SELECT doc_id, md5(concat(text, 'other')), cast('2024-01-08 00:00:00' AS TIMESTAMP) FROM {documents} WHERE doc_id % 9 = 0
+UNION ALL
+SELECT doc_id, md5(concat(text, 'first')), cast('2024-01-02 00:00:00' AS TIMESTAMP) FROM {documents} WHERE doc_id % 5 = 0""",
 }

@@ -48,10 +48,10 @@ def watermark_advance(inp):
 
 @query(
     "changed_profiles",
-    """SELECT p.company_key, p.profile_text_hash, p.industry FROM b_profiles p LEFT JOIN b_embedded e ON e.company_key = p.company_key WHERE p.profile_text_hash IS DISTINCT FROM e.embedded_hash""",
+    """SELECT p.company_key, p.profile_text_hash, p.industry FROM b_profiles p LEFT JOIN (SELECT company_key, arg_max(coalesce(embedded_hash, '-'), stored_at) AS embedded_hash FROM b_embedded GROUP BY company_key) e ON e.company_key = p.company_key WHERE p.profile_text_hash IS DISTINCT FROM e.embedded_hash""",
 )
 def changed_profiles(inp):
-    rows = incremental.changed_rows(inp["b_profiles"], inp["b_embedded"], "company_key", "profile_text_hash", "embedded_hash")
+    rows = incremental.changed_rows(inp["b_profiles"], inp["b_embedded"], "company_key", "profile_text_hash", "embedded_hash", "stored_at")
     return rows.select("company_key", "profile_text_hash", "industry")
 
 
@@ -157,10 +157,10 @@ def latest_per_type(inp):
 
 @query(
     "crawl_candidates",
-    """SELECT p.page_id, p.domain, h.prev_hash FROM b_probes p LEFT JOIN b_prev_hash h ON h.page_id = p.page_id WHERE p.health_score * 100 >= 70 AND (h.prev_hash IS NULL OR h.prev_hash <> h.content_hash)""",
+    """SELECT p.page_id, p.domain, h.prev_hash FROM b_probes p LEFT JOIN (SELECT * FROM b_prev_hash QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY checked_at DESC) = 1) h ON h.page_id = p.page_id WHERE p.health_score * 100 >= 70 AND (h.prev_hash IS NULL OR h.prev_hash <> h.content_hash)""",
 )
 def crawl_candidates(inp):
-    return crawl.crawl_candidates(inp["b_probes"], inp["b_prev_hash"], "page_id").select("page_id", "domain", "prev_hash")
+    return crawl.crawl_candidates(inp["b_probes"], inp["b_prev_hash"], "page_id", "checked_at").select("page_id", "domain", "prev_hash")
 
 
 QUEUE_PROMPT = """'Task: ' || replace(task_type, '_', ' ') || '. Answer as one JSON object.' || chr(10) || 'Name: ' || company_name || chr(10) || 'Industry: ' || industry || chr(10)

@@ -63,11 +63,11 @@ def stream_watermark(inp):
     return inp.spark.read.parquet(out).agg(F.max("watermark").alias("watermark"))
 
 
-@query("stream_changed", "SELECT p.company_key, p.profile_text_hash FROM b_profiles p LEFT JOIN b_embedded e ON e.company_key = p.company_key WHERE p.profile_text_hash IS DISTINCT FROM e.embedded_hash")
+@query("stream_changed", "SELECT p.company_key, p.profile_text_hash FROM b_profiles p LEFT JOIN (SELECT company_key, arg_max(coalesce(embedded_hash, '-'), stored_at) AS embedded_hash FROM b_embedded GROUP BY company_key) e ON e.company_key = p.company_key WHERE p.profile_text_hash IS DISTINCT FROM e.embedded_hash")
 def stream_changed(inp):
     out, checkpoint = work_path(inp.spark, "changed"), work_path(inp.spark, "progress")
     stream = arriving(inp, "b_profiles")
-    streams.stream_changed(stream, inp["b_embedded"], "company_key", "profile_text_hash", "embedded_hash", out, checkpoint)
+    streams.stream_changed(stream, inp["b_embedded"], "company_key", "profile_text_hash", "embedded_hash", "stored_at", out, checkpoint)
     return inp.spark.read.parquet(out).select("company_key", "profile_text_hash")
 
 

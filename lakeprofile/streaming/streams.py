@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.scoring import all_present
 from ..operators import keyed_table
-from ..operators.incremental import API_QUOTAS, delta_read, widths_of
+from ..operators.incremental import API_QUOTAS, delta_read, newest_stored, widths_of
 from . import marks
 
 
@@ -99,12 +99,13 @@ def stream_upsert(
 
 
 def stream_changed(
-    stream: DataFrame, known: DataFrame, key: str, new_hash: str, old_hash: str, out: str, checkpoint: str
+    stream: DataFrame, known: DataFrame, key: str, new_hash: str, old_hash: str, at: str, out: str, checkpoint: str
 ) -> None:
-    """Rows whose hash is new or differs: a stream-static left join."""
-    lookup = known.select(F.col(key).alias("_key"), F.col(old_hash).alias("_old"))
+    """Rows that are new or whose hash differs from the one stored last: a stream-static left join on unique keys."""
+    newest = newest_stored(known, key, [old_hash], at)
+    lookup = newest.select(F.col(key).alias("_key"), F.col(old_hash).alias("_old"))
     joined = stream.join(lookup, F.col(key) == F.col("_key"), "left")
-    kept = joined.where(~F.col(new_hash).eqNullSafe(F.col("_old"))).drop("_key", "_old")
+    kept = joined.where(F.col("_key").isNull() | ~F.col(new_hash).eqNullSafe(F.col("_old"))).drop("_key", "_old")
     query = (
         kept.writeStream.format("parquet")
         .option("path", out)

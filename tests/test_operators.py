@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lakeprofile.functions import vectors
 from lakeprofile.operators import aggregates, calendar, dedup, incremental, joins, matching, ordering
+from lakeprofile.plans import crawl
 
 
 def hot_rows(spark, n=3000):
@@ -283,6 +284,23 @@ def test_upsert_is_idempotent(spark):
     assert {tuple(r) for r in once.collect()} == want == {tuple(r) for r in twice.collect()}
 
 
+def test_content_that_came_back_is_changed(spark):
+    """The newest stored hash counts, not any hash the key ever had."""
+    current = spark.createDataFrame([("back", "A"), ("same", "A"), ("new", "A"), ("unhashed", None), ("bare", None), ("tied", "B")], "k string, now string")
+    stored = spark.createDataFrame(
+        [("back", "A", 1), ("back", "B", 2), ("same", "B", 1), ("same", "A", 2), ("same", "C", None), ("unhashed", "A", 1), ("bare", None, 1), ("tied", "A", 1), ("tied", "B", 1)], "k string, old string, at int"
+    )
+    got = incremental.changed_rows(current, stored, "k", "now", "old", "at")
+    assert sorted(r["k"] for r in got.collect()) == ["back", "new", "unhashed"]
+
+
+def test_crawl_candidates_use_the_last_check(spark):
+    health = spark.createDataFrame([("drift", 0.9), ("kept", 0.9), ("ill", 0.1), ("never", 0.7)], "k string, health_score double")
+    checks = spark.createDataFrame([("drift", "A", "A", 1), ("drift", "A", "B", 2), ("kept", "A", "B", 1), ("kept", "B", "B", 2), ("ill", "A", "B", 1)], "k string, prev_hash string, content_hash string, at int")
+    rows = crawl.crawl_candidates(health, checks, "k", "at").collect()
+    assert sorted(r["k"] for r in rows) == ["drift", "never"]
+
+
 def test_budget_gate_stops_on_money_and_count(spark):
     rows = spark.createDataFrame([(i, 0.1) for i in range(10)], "id int, cost double")
     gate = lambda budget, items: [
