@@ -45,9 +45,10 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .common import doc_rows, small_batches
-from .repair_tokens import text_ids
+from .repair_tokens import text_ids, word_tokenizer
 
 END_ID = 1
+KEPT_PIECES = 100_000  # encoded pieces a worker remembers from one run of texts to the next, about 50 MB; only speed depends on it
 PIECES = "key long, doc_id long, piece int, start long, length long, ids binary"
 PLACED = "key long, length long, sequence_id long, offset long, open boolean"
 
@@ -70,6 +71,9 @@ def write_pieces(docs: DataFrame, path: str, tokens: int = 4096, tokenizer: str
             edges = np.flatnonzero(np.r_[True, np.diff(part) > 0, True])
             for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 found, count = text_ids(batch.column(1).slice(low, high - low), tokenizer)
+                known = word_tokenizer(tokenizer)[2]
+                if len(known) > KEPT_PIECES:
+                    known.clear()
                 data, ends = memoryview(found.astype("<u4").tobytes()), 4 * np.cumsum(count)
                 keys, doc_ids, pieces, starts, lengths, ids = [], [], [], [], [], []
                 for doc, stop, n in zip(batch.column(0).slice(low, high - low).to_pylist(), ends.tolist(), count.tolist(), strict=True):
