@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import key_text
 from ..session import cut_lineage
-from .joins import lookup_join
+from .joins import probe_join
 from .ordering import keep_first
 
 
@@ -40,7 +40,7 @@ def mark_duplicates(
         F.col(group_value).alias("duplicate_group_id"),
         F.struct(*row_id).alias("_winner"),
     )
-    marked = lookup_join(df.where(F.col(key).isNotNull()), winners, key, "inner", spread=row_id)
+    marked = probe_join(df.where(F.col(key).isNotNull()), winners, key, "inner")
     first = F.struct(*row_id) == F.col("_winner")
     return (
         marked.withColumn("is_primary_record", first)

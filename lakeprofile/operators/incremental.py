@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scoring import all_present
 from ..session import cut_lineage
-from .joins import lookup_join
+from .joins import probe_join
 from .ordering import keep_first, running_totals
 
 
@@ -79,7 +79,7 @@ def ttl_alive(df: DataFrame, expires_at: str, now: Column) -> DataFrame:
 def cache_misses(work: DataFrame, cache: DataFrame, keys: Sequence[str], expires_at: str, now: Column) -> DataFrame:
     """Work items without an unexpired cache entry."""
     valid = cache.where(F.col(expires_at) > now).select(*keys)
-    return lookup_join(work, valid.distinct(), keys, "left_anti")
+    return probe_join(work, valid.distinct(), keys, "left_anti")
 
 
 def evict_oldest(

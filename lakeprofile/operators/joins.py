@@ -2,8 +2,13 @@
 
 AQE splits a skewed partition only where both sides arrive by their own shuffle.
 A lookup that was just aggregated or ranked by the same key keeps that
-partitioning, so AQE leaves such a join alone; ``lookup_join`` splits the hot
-keys itself.
+partitioning, so AQE leaves such a join alone.
+
+``probe_join`` gives the lookup a shuffle of its own and leaves the rest to AQE,
+which knows the size of every partition once the rows are shuffled: the wide side
+is read once, and only partitions that turn out too large are split.
+``lookup_join`` counts the keys first and splits the hot ones itself; it reads
+the wide side twice and works without AQE.
 """
 
 from __future__ import annotations
@@ -25,6 +30,23 @@ def has_map(kind: T.DataType) -> bool:
     return isinstance(kind, T.MapType)
 
 
+def probe_join(rows: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
+    """Join on equal key columns, the columns of ``rows`` first; a null key finds nothing.
+
+    The null-safe comparison is what tells the lookup's partitioning by the plain
+    key apart from the one the join wants, so Spark shuffles both sides for it
+    (or broadcasts a lookup that turns out small) and AQE may split either.  Give
+    the lookup one row per key, unless rows are to be multiplied.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    marks = [f"_probe_{k}" for k in keys]
+    given = lookup.where(reduce(and_, [F.col(k).isNotNull() for k in keys]))
+    named = given.withColumnsRenamed(dict(zip(keys, marks, strict=True)))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(m)) for k, m in zip(keys, marks, strict=True)])
+    first = rows.select(*keys, *[c for c in rows.columns if c not in keys])
+    return first.join(named, same, how).drop(*marks)
+
+
 def lookup_join(
     rows: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left", spread: Sequence[str] | None = None
 ) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage
-from .joins import lookup_join
+from .joins import probe_join
 
 
 def top_n(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], n: int, rank: str | None = None) -> DataFrame:
@@ -127,7 +127,7 @@ def percent_rank(df: DataFrame, value: str, out: str) -> DataFrame:
     plain = F.col(value) + 0.0 if df.schema[value].dataType == T.DoubleType() else F.col(value)  # no -0.0
     text = F.coalesce(F.hex(plain.cast("string")), F.lit("null"))
     ranked = cumulative.select(text.alias("_value"), share.alias(out))
-    return lookup_join(df.withColumn("_value", text), ranked, "_value").drop("_value")
+    return probe_join(df.withColumn("_value", text), ranked, "_value").drop("_value")
 
 
 def category_codes(df: DataFrame, column: str, out: str) -> DataFrame:
@@ -139,4 +139,4 @@ def category_codes(df: DataFrame, column: str, out: str) -> DataFrame:
     values = keyed.select("_value").distinct()
     codes = running_totals(values, [F.col("_value").asc()], "_p")
     codes = codes.select("_value", (F.col("_p") - 1).alias(out))
-    return lookup_join(keyed, codes, "_value").drop("_value")
+    return probe_join(keyed, codes, "_value").drop("_value")

@@ -16,7 +16,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.joins import lookup_join
+from ..operators.joins import probe_join
 from ..operators.ordering import running_totals, top_n
 from ..session import cut_lineage
 from .learning import TOP_FEATURES, classification_summary
@@ -45,7 +45,7 @@ def threshold_points(scored: DataFrame, label: str, score: str) -> DataFrame:
     )
     points = running_totals(counts, [F.col("threshold").desc()], "step", {"tp": F.col("pos"), "fp": F.col("neg")}, partition_by=[MODEL])
     totals = counts.groupBy(MODEL).agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
-    found = lookup_join(points, totals, MODEL, "inner", spread=["threshold"])
+    found = probe_join(points, totals, MODEL, "inner")
     zero, none = F.lit(0).cast("long"), F.lit(None).cast("double")
     origin = totals.select(MODEL, none.alias("threshold"), *[zero.alias(c) for c in ("pos", "neg", "step", "tp", "fp")], "all_pos", "all_neg")
     return found.unionByName(origin)

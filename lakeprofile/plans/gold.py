@@ -19,7 +19,7 @@ from ..functions.scoring import (
 )
 from ..functions.text import bare_domain
 from ..operators.aggregates import array_unions, count_where
-from ..operators.joins import lookup_join
+from ..operators.joins import probe_join
 from ..operators.ordering import full_rank, keep_first, percent_rank
 from ..session import cut_lineage
 from .silver import SOCIAL, run_time
@@ -476,7 +476,7 @@ def startup_profiles(
         F.col("domain").alias("website_url"), "domain_health_score", "ssl_valid", "dns_resolution", "last_health_check"
     )
     rollup = contact_rollup(contacts).withColumnRenamed("organization_id", "id")
-    placed = lookup_join(base, sites, "website_url", spread=["id"])  # many companies may lack a site
+    placed = probe_join(base, sites, "website_url")  # many companies may lack a site
     joined = placed.join(web, "id", "left").join(ids, "id", "left").join(rollup, "id", "left")
     stamp = F.lit(as_of).cast("date")
     return (
@@ -613,7 +613,7 @@ def enrich_by_domain(companies: DataFrame, vendor: DataFrame, crawl: DataFrame)
     keyed = companies.withColumn("domain", bare_domain("website_url"))
     facts = vendor.join(crawl, "domain", "full")
     return (
-        lookup_join(keyed, facts, "domain", spread=["company_id"])
+        probe_join(keyed, facts, "domain")
         .withColumns(
             {
                 "apollo_company_id": F.coalesce("apollo_company_id", F.lit("")),

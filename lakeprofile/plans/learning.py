@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import lookup_join
+from ..operators.joins import probe_join
 from ..operators.ordering import running_totals, top_n
 from ..session import cut_lineage
 
@@ -26,20 +26,20 @@ FOLDS = 5
 
 
 def training_set(shortlists: DataFrame, profiles: DataFrame, start: str, end: str) -> DataFrame:
-    """Scored shortlists with company facts and the contacted-within-14-days label.
+    """Scored shortlists (with ``rule_features``, a map, and ``reason``) with company facts and the contacted-within-14-days label.
 
-    Profiles are unique per company; the rows of a company that holds very many
-    shortlists are dealt to several tasks.
+    Profiles are unique per company; the shortlists are read once, and those of a
+    company that holds very many are split by their size.
     """
     period = F.col("created_at").between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"))
     rows = shortlists.where(period).dropna(subset=["final_score", "embedding_similarity", "ml_score"])
     facts = profiles.select(
-        "company_key", "industry", "country", "employee_count", "total_funding", "domain_health_score",
+        "company_key", "industry", "country", "employee_count", "annual_revenue", "total_funding", "domain_health_score",
         "content_richness_score", F.col("updated_at").alias("_updated"),
     )
     recent = F.col("created_at") >= F.col("_updated") - F.expr("INTERVAL 14 DAYS")
     label = F.when(recent & (F.col("final_score") > 0.7), F.lit(1)).otherwise(F.lit(0))
-    joined = lookup_join(rows, facts, "company_key", "inner")
+    joined = probe_join(rows, facts, "company_key", "inner")
     return joined.withColumn("contacted_within_14_days", label).drop("_updated")
 
 
@@ -90,7 +90,7 @@ def with_split(df: DataFrame, key: str, label: str, seed: str = "42") -> DataFra
     drawn = df.withColumn("_draw", F.xxhash64(F.lit(seed), F.col(label), F.col(key)))
     placed = running_totals(drawn, [F.col("_draw"), F.col(key)], "_place", partition_by=[label])
     sizes = placed.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
-    joined = lookup_join(placed.withColumn("_label", F.col(label)), sizes, "_label", "left", spread=[key])
+    joined = probe_join(placed.withColumn("_label", F.col(label)), sizes, "_label")
     train = F.col("_place") <= F.col("_n") - F.round(F.col("_n") / FOLDS)
     return joined.withColumns({"is_train": train, "fold": (F.col("_place") % FOLDS).cast("int")}).select(*df.columns, "is_train", "fold")
 
@@ -112,21 +112,22 @@ def with_balance(df: DataFrame, label: str) -> DataFrame:
 
 
 def fit_logistic(
-    train: DataFrame, names: Sequence[str], label: str, cost: float = 1.0, iterations: int = 1_000
+    train: DataFrame, names: Sequence[str] | None, label: str, cost: float = 1.0, iterations: int = 1_000
 ) -> tuple[LogisticRegressionModel, PipelineModel]:
     """Class-balanced logistic regression with an L2 penalty.
 
     Minimises ``|w|² / 2 + cost · Σ weight · loss`` over features as they are.
     Spark divides the loss by the sum of the weights (the number of rows), and
-    so the penalty.
+    so the penalty.  Features are the columns ``names``, or the vectors in
+    ``features`` where no names are given.
     """
     balanced = with_balance(train, label)
     rows = max(1, train.count())
-    assembler = VectorAssembler(inputCols=list(names), outputCol="features")
+    stages = [] if names is None else [VectorAssembler(inputCols=list(names), outputCol="features")]
     lr = LogisticRegression(
         featuresCol="features", labelCol=label, weightCol="weight", maxIter=iterations, regParam=1.0 / (cost * rows), standardization=False
     )
-    pipeline = Pipeline(stages=[assembler, lr]).fit(balanced)
+    pipeline = Pipeline(stages=[*stages, lr]).fit(balanced)
     return pipeline.stages[-1], pipeline
 
 
@@ -161,9 +162,10 @@ def evaluation_document(document: Mapping) -> dict:
     return {k: document[k] for k in EVALUATION_FIELDS}
 
 
-def train_and_evaluate(df: DataFrame, names: Sequence[str], label: str, key: str, trained_at: str = "") -> tuple[DataFrame, dict]:
+def train_and_evaluate(df: DataFrame, names: Sequence[str] | None, label: str, key: str, trained_at: str = "") -> tuple[DataFrame, dict]:
     """Fit on the train part, score the rest, cross-validate by fold.
 
+    ``names`` is as in ``fit_logistic``; features given as vectors have their names in a vocabulary, not in the document.
     Returns one row of metrics and the model document, marked with ``trained_at`` and a version made of it.
     """
     prepared = cut_lineage(with_split(df, key, label))
@@ -192,10 +194,10 @@ def train_and_evaluate(df: DataFrame, names: Sequence[str], label: str, key: str
         *values,
         F.lit(sizes.get(True, 0)).alias("training_samples"),
         F.lit(sizes.get(False, 0)).alias("test_samples"),
-        F.lit(len(names)).alias("feature_count"),
+        F.lit(model.numFeatures).alias("feature_count"),
         F.lit(model.summary.totalIterations < model.getMaxIter()).alias("converged"),
     )
-    document = model_document(model, names)
+    document = model_document(model, [] if names is None else names)
     document.update(training_samples=sizes.get(True, 0), test_samples=sizes.get(False, 0), **{k: metrics[k] for k in ("auc_score", "pr_auc_score")})
     document.update(trained_at=trained_at, model_version="v" + "".join(c for c in trained_at if c.isdigit()))
     return row, document

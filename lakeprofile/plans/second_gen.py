@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.json_fields import text_schema
-from ..operators.joins import lookup_join
+from ..operators.joins import probe_join
 from ..operators.ordering import keep_first
 
 # Payload fields and their types; fields not listed are text.
@@ -82,7 +82,7 @@ def web_extracts(raw: DataFrame, companies: DataFrame) -> DataFrame:
     newest = keep_first(companies.where(F.col("id").isNotNull()), ["id"], [*recency, F.col("name").asc_nulls_last()])  # one row per company
     firm = newest.select(F.col("id").alias("company_id"), *CRAWL_COLUMNS)
     return (
-        lookup_join(crawls, firm, "company_id", "inner", spread=["crawled_at", "content_hash"])
+        probe_join(crawls, firm, "company_id", "inner")
         .withColumnsRenamed({"name": "company_name", "description": "company_description"})
         .withColumns({"last_crawled": F.col("crawled_at"), **date_parts("crawled_at")})
         .drop("domain")

@@ -4,38 +4,49 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.matching import logistic_score
+from ..operators.matching import logistic_score, match_reason
 from ..operators.ordering import category_codes as add_codes
-from ..plans import evaluation, learning
+from ..plans import evaluation, features, learning
 from .core import START, cte, num, query, shared, stamp
 from .gold_queries import profiles_of
 
 PERIOD = ("2024-01-01", "2024-01-28")
 cte(
     "o_training",
-    """SELECT s.event_id, s.challenge_id, s.company_key, s.final_score, s.embedding_similarity, s.ml_score, s.created_at, g.industry, g.country, g.employee_count,
+    """SELECT s.event_id, s.challenge_id, s.company_key, s.final_score, s.embedding_similarity, s.ml_score, s.created_at, g.industry, g.country, g.employee_count, g.employee_count * 150000 AS annual_revenue, g.total_funding,
+       s.industry_match, s.geo_match, s.name_similarity, coalesce(nullif(concat_ws('; ', CASE WHEN embedding_similarity > 0.8 THEN 'Very high content similarity' WHEN embedding_similarity > 0.6 THEN 'High content similarity' WHEN embedding_similarity > 0.4 THEN 'Moderate content similarity' END,
+       CASE WHEN industry_match > 0 THEN 'Industry match' END, CASE WHEN geo_match > 0 THEN 'Geographic match' END, CASE WHEN name_similarity > 0.5 THEN 'Company name similarity' END,
+       CASE WHEN ml_score > 0.7 THEN 'Strong ML prediction' WHEN ml_score > 0.5 THEN 'Moderate ML prediction' END), ''), 'General similarity') AS reason,
        CASE WHEN s.created_at >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 14 DAY AND s.final_score > 0.7 THEN 1 ELSE 0 END AS contacted_within_14_days
-       FROM b_shortlists s JOIN o_companies g ON g.company_key = s.company_key WHERE s.created_at BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-01-28 00:00:00' AND s.final_score IS NOT NULL""",
+       FROM b_shortlists s JOIN o_companies g ON g.company_key = s.company_key WHERE s.created_at BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-01-28 00:00:00' AND s.final_score IS NOT NULL AND s.ml_score IS NOT NULL""",
 )
 
 
 @shared
 def training_of(inp):
-    return learning.training_set(inp["b_shortlists"], profiles_of(inp), *PERIOD)
+    rules = ("industry_match", "geo_match", "name_similarity")
+    scores = [F.col(c) for c in ("embedding_similarity", *rules, "ml_score")]
+    rows = inp["b_shortlists"].withColumn("reason", match_reason(*scores)).withColumn("rule_features", F.create_map(*[x for c in rules for x in (F.lit(c), F.col(c))]))
+    profiles = profiles_of(inp).withColumn("annual_revenue", F.col("employee_count") * 150_000)
+    return learning.training_set(rows, profiles, *PERIOD)
 
 
 @query(
     "training_set",
-    f"""SELECT event_id, challenge_id, company_key, {num('final_score', 'embedding_similarity', 'ml_score')}, {stamp('created_at')}, industry, country, employee_count, contacted_within_14_days FROM o_training""",
+    f"""SELECT event_id, challenge_id, company_key, {num('final_score', 'embedding_similarity', 'ml_score')}, {stamp('created_at')}, industry, country, employee_count, annual_revenue, {num('total_funding')}, industry_match, geo_match, name_similarity, reason, contacted_within_14_days FROM o_training""",
 )
 def training_set(inp):
     from ..session import work_path
     from ..sources.readers import read_parquet
 
-    shown = ["event_id", "challenge_id", "company_key", "final_score", "embedding_similarity", "ml_score", "created_at", "industry", "country", "employee_count", "contacted_within_14_days"]
+    shown = [
+        "event_id", "challenge_id", "company_key", "final_score", "embedding_similarity", "ml_score", "created_at", "industry", "country", "employee_count", "annual_revenue",
+        "total_funding", "rule_features", "reason", "contacted_within_14_days",
+    ]
     path = work_path(inp.spark, "training")
     training_of(inp).select(*shown).write.mode("overwrite").option("compression", "snappy").parquet(path)
-    return read_parquet(inp.spark, path)
+    rules = [F.col("rule_features")[c].alias(c) for c in ("industry_match", "geo_match", "name_similarity")]
+    return read_parquet(inp.spark, path).select("*", *rules).drop("rule_features")
 
 
 @query(
@@ -46,6 +57,52 @@ def training_stats(inp):
     return learning.training_stats(training_of(inp))
 
 
+NUMBERS = ("embedding_similarity", "ml_score", "employee_count", "annual_revenue", "total_funding")
+RULES = ("industry_match", "geo_match", "name_similarity")
+
+
+@shared
+def long_features(inp):
+    from ..session import cut_lineage
+
+    rows = cut_lineage(training_of(inp).select("event_id", *NUMBERS, "rule_features", "industry", "country", F.col("contacted_within_14_days").alias("label")))
+    return rows, features.entries(rows, "event_id", NUMBERS, ["rule_features"], ["industry", "country"])
+
+
+cte(
+    "o_entries",
+    "SELECT * FROM ("
+    + " UNION ALL ".join(
+        [f"SELECT event_id, contacted_within_14_days AS label, '{c}' AS feature, '{kind}' AS col, '{name}' AS name, coalesce({c}, 0)::DOUBLE AS number FROM o_training" for c, kind, name in [*[(c, c, "") for c in NUMBERS], *[(c, "rule_features", c) for c in RULES]]]
+        + [f"SELECT event_id, contacted_within_14_days, '{c}_' || coalesce({c}, 'unknown'), '{c}', coalesce({c}, 'unknown'), 1.0::DOUBLE FROM o_training" for c in ("industry", "country")]
+    )
+    + ")",
+)
+cte("o_words", "SELECT *, CAST(row_number() OVER (ORDER BY col, name) - 1 AS INTEGER) AS idx FROM (SELECT DISTINCT col, name, feature FROM o_entries)")
+
+
+@query("feature_vocabulary", "SELECT col AS column_name, name, feature, idx FROM o_words")
+def feature_vocabulary(inp):
+    """All features of the training set with their places in the vector."""
+    words = features.vocabulary(long_features(inp)[1], ["rule_features"])
+    return words.select(F.col("column").alias("column_name"), "name", "feature", F.col("index").alias("idx"))
+
+
+@query("training_features", f"SELECT event_id, label, feature, {num('number AS value')} FROM o_entries JOIN o_words USING (col, name, feature) WHERE number <> 0")
+def training_features(inp):
+    """Features of the training set that are not 0, read back from the stored vectors."""
+    from pyspark.ml.functions import vector_to_array
+
+    from ..session import work_path
+
+    rows, long = long_features(inp)
+    words = features.vocabulary(long, ["rule_features"])
+    sparse = features.sparse_rows(long, words, "event_id", rows.select("event_id", "label"))
+    stored = features.write_features(sparse, words.count(), work_path(inp.spark, "features"))
+    dense = stored.select("event_id", "label", F.posexplode(vector_to_array("features")).alias("index", "value")).where("value <> 0")
+    return dense.join(words.select("index", "feature"), "index").select("event_id", "label", "feature", "value")
+
+
 LANGS = ("de", "en", "es", "fr")
 SOURCES = tuple(sorted(f"src{i}" for i in range(20)))
 

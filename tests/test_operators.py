@@ -91,16 +91,48 @@ def no_broadcast(spark):
         spark.conf.unset(key)
 
 
+@pytest.mark.parametrize("join", [joins.lookup_join, joins.probe_join])
 @pytest.mark.parametrize("how", ["left", "inner", "left_anti", "left_semi"])
-def test_lookup_join_equals_a_plain_join(spark, no_broadcast, how):
+def test_lookup_join_equals_a_plain_join(spark, no_broadcast, how, join):
     rows = hot_rows(spark, 2000).withColumn("grp", F.when(F.col("grp") != "g3", F.col("grp")))
-    lookup = rows.where("grp <> 'g4'").groupBy("grp").agg(F.max("val").alias("top"))
-    got = joins.lookup_join(rows, lookup, "grp", how)
+    lookup = rows.where("grp <> 'g4' OR grp IS NULL").groupBy("grp").agg(F.max("val").alias("top"))
+    got = join(rows, lookup, "grp", how)
     want = rows.join(lookup, "grp", how)
     assert got.columns == want.columns
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
+def test_probe_join_reads_its_rows_once_and_splits_a_hot_key(spark, no_broadcast, tmp_path):
+    """The lookup is an aggregate on the same key; AQE alone leaves such a join in one task."""
+    hot_rows(spark, 60_000).withColumn("body", F.sha2(F.col("id").cast("string"), 512)).repartition(8).write.parquet(str(tmp_path / "wide"))
+    rows = spark.read.parquet(str(tmp_path / "wide"))
+    hot_rows(spark, 900).write.parquet(str(tmp_path / "narrow"))
+    lookup = spark.read.parquet(str(tmp_path / "narrow")).groupBy("grp").agg(F.max("val").alias("top"))
+    assert plan_of(joins.probe_join(rows, lookup, "grp", "inner")).count("/wide") == 1
+    assert plan_of(joins.lookup_join(rows, lookup, "grp", "inner")).count("/wide") > 1
+    small = {
+        "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+
+        def largest(df):
+            out = str(tmp_path / f"out{len(list(tmp_path.iterdir()))}")
+            df.withColumn("task", F.spark_partition_id()).write.parquet(out)
+            per_task = spark.read.parquet(out).where("grp = 'hot'").groupBy("task").count()
+            return max(r["count"] for r in per_task.collect())
+
+        hot = rows.where("grp = 'hot'").count()
+        assert largest(rows.join(lookup, "grp")) == hot
+        assert largest(joins.probe_join(rows, lookup, "grp", "inner")) < 0.7 * hot
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
 def test_hot_rows_of_a_join_meet_in_several_tasks(spark, no_broadcast):
     """Joining to an aggregate on the same key, where AQE does not split."""
     rows = hot_rows(spark, 8000)
