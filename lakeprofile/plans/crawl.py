@@ -53,6 +53,11 @@ def crawl_digest(pages: Column) -> Column:
     return F.sha2(F.array_join(texts, ""), 256)
 
 
+def crawl_content_hash(pages: Column) -> Column:
+    """The published short form: the first 16 digits of the digest."""
+    return F.substring(crawl_digest(pages), 1, 16)
+
+
 def normalize_crawls(raw: DataFrame) -> DataFrame:
     """Crawl JSON to flat columns with defaults; content only when it succeeded."""
     rows = raw.select("raw_json", F.from_json("raw_json", CRAWL_SCHEMA).alias("_j")).select("raw_json", "_j.*")
@@ -66,7 +71,7 @@ def normalize_crawls(raw: DataFrame) -> DataFrame:
         "domain",
         "timestamp",
         F.coalesce("success", F.lit(False)).alias("success"),
-        F.coalesce("content_hash", F.substring(crawl_digest(F.col("data.data.pages")), 1, 16)).alias("content_hash"),  # the published short form
+        F.coalesce("content_hash", crawl_content_hash(F.col("data.data.pages"))).alias("content_hash"),
         crawl_digest(F.col("data.data.pages")).alias("content_digest"),
         F.coalesce("pages_crawled", F.lit(0)).alias("pages_crawled"),
         F.coalesce("total_links", page_links(F.col("data.data.pages"))).alias("total_links"),

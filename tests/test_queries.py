@@ -8,8 +8,6 @@ from lakeprofile.registry.core import Inputs
 
 from __spark_entry__ import oracle_sql, queries
 
-SLOW = {"lr_train_eval", "feature_importance"}
-
 
 @pytest.fixture(scope="module")
 def duck():
@@ -21,7 +19,7 @@ def sqls():
     return oracle_sql()
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if n not in SLOW])
+@pytest.mark.parametrize("name", list(queries()))
 def test_query(spark, duck, sqls, name):
     df = queries()[name](spark, SMALL)
     if name in sqls:
