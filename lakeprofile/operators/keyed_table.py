@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage
+from ..session import cut_lineage, remove_path
 from .ordering import keep_first
 
 FILE_ROWS = 1_000_000  # rows a task writes at most, about
@@ -118,5 +118,5 @@ def vacuum(spark: SparkSession, path: str, versions: int = 2) -> list[str]:
         stale = [b for b in buckets if b not in named]
         gone += [f"data/{version.getPath().getName()}"] if len(stale) == len(buckets) else [f"data/{b}" for b in stale]
     for folder in gone:
-        files.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}"), True)
+        remove_path(spark, f"{path}/{folder}")
     return gone

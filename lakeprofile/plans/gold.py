@@ -695,19 +695,32 @@ def enrichment_stats(df: DataFrame) -> DataFrame:
     )
 
 
-def run_summary(df: DataFrame, order_key: str = "company_id") -> DataFrame:
-    """Run totals plus one JSON record per processed company.
+# What a full run reads and the stages it has.
+RUN_SOURCES = ("CSV", "Apollo API", "Firecrawl API")
+RUN_STAGES = ("Bronze", "Silver", "Gold", "API Enrichment", "Embeddings", "DynamoDB")
+RUN_SERVICES = ("apollo", "firecrawl", "bedrock")
 
-    The totals are one row; the company list stays a distributed column of
-    JSON texts instead of one array, so it can be written without a driver.
+
+def run_summary(
+    df: DataFrame, embeddings: DataFrame, at: str, enabled: Sequence[str] = RUN_SERVICES, sources: Sequence[str] = RUN_SOURCES, stages: Sequence[str] = RUN_STAGES, order_key: str = "company_id"
+) -> DataFrame:
+    """One JSON record of the run (totals, time, sources, stages, which services were on) and one per processed company.
+
+    ``embeddings`` are the vectors the run made.  The head is one row; the company
+    list stays a distributed column of JSON texts instead of one array, so it can
+    be written without a driver.
     """
     fields = ("company_name", "industry", "company_size_category", "revenue_stage", "enrichment_sources")
     companies = df.select(
         F.lit("company").alias("kind"), F.col(order_key).alias("item"), F.to_json(F.struct(order_key, *fields)).alias("body")
     )
-    totals = df.agg(F.count(F.lit(1)).alias("total_startups_processed"))
-    head = totals.select(F.lit("run").alias("kind"), F.lit("").alias("item"), F.to_json(F.struct("*")).alias("body"))
-    return head.unionByName(companies)
+    status = F.struct(*[F.lit(s in enabled).alias(f"{s}_enabled") for s in RUN_SERVICES])
+    names = lambda given: F.array(*[F.lit(g) for g in given])
+    head = df.agg(F.count(F.lit(1)).alias("total_startups_processed")).select(
+        "total_startups_processed", embeddings.agg(F.count(F.lit(1)).alias("n")).scalar().alias("embeddings_generated"), F.lit(at).alias("execution_time"),
+        names(sources).alias("data_sources"), names(stages).alias("processing_stages"), status.alias("api_status"),
+    )
+    return head.select(F.lit("run").alias("kind"), F.lit("").alias("item"), F.to_json(F.struct("*")).alias("body")).unionByName(companies)
 
 
 # --- read models ------------------------------------------------------------

@@ -229,3 +229,30 @@ def table_metadata(inp):
     table = readers.read_table(inp.spark, name)
     filled = table.agg(*[F.count(c).alias(c) for c in table.columns]).unpivot([], table.columns, "col_name", "non_null")
     return maintenance.column_comments(inp.spark, name).join(filled, "col_name")
+
+
+PROPERTIES = {"layer": "gold", "retention_days": "30", "steward": "match team's"}
+
+
+@query(
+    "catalog_record",
+    f"""SELECT * FROM (VALUES ('table', '', 'Events of the matcher''s run', ''), ('column', 'event_id', 'bigint', '{COMMENTS['event_id']}'), ('column', 'challenge_id', 'string', '{COMMENTS['challenge_id']}'),
+       ('column', 'final_score', 'double', '{COMMENTS['final_score']}'), ('column', 'dt', 'string', ''), ('property', 'layer', 'gold', ''), ('property', 'retention_days', '30', ''), ('property', 'steward', 'match team''s', '')) AS c(kind, item, value, detail)
+       UNION ALL SELECT DISTINCT 'partition', dt, '', '' FROM b_shortlists""",
+)
+def catalog_record(inp):
+    """Comments, properties and partitions of a table, as they are read back."""
+    name = dated_table(inp)
+    maintenance.set_comments(inp.spark, name, "Events of the matcher's run", COMMENTS)
+    maintenance.set_properties(inp.spark, name, PROPERTIES)
+    return maintenance.catalog_record(inp.spark, name)
+
+
+@query(
+    "catalog_mapped",
+    """SELECT event_id AS id, 'challenge ' || challenge_id AS challenge, round(final_score * 100, 6) AS percent, dt AS day FROM b_shortlists WHERE dt >= '2024-01-20'""",
+)
+def catalog_mapped(inp):
+    """A catalog table read into another shape; old days are not read."""
+    shape = {"id": F.col("event_id"), "challenge": F.concat(F.lit("challenge "), "challenge_id"), "percent": F.col("final_score") * 100, "day": F.col("dt")}
+    return readers.read_mapped(inp.spark, dated_table(inp), shape).where(F.col("day") >= "2024-01-20")

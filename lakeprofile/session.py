@@ -83,3 +83,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: stored in the shared folder, survives executor loss."""
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder or file in whatever store its path names; whether it was there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -7,10 +7,18 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Properties the catalog writes itself.
+OWN_PROPERTIES = r"^(comment$|transient_lastDdlTime|numFiles|totalSize|option\.|spark\.sql\.)"
+
+
+def quoted(text: str) -> str:
+    """A text as an SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
 
 def create_dated_table(spark: SparkSession, name: str, schema: str, location: str, comment: str = "") -> None:
     """External Parquet table partitioned by ``dt``."""
-    note = f" COMMENT '{comment}'" if comment else ""
+    note = f" COMMENT {quoted(comment)}" if comment else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet PARTITIONED BY (dt){note} LOCATION '{location}'")
 
 
@@ -44,13 +52,13 @@ def drop_old_partitions(spark: SparkSession, name: str, as_of: str, days: int) -
 
 
 def set_comments(spark: SparkSession, name: str, table_comment: str, columns: Mapping[str, str]) -> None:
-    spark.sql(f"COMMENT ON TABLE {name} IS '{table_comment}'")
+    spark.sql(f"COMMENT ON TABLE {name} IS {quoted(table_comment)}")
     for column, text in columns.items():
-        spark.sql(f"ALTER TABLE {name} ALTER COLUMN {column} COMMENT '{text}'")
+        spark.sql(f"ALTER TABLE {name} ALTER COLUMN {column} COMMENT {quoted(text)}")
 
 
 def set_properties(spark: SparkSession, name: str, properties: Mapping[str, str]) -> None:
-    pairs = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+    pairs = ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in properties.items())
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
 
 
@@ -60,6 +68,22 @@ def column_comments(spark: SparkSession, name: str) -> DataFrame:
     return fields.select("col_name", "data_type", F.coalesce("comment", F.lit("")).alias("comment")).distinct()
 
 
+def catalog_record(spark: SparkSession, name: str) -> DataFrame:
+    """What the catalog holds about a table: ``kind`` (table, column, property, partition), ``item``, ``value`` and ``detail``.
+
+    The comment of the table and its columns with type and comment, the properties that were set (not those the catalog
+    keeps for itself), and every partition.
+    """
+    none = F.lit("")
+    columns = column_comments(spark, name).select(F.lit("column").alias("kind"), F.col("col_name").alias("item"), F.col("data_type").alias("value"), F.col("comment").alias("detail"))
+    listed = spark.sql(f"SHOW TBLPROPERTIES {name}").where(~F.col("key").rlike(OWN_PROPERTIES))
+    properties = listed.select(F.lit("property").alias("kind"), F.col("key").alias("item"), "value", none.alias("detail"))
+    days = partitions_of(spark, name).select(F.lit("partition").alias("kind"), F.col("dt").alias("item"), none.alias("value"), none.alias("detail"))
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Comment'")
+    table = described.select(F.lit("table").alias("kind"), none.alias("item"), F.col("data_type").alias("value"), none.alias("detail"))
+    return table.unionByName(columns).unionByName(properties).unionByName(days)
+
+
 def create_layers(spark: SparkSession, root: str, retention_days: Mapping[str, int]) -> None:
     """Bronze, silver and gold databases with their location and retention."""
     for layer, days in retention_days.items():

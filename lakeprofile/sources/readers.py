@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,14 +47,17 @@ def between_dates(df: DataFrame, start: str, end: str | None = None, column: str
     return out if end is None else out.where(F.col(column) <= end)
 
 
-def newest_file(spark: SparkSession, path: str, schema: Schema) -> DataFrame:
+def newest_file(spark: SparkSession, path: str, schema: Schema, sequence: str = r"(\d+)\D*$") -> DataFrame:
     """Rows of the most recently modified JSON-array file below ``path``.
 
-    The file times come from a listing of names only; the data read that
+    Of files of the same time that with the highest number in its name counts
+    (``sequence`` captures it; a name without one is before all numbers), then the
+    last name.  The times come from a listing of names only; the data read that
     follows opens the one chosen file.
     """
     listing = spark.read.format("binaryFile").load(path).select("path", "modificationTime")
-    newest = listing.orderBy(F.col("modificationTime").desc(), F.col("path").desc()).first()
+    number = F.regexp_extract(F.element_at(F.split("path", "/"), -1), sequence, 1).try_cast("decimal(38,0)")
+    newest = listing.orderBy(F.col("modificationTime").desc(), number.desc_nulls_last(), F.col("path").desc()).first()
     if newest is None:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).json(newest["path"], multiLine=True)
@@ -67,5 +70,14 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, name: str, columns: Sequence[str] = ()) -> DataFrame:
+    """A catalog table, or some of its columns."""
     table = spark.table(name)
     return table.select(*columns) if columns else table
+
+
+def read_mapped(spark: SparkSession, name: str, shape: Mapping[str, Column]) -> DataFrame:
+    """A catalog table brought into another shape: output columns and the expressions they come from.
+
+    Only the table's columns that the shape names are read.
+    """
+    return spark.table(name).select(*[c.alias(out) for out, c in shape.items()])

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import remove_path
+
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite", rebalance: bool = False) -> None:
     """Snappy Parquet partitioned by ``by``.
@@ -49,10 +51,11 @@ def write_document(df: DataFrame, path: str) -> None:
 
 
 def stage_and_promote(df: DataFrame, staging: str, target: str, by: Sequence[str], min_rows: int = 1) -> int:
-    """Write to staging, check what was written, then replace the partitions.
+    """Write to staging, check what was written, replace the partitions, drop the stage.
 
     The target is only touched once the staged files are complete and hold at
-    least ``min_rows`` rows; partitions without new rows stay as they are.
+    least ``min_rows`` rows; partitions without new rows stay as they are.  A
+    stage that is refused, or whose promotion fails, stays for a look at it.
     """
     spark = df.sparkSession
     write_partitioned(df, staging, by)
@@ -61,4 +64,5 @@ def stage_and_promote(df: DataFrame, staging: str, target: str, by: Sequence[str
     if rows < min_rows:
         raise ValueError(f"staged {rows} rows, expected at least {min_rows}")
     write_partitioned(staged, target, by)
+    remove_path(spark, staging)
     return rows

@@ -69,6 +69,42 @@ def test_newest_file_wins(spark, tmp_path):
     assert [r["v"] for r in readers.newest_file(spark, str(tmp_path), "v string").collect()] == ["new.json"]
 
 
+def test_newest_of_files_of_one_time(spark, tmp_path):
+    """The highest number in the name, not the last name."""
+    import os
+
+    for name in ("export-9.json", "export-10.json", "export-1.json", "zz.json"):
+        f = tmp_path / name
+        f.write_text(f'[\n {{"v": "{name}"}}\n]')
+        os.utime(f, (2_000_000_000, 2_000_000_000))
+    assert [r["v"] for r in readers.newest_file(spark, str(tmp_path), "v string").collect()] == ["export-10.json"]
+
+
+def test_stage_is_dropped_after_promotion(spark, tmp_path):
+    rows = spark.range(3).select("id", F.lit("2024-01-01").alias("dt"))
+    stage, target = tmp_path / "stage", tmp_path / "target"
+    assert writers.stage_and_promote(rows, str(stage), str(target), ["dt"]) == 3
+    assert not stage.exists() and spark.read.parquet(str(target)).count() == 3
+    with pytest.raises(ValueError, match="staged 0 rows"):
+        writers.stage_and_promote(rows.limit(0), str(stage), str(target), ["dt"])
+    assert stage.exists()
+
+
+def test_catalog_record_reads_back_what_was_set(spark, tmp_path):
+    name = "noted_table"
+    maintenance.create_dated_table(spark, name, "a int, dt string", str(tmp_path / "t"), "first's")
+    try:
+        maintenance.set_comments(spark, name, "it's a \\ \"table\"", {"a": "a's column"})
+        maintenance.set_properties(spark, name, {"owner's": "x = 'y'"})
+        maintenance.add_partition(spark, name, "2024-01-01")
+        got = {tuple(r) for r in maintenance.catalog_record(spark, name).collect()}
+        assert got == {
+            ("table", "", "it's a \\ \"table\"", ""), ("column", "a", "int", "a's column"), ("column", "dt", "string", ""), ("property", "owner's", "x = 'y'", ""), ("partition", "2024-01-01", "", ""),
+        }
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_layers_and_retention(spark, tmp_path):
     maintenance.create_layers(spark, str(tmp_path), {"bronze_t": 90, "gold_t": 730})
     described = {r[0]: r[1] for r in spark.sql("DESCRIBE DATABASE EXTENDED bronze_t").collect()}
