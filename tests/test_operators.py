@@ -184,7 +184,8 @@ def test_a_name_goes_for_one_that_stays_only(spark):
     assert near(spark, "xxab", "xxabc", "xxabcd") == ["xxab", "xxabcd"]
     assert near(spark, *["a" * n for n in range(1, 8)]) == ["a", "aaa", "aaaaa", "aaaaaaa"]
     assert near(spark, "ab", "ba", "a b", "AB ") == ["ab", "ba"]
-    assert near(spark, "", "x", "xy", "😀y", "😀") == ["", "xy", "😀"]
+    assert near(spark, "", "x", "xy", "😀y", "😀") == ["", "xy"]
+    assert near(spark, "ab😀", "ab", "abé😀", "b😀a") == ["ab😀", "b😀a"]  # a letter beyond the first plane is one letter
 
 
 def test_near_names_are_linear_in_a_long_name(spark):
