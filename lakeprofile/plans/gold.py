@@ -18,7 +18,7 @@ from ..functions.scoring import (
     weighted_score,
 )
 from ..functions.text import bare_domain
-from ..operators.aggregates import array_unions, count_where
+from ..operators.aggregates import array_unions, count_where, element_counts
 from ..operators.joins import probe_join
 from ..operators.ordering import full_rank, keep_first, percent_rank
 from ..session import cut_lineage
@@ -81,6 +81,11 @@ def web_aggregates(pages: DataFrame, tie_breaker: str = "page_url") -> DataFrame
     return joined.withColumns({f"all_{a}": F.coalesce(f"all_{a}", no_strings()) for a in WEB_ARRAYS})
 
 
+def web_elements(pages: DataFrame) -> DataFrame:
+    """What a company's own pages list, one row per company, kind and element, with the number of times it occurs."""
+    return element_counts(pages.where(F.col("is_company_website")), "company_key", WEB_ARRAYS)
+
+
 def combine_sources(companies: DataFrame, health: DataFrame, contacts: DataFrame, web: DataFrame) -> DataFrame:
     """Companies with health, contact and web facts; every side has unique keys."""
     base = companies.where(F.col("is_primary_record")).drop("created_at", "updated_at", "last_verified_at", "dt", "source_systems")

@@ -212,6 +212,22 @@ def test_array_unions(spark):
     assert got == {"k": (["a", "b"], ["z"])}
 
 
+def test_a_key_with_a_million_elements_is_no_row(spark):
+    """The table of elements spreads over all tasks; its largest row holds one element."""
+    rows = spark.range(2_000).select(
+        F.lit("hot").alias("key"), F.transform(F.sequence(F.lit(0), F.lit(499)), lambda i: F.concat(F.lit("e"), (F.col("id") * 500 + i).cast("string"))).alias("x"),
+        F.array(F.lit("a"), F.lit(None).cast("string"), F.lit("a")).alias("y"),
+    )
+    counted = aggregates.element_counts(rows, "key", ["x", "y"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        per_task = [r["count"] for r in counted.where("column = 'x'").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(per_task) == 1_000_000 and max(per_task) < 400_000
+    assert [tuple(r) for r in counted.where("column = 'y'").collect()] == [("hot", "y", "a", 4_000)]
+
+
 def test_missing_days(spark):
     rows = spark.createDataFrame([("t", "2024-01-30"), ("t", "2024-01-31"), ("u", "2024-01-31")], "table_name string, dt string")
     got = calendar.missing_partitions(rows, ["t", "u", "v"], "2024-01-31", days=1)
