@@ -48,7 +48,7 @@ from .common import doc_rows, small_batches
 from .repair_tokens import text_ids, word_tokenizer
 
 END_ID = 1
-KEPT_PIECES = 100_000  # encoded pieces a worker remembers from one run of texts to the next, about 50 MB; only speed depends on it
+KEPT_PIECES = 200_000  # encoded pieces a worker remembers from one run of texts to the next, about 100 MB; only speed depends on it
 PIECES = "key long, doc_id long, piece int, start long, length long, ids binary"
 PLACED = "key long, length long, sequence_id long, offset long, open boolean"
 
