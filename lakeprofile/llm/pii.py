@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import lookup_join
-from ..session import cut_lineage
+from ..session import cut_lineage, remove_path, work_path
 from .common import doc_rows, text_key
 from .spans import SPAN, blanked, count_kind, listed, match_spans, none, replaced
 
@@ -133,8 +133,9 @@ def disclosing_terms(rows: DataFrame, min_contexts: int, generalise_at: float, b
     limit = evident.agg(F.max("most").alias("m")).first()["m"]
     counted = held_terms(rows).groupBy("digest").agg(F.count(F.lit(1)).alias("df_term"))
     counted = cut_lineage(counted.where((F.col("df_term") >= min_contexts) & (F.col("df_term") <= F.lit(limit))))
+    # the terms of every text with an identifier, whether that recurs or not: as many rows as these texts have terms
     own = term_digests(F.col("bare"))
-    told = rows.where(F.size("entities") > 0).join(evident, "row").select("row", "es", "most", own.alias("own"))
+    told = rows.where(F.size("entities") > 0).join(evident, "row", "left").select("row", "es", F.coalesce("most", F.lit(-1.0)).alias("most"), own.alias("own"))
     beside = F.transform("own", lambda t, i: F.struct(t.alias("digest"), F.xxhash64(F.get("own", i - 1), F.get("own", i + 1)).alias("beside")))
     placed = told.select("row", "es", "most", F.explode(beside).alias("t")).select("row", "es", "most", "t.digest", "t.beside")
     fit = with_terms(placed, counted, broadcast_terms).where(F.col("df_term") <= F.col("most"))
@@ -152,11 +153,17 @@ def find_personal_data(
     docs: DataFrame, reach: int = 80, min_contexts: int = 2, generalise_at: float = 0.6, remove_at: float = 0.9, broadcast_terms: int = 1_000_000
 ) -> DataFrame:
     """``doc_id``, ``_key`` (digest of the text) and ``spans`` of every document."""
-    rows = cut_lineage(with_identifiers(docs, reach))
+    spark, path = docs.sparkSession, work_path(docs.sparkSession, "identifiers")
+    with_identifiers(docs, reach).write.parquet(path)  # compressed, and read by column; the row numbers are fixed from here on
+    rows = spark.read.parquet(path)
     telling = cut_lineage(disclosing_terms(rows, min_contexts, generalise_at, broadcast_terms))
     removed = F.collect_list(F.when(F.col("disclosed") >= remove_at, F.col("digest"))).alias("removed")
     hits = with_terms(held_terms(rows), telling, broadcast_terms).groupBy("row").agg(F.collect_list("digest").alias("marked"), removed)
-    joined = rows.drop("entities").join(hits, "row", "left")
+    keyed = hits.join(rows.select("row", "doc_id", "_key"), "row").dropDuplicates(["doc_id", "_key"])  # equal rows have equal terms
+    keyed = cut_lineage(keyed.select(F.col("doc_id").alias("_doc"), F.col("_key").alias("_hit"), "marked", "removed"))
+    remove_path(spark, path)  # the texts are read from their own table below, so they lie on disk once at any time
+    texts = with_identifiers(docs, reach).drop("row", "entities")
+    joined = texts.join(keyed, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_hit")), "left")
     digest_of = lambda value: F.xxhash64(F.lower(value))
     found = match_spans(F.col("bare"), TERM, "general", lambda t: F.array_contains("marked", digest_of(t)))
     kind = lambda t: F.when(F.array_contains("removed", digest_of(t["value"])), "removed").otherwise("general")
