@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -130,6 +130,32 @@ def flat(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+# The published grades, levels and size brackets.  A label holds from its bound up to the next one;
+# the first label also stands for a missing value, unless the caller gives another.
+SIZE_BRACKETS = [(None, "startup"), (11, "small"), (51, "medium"), (201, "large"), (1001, "enterprise")]
+SIZE_CATEGORIES = [(None, "Unknown"), (1, "Startup"), (11, "Small"), (51, "Medium"), (201, "Large")]
+REVENUE_STAGES = [(None, "Early Stage"), (1_000_000, "Growth Stage"), (10_000_001, "Mature")]
+STARTUP_STAGES = [(None, "mvp"), (11, "growth"), (51, "scale"), (201, "mature")]
+HEALTH_GRADES = [(None, "F"), (0.6, "D"), (0.7, "C"), (0.8, "B"), (0.9, "A")]
+SCORE_GRADES = [(None, "F"), (0.2, "D"), (0.4, "C"), (0.6, "B"), (0.8, "A")]
+RISK_LEVELS = [(None, "critical"), (0.4, "high"), (0.6, "medium"), (0.8, "low")]
+CONFIDENCE_LEVELS = [(None, "low"), (0.6, "medium"), (0.8, "high")]
+QUALITY_LEVELS = [(None, "VERY_LOW"), (0.4, "LOW"), (0.6, "MEDIUM"), (0.8, "HIGH")]
+HEALTH_LEVELS = [(None, "POOR"), (0.4, "FAIR"), (0.6, "GOOD"), (0.8, "EXCELLENT")]
+READINESS_LEVELS = [(None, "NOT_READY"), (0.4, "NEEDS_WORK"), (0.6, "NEARLY_READY"), (0.8, "READY")]
+MATCH_LEVELS = [(None, "Poor (<0.4)"), (0.4, "Fair (0.4-0.6)"), (0.6, "Good (0.6-0.8)"), (0.8, "Excellent (0.8+)")]
+PARTITION_SIZES = [(None, "EMPTY"), (1, "LOW"), (100, "NORMAL"), (1000, "HIGH"), (10000, "VERY_HIGH")]
+READABILITY = [(None, 0.4), (101, 0.6), (501, 0.8), (1001, 1.0), (5000, 0.8), (10000, 0.6)]
+
+
+def step_of(value: str, steps: Sequence[tuple[float | None, object]], missing: str | None = None) -> str:
+    """SQL: range lookup of a value in a table of (lower bound, label) in ascending order."""
+    labels = ", ".join(repr(label) for _, label in steps)
+    bounds = ", ".join(str(bound) for bound, _ in steps[1:])
+    found = f"([{labels}])[1 + len(list_filter([{bounds}]::DOUBLE[], lambda bound: ({value}) >= bound))]"
+    return found if missing is None else f"if(({value}) IS NULL, '{missing}', {found})"
+
+
 def num(*names: str) -> str:
     """SQL: columns as doubles rounded like ``plain``; ``expr AS name`` works too."""
     out = []
