@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
 from functools import reduce
 from math import ceil
 from operator import add
@@ -20,6 +21,7 @@ from ..functions.text import (
     word_jaccard,
 )
 from ..functions.vectors import clamp01, sigmoid
+from ..session import cut_lineage, ship_package
 from .ordering import top_n
 
 # Model used when none is stored, and the blend weights.
@@ -66,10 +68,10 @@ def match_reason(similarity: Column, industry: Column, geo: Column, name: Column
 
 
 def _unit_rows(vectors: pd.Series) -> np.ndarray:
-    """Rows of one width scaled to length 1; zero vectors and vectors with a missing number become zero."""
+    """Rows of one width scaled to length 1; zero vectors and vectors with a missing or infinite number become zero."""
     out = np.stack(vectors.to_list()).astype(float)
     norms = np.linalg.norm(out, axis=1, keepdims=True)
-    return np.divide(out, norms, out=np.zeros_like(out), where=norms > 0)
+    return np.divide(out, norms, out=np.zeros_like(out), where=(norms > 0) & np.isfinite(norms))
 
 
 def _cosines(asked: pd.Series, offered: pd.Series) -> np.ndarray:
@@ -92,80 +94,201 @@ def _substring_matrix(wanted: pd.Series, offered: pd.Series) -> np.ndarray:
     return table[label_of][:, text_of]
 
 
+ASKED = "q_row bigint, challenge_id string, q_vector array<double>, q_industry string, q_country string, q_name string"
+OFFERED = "company_key string, company_name string, industry string, country string, vector array<double>"
 SCORED = (
-    "challenge_id string, company_key string, company_name string, industry string, country string, "
+    "q_row bigint, challenge_id string, company_key string, company_name string, industry string, country string, "
     "q_name string, embedding_similarity double, industry_match double, geo_match double, "
     "ml_score double, final_score double"
 )
+#: Width of the vectors without a direction (all zero, or with a missing number); their cosine is 0.
+NO_DIRECTION = -1
+#: Width of the cell for vectors whose own width has no centre; it has no bound.
+NO_CENTRE = -2
+#: Angles and scores are compared with this much to spare, so that rounding prunes nothing.
+SPARE = 1e-6
 
 
-def _no_scores() -> pd.DataFrame:
-    return pd.DataFrame(columns=[f.split(" ")[0] for f in SCORED.split(", ")])
+@dataclass(frozen=True)
+class Weights:
+    """Of the match model; ``similarity``, ``industry`` and ``geo`` in its sum."""
 
+    similarity: float
+    industry: float
+    geo: float
+    intercept: float
 
-def _score_cell(asked: pd.DataFrame, offered: pd.DataFrame, weights: tuple[float, ...], k: int) -> pd.DataFrame:
+    def final(self, sim: np.ndarray, labels: np.ndarray | float) -> tuple[np.ndarray, np.ndarray]:
+        """(model score, final score); ``labels`` is what the label matches add to the sum."""
+        ml = 1.0 / (1.0 + np.exp(-(self.similarity * sim + labels + self.intercept)))
+        return ml, SIMILARITY_WEIGHT * sim + MODEL_WEIGHT * ml
+
+    def most(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """No pair with a cosine from ``low`` to ``high`` has a higher final score."""
+        leaning = high if self.similarity >= 0 else low
+        ml, _ = self.final(leaning, max(self.industry, 0.0) + max(self.geo, 0.0))
+        return SIMILARITY_WEIGHT * high + MODEL_WEIGHT * ml
+
+
+@dataclass
+class Cell:
+    """Candidates nearest to one centre: all lie ``low`` to ``high`` radians away from it."""
+
+    width: int
+    centre: np.ndarray | None
+    low: float = 0.0
+    high: float = np.pi
+    rows: int = 0
+    parts: int = 1
+
+
+def _directions(vectors: pd.Series) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(width, positions, unit vectors) per width; vectors without a direction under ``NO_DIRECTION``."""
+    widths = vectors.map(lambda v: 0 if v is None else len(v)).to_numpy(dtype=int)
+    out, lost = [], [np.flatnonzero(widths == 0)]
+    for width in np.unique(widths[widths > 0]):
+        at = np.flatnonzero(widths == width)
+        units = _unit_rows(vectors.iloc[at])
+        there = units.any(axis=1)
+        out.append((int(width), at[there], units[there]))
+        lost.append(at[~there])
+    return [*[o for o in out if len(o[1])], (NO_DIRECTION, np.concatenate(lost), np.empty((0, 0)))]
+
+
+def _angles(units: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(units @ centres.T, -1.0, 1.0))
+
+
+def _assign(cells: list[Cell]):
+    """Task function: every candidate with the cell of its nearest centre and the angle between them."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            cell, angle = np.zeros(len(batch), dtype="int32"), np.zeros(len(batch))
+            for width, at, units in _directions(batch["vector"]):
+                mine = [i for i, c in enumerate(cells) if c.width == width]
+                if not mine or width == NO_DIRECTION:
+                    cell[at] = next(i for i, c in enumerate(cells) if c.width == (NO_DIRECTION if width == NO_DIRECTION else NO_CENTRE))
+                    continue
+                away = _angles(units, np.stack([cells[i].centre for i in mine]))
+                nearest = away.argmin(axis=1)
+                cell[at], angle[at] = np.array(mine)[nearest], away[np.arange(len(at)), nearest]
+            yield batch.assign(cell=cell, angle=angle)
+
+    return run
+
+
+def _route(cells: list[Cell], weights: Weights, k: int):
+    """Task function: for every challenge the most a pair with each cell can score, and which cells come first.
+
+    The first ones are those with the highest bounds that hold ``k`` candidates together.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        used = [i for i, c in enumerate(cells) if c.rows]
+        rows = np.array([cells[i].rows for i in used])
+        for batch in batches:
+            if not used or batch.empty:
+                continue
+            free = np.array([float(cells[i].width == NO_CENTRE) for i in used])
+            low, high = np.tile(-free, (len(batch), 1)), np.tile(free, (len(batch), 1))
+            for width, at, units in _directions(batch["q_vector"]):
+                mine = [n for n, i in enumerate(used) if cells[i].width == width != NO_DIRECTION]
+                if mine and len(at):
+                    away = _angles(units, np.stack([cells[used[n]].centre for n in mine]))
+                    least = np.array([cells[used[n]].low for n in mine])
+                    most = np.array([cells[used[n]].high for n in mine])
+                    near = np.maximum(0.0, np.maximum(away - most, least - away) - SPARE)
+                    high[np.ix_(at, mine)] = np.cos(near)
+                    low[np.ix_(at, mine)] = np.cos(np.minimum(np.pi, away + most + SPARE))
+            bound = weights.most(low, high) + SPARE
+            order = np.argsort(-bound, axis=1, kind="stable")
+            before = np.cumsum(rows[order], axis=1) - rows[order]
+            first = np.zeros(bound.shape, dtype=bool)
+            np.put_along_axis(first, order, before < k, axis=1)
+            yield pd.DataFrame(
+                {
+                    "q_row": np.repeat(batch["q_row"].to_numpy(), len(used)), "cell": np.tile(np.array(used, dtype="int32"), len(batch)),
+                    "parts": np.tile(np.array([cells[i].parts for i in used], dtype="int32"), len(batch)), "bound": bound.ravel(), "first": first.ravel(),
+                }
+            )
+
+    return run
+
+
+def _best_of(asked: pd.DataFrame, offered: pd.DataFrame, weights: Weights, k: int) -> pd.DataFrame:
     """Best ``k`` offered rows per asked row: one matrix product."""
-    w_sim, w_ind, w_geo, intercept = weights
-    sim = _cosines(asked["q_vector"], offered["vector"])
+    # the last digits of a product hang on the shape of the matrices, a tie must not
+    sim = np.round(_cosines(asked["q_vector"], offered["vector"]), 12)
     ind = _substring_matrix(asked["q_industry"], offered["industry"])
     geo = _substring_matrix(asked["q_country"], offered["country"])
-    ml = 1.0 / (1.0 + np.exp(-(w_sim * sim + w_ind * ind + w_geo * geo + intercept)))
-    final = SIMILARITY_WEIGHT * sim + MODEL_WEIGHT * ml
-    alphabetical = np.argsort(np.argsort(offered["company_key"].to_numpy(dtype=str), kind="stable"))
-    best = np.lexsort((np.broadcast_to(alphabetical, final.shape), -final), axis=-1)[:, :k]
-    row = np.repeat(np.arange(len(asked)), best.shape[1])
-    col = best.ravel()
+    ml, final = weights.final(sim, weights.industry * ind + weights.geo * geo)
+    n = min(k, len(offered))
+    worst = -np.partition(-final, n - 1, axis=1)[:, n - 1 :][:, :1]
+    row, col = np.nonzero(final >= worst)
+    keys = offered["company_key"].to_numpy(dtype=str)[col]
+    order = np.lexsort((keys, -final[row, col], row))
+    row, col = row[order], col[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    row, col = row[place < n], col[place < n]
     out = offered.iloc[col][["company_key", "company_name", "industry", "country"]].reset_index(drop=True)
-    out.insert(0, "challenge_id", asked["challenge_id"].to_numpy()[row])
-    out["q_name"] = asked["q_name"].to_numpy()[row]
-    scores = (sim, ind, geo, ml, final)
-    names = ("embedding_similarity", "industry_match", "geo_match", "ml_score", "final_score")
-    for column, values in zip(names, scores, strict=True):
+    for column in ("q_row", "challenge_id", "q_name"):
+        out[column] = asked[column].to_numpy()[row]
+    for column, values in (("embedding_similarity", sim), ("industry_match", ind), ("geo_match", geo), ("ml_score", ml), ("final_score", final)):
         out[column] = values[row, col]
-    return out
-
+    return out[[f.split(" ")[0] for f in SCORED.split(", ")]]
 
-def _merge_best(parts: list[pd.DataFrame], k: int) -> pd.DataFrame:
-    rows = pd.concat(parts, ignore_index=True)
-    rows = rows.sort_values(["challenge_id", "final_score", "company_key"], ascending=[True, False, True])
-    return rows.groupby("challenge_id", sort=False).head(k)
 
+def _score_parts(weights: Weights, k: int, at_once: int = 128):
+    """Task function over rows in the order (cell, part, candidates before challenges).
 
-def _match_in_place(asked: DataFrame, offered: DataFrame, weights: tuple[float, ...], k: int) -> DataFrame:
-    """Few challenges: they travel to the candidates, which are not shuffled.
-
-    Each task keeps its running winners and leaves ``k`` rows per challenge.
+    One part of bounded size is held, the challenges sent to it pass by.
     """
-    few = asked.toPandas()  # at most ``cell_challenges`` rows, counted before
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best: pd.DataFrame | None = None
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, held, whole = None, [], None
         for batch in batches:
-            if len(batch) and len(few):
-                found = _score_cell(few, batch, weights, k)
-                best = found if best is None else _merge_best([best, found], k)
-        yield _no_scores() if best is None else best
+            for (cell, part, asks), rows in batch.groupby(["cell", "part", "asks"], sort=True):
+                if (cell, part) != key:
+                    key, held, whole = (cell, part), [], None
+                if not asks:
+                    held.append(rows)
+                    continue
+                whole = pd.concat(held, ignore_index=True) if whole is None and held else whole
+                for start in range(0, len(rows) if whole is not None else 0, at_once):
+                    yield _best_of(rows.iloc[start : start + at_once], whole, weights, k)
 
-    return offered.mapInPandas(score, SCORED)
+    return run
 
 
-def _match_on_grid(
-    asked: DataFrame, offered: DataFrame, weights: tuple[float, ...], k: int, slices: int, blocks: int
-) -> DataFrame:
-    """Many challenges: both sides are cut into hashed slices of bounded size.
+def _scored(sent: DataFrame, placed: DataFrame, weights: Weights, k: int) -> DataFrame:
+    """Best ``k`` of every part for the challenges sent to its cell; each candidate is moved once, to its part."""
+    asks = sent.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts").withColumn("asks", F.lit(1))
+    visited = F.broadcast(sent.select("cell").distinct())  # as many rows as there are centres at most
+    offers = placed.join(visited, "cell", "left_semi").withColumns({"asks": F.lit(0), "q_row": F.lit(-1).cast("long")})
+    both = offers.unionByName(asks, allowMissingColumns=True).repartition("cell", "part")
+    return both.sortWithinPartitions("cell", "part", "asks").mapInPandas(_score_parts(weights, k), SCORED)
 
-    A grid cell holds one slice of either side and leaves ``k`` rows per
-    challenge.
-    """
-    block = F.pmod(F.xxhash64("challenge_id"), F.lit(blocks)).cast("int")
-    piece = F.pmod(F.xxhash64("company_key"), F.lit(slices)).cast("int")
-    left = asked.withColumn("block", block).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    right = offered.withColumn("slice", piece).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
-    def score(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        return _score_cell(q, c, weights, k) if len(q) and len(c) else _no_scores()
+def _place(offered: DataFrame, part_rows: int, centres: int) -> tuple[DataFrame, list[Cell]]:
+    """Candidates with the cell of their nearest centre and a part of it, and the cells.
 
-    return left.groupBy("block", "slice").cogroup(right.groupBy("block", "slice")).applyInPandas(score, SCORED)
+    Centres are vectors of candidates, those with the least digests per width.
+    """
+    widths = {r["width"]: r["n"] for r in offered.groupBy(F.size("vector").alias("width")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    wanted = min(centres, ceil(sum(widths.values()) / part_rows))
+    marked = offered.select("vector", F.size("vector").alias("width"), F.xxhash64("vector").alias("_d"))
+    least = top_n(marked.select("width", "_d").distinct(), ["width"], [F.col("_d").asc()], wanted)
+    sample = marked.join(F.broadcast(least), ["width", "_d"], "left_semi").dropDuplicates(["width", "_d"]).toPandas()  # ``centres`` rows a width at most
+    cells = [Cell(width, unit) for width, _, units in _directions(sample["vector"]) for unit in units]
+    cells += [Cell(NO_DIRECTION, None), Cell(NO_CENTRE, None)]
+    near = cut_lineage(offered.mapInPandas(_assign(cells), OFFERED + ", cell int, angle double"))
+    for r in near.groupBy("cell").agg(F.min("angle").alias("low"), F.max("angle").alias("high"), F.count(F.lit(1)).alias("n")).collect():
+        cell = cells[r["cell"]]
+        cell.low, cell.high, cell.rows, cell.parts = r["low"], r["high"], r["n"], ceil(r["n"] / part_rows)
+    parts = F.element_at(F.array(*[F.lit(c.parts) for c in cells]), F.col("cell") + 1)
+    part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), parts).cast("int")
+    return near.withColumn("part", part).drop("angle"), cells
 
 
 def match_topk(
@@ -173,36 +296,45 @@ def match_topk(
     candidates: DataFrame,
     model: Mapping = DEFAULT_MODEL,
     k: int = TOP_RESULTS,
-    cell_candidates: int = 20_000,
-    cell_challenges: int = 1_000,
+    part_candidates: int = 20_000,
+    centres: int = 256,
 ) -> DataFrame:
-    """Best ``k`` candidates for every challenge, over all candidates.
-
-    Up to ``cell_challenges`` challenges are shipped to the candidates; a longer
-    list is matched on a grid of bounded cells.  Both ways score every
-    candidate, and the exact winners are picked from the partial ones.
+    """Best ``k`` candidates for every challenge, as if each were compared with all of them.
+
+    Candidates go to the nearest of up to ``centres`` centres (one for
+    ``part_candidates`` of them).  By the triangle inequality of angles a cell has a
+    bound for the score of its candidates.  A challenge visits the cells with the
+    highest bounds that hold ``k`` candidates, and then those whose bound reaches its
+    ``k``-th score.  Cells are cut into parts of about ``part_candidates`` rows; a task
+    holds one part while challenges stream by, so no list grows with either table.
+    Ties go by key.  Vectors without a direction or of another width score 0.
     """
     by_name = dict(zip(model["feature_order"], model["coefficients"], strict=True))
-    features = ("embedding_similarity", "industry_match", "geo_match")
-    weights = (*[float(by_name.get(f, 0.0)) for f in features], float(model["intercept"]))
-    asked = challenges.select(
-        F.col("challenge_id").cast("string").alias("challenge_id"),
-        F.col("vector").cast("array<double>").alias("q_vector"),
-        keyword_lookup("text", INDUSTRY_KEYWORDS).alias("q_industry"),
-        keyword_lookup("text", COUNTRY_KEYWORDS).alias("q_country"),
-        name_guess("text").alias("q_name"),
+    weights = Weights(*[float(by_name.get(f, 0.0)) for f in ("embedding_similarity", "industry_match", "geo_match")], float(model["intercept"]))
+    ship_package(challenges.sparkSession)
+    asked = cut_lineage(
+        challenges.select(
+            F.monotonically_increasing_id().alias("q_row"),
+            F.col("challenge_id").cast("string").alias("challenge_id"),
+            F.col("vector").cast("array<double>").alias("q_vector"),
+            keyword_lookup("text", INDUSTRY_KEYWORDS).alias("q_industry"),
+            keyword_lookup("text", COUNTRY_KEYWORDS).alias("q_country"),
+            name_guess("text").alias("q_name"),
+        )
     )
     offered = candidates.where(F.size("embedding_vector") > 0).select(
         "company_key", "company_name", "industry", "country", F.col("embedding_vector").cast("array<double>").alias("vector")
     )
-    n = challenges.count()
-    if n <= cell_challenges:
-        partial = _match_in_place(asked, offered, weights, k)
-    else:
-        slices = max(1, ceil(candidates.count() / cell_candidates))
-        partial = _match_on_grid(asked, offered, weights, k, slices, ceil(n / cell_challenges))
+    placed, cells = _place(offered, part_candidates, centres)
+    routes = cut_lineage(asked.select("q_row", "q_vector").mapInPandas(_route(cells, weights, k), "q_row bigint, cell int, parts int, bound double, first boolean"))
     order = [F.col("final_score").desc(), F.col("company_key").asc()]
-    best = top_n(partial, ["challenge_id"], order, k, rank="rank")
+    near = cut_lineage(top_n(_scored(routes.where("first").join(asked, "q_row").drop("bound", "first"), placed, weights, k), ["q_row"], order, k, rank="rank"))
+    found = near.drop("rank")
+    if sum(c.rows > 0 for c in cells) > 1:  # otherwise the first cell was all
+        least = near.where(F.col("rank") == k).select("q_row", F.col("final_score").alias("least"))
+        open_routes = routes.where("NOT first").join(least, "q_row", "left").where(F.col("bound") >= F.coalesce("least", F.lit(float("-inf"))))
+        found = found.unionByName(_scored(open_routes.join(asked, "q_row").drop("bound", "first", "least"), placed, weights, k))
+    best = top_n(found, ["challenge_id"], order, k, rank="rank").drop("q_row")
     named = (F.col("q_name") != "") & (F.col("company_name") != "")
     similarity = F.when(named, word_jaccard(F.col("q_name"), F.lower("company_name"))).otherwise(F.lit(0.0))
     scores = [F.col(c) for c in ("embedding_similarity", "industry_match", "geo_match", "name_similarity", "ml_score")]

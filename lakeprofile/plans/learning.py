@@ -10,7 +10,7 @@ from pyspark.ml.classification import LogisticRegression, LogisticRegressionMode
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import probe_join
@@ -369,6 +369,48 @@ def model_promotion(versions: DataFrame) -> DataFrame:
 # --- text vectors -------------------------------------------------------------
 
 
+#: Slots of a text sketch; only those a text uses are stored.
+TEXT_SLOTS = 1 << 18
+
+
+def word_counts(df: DataFrame, text: str, key: str) -> DataFrame:
+    """(key, word, times); words are runs of letters, digits and ``_`` in lower case."""
+    words = df.select(key, F.explode(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}_]+")).alias("word")).where("word <> ''")
+    return words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("times"))
+
+
+def word_slot(word: Column, slots: int) -> Column:
+    return F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("long") % slots
+
+
+def text_entries(df: DataFrame, text: str, key: str, slots: int = TEXT_SLOTS) -> DataFrame:
+    """(key, slot, value): the entries of a signed count sketch of whole texts.
+
+    The first eight digits of a word's digest give its slot, the ninth its sign, so
+    words that share a slot cancel on average.  An entry sums sign * times *
+    ln((n + 1) / (d + 1)) over its words, ``d`` of the ``n`` keys having the word; the
+    entries of a key have length 1 together, or are all 0 where every word is in every
+    text.  Null texts and texts without words have no entry; rows with equal keys are
+    one text.  There is a row for every slot a text uses and no list of words anywhere.
+    """
+    counted = word_counts(df, text, key)
+    known = counted.groupBy("word").agg(F.count(F.lit(1)).alias("texts"))
+    keys = df.groupBy(key).agg(F.lit(1).alias("one")).agg(F.count("one").alias("n")).scalar()
+    sign = F.when(F.substring(F.md5("word"), 9, 1) < "8", 1.0).otherwise(-1.0)
+    rare = F.log((keys + 1) / (F.col("texts") + 1))
+    weighed = probe_join(counted, known, "word").select(key, word_slot(F.col("word"), slots).alias("slot"), (sign * F.col("times") * rare).alias("value"))
+    entries = weighed.groupBy(key, "slot").agg(F.sum("value").alias("value"))
+    length = F.sqrt(F.sum(F.col("value") * F.col("value")).over(Window.partitionBy(key)))
+    return entries.withColumn("value", F.when(length > 0, F.col("value") / length).otherwise(F.lit(0.0)))
+
+
+def slot_collisions(df: DataFrame, text: str, key: str, slots: int = TEXT_SLOTS) -> DataFrame:
+    """(slot, words, times, heaviest): slots that several words share, and the times the most frequent of them is used."""
+    words = word_counts(df, text, key).groupBy("word").agg(F.sum("times").alias("times"))
+    slot = words.groupBy(word_slot(F.col("word"), slots).alias("slot"))
+    return slot.agg(F.count(F.lit(1)).alias("words"), F.sum("times").alias("times"), F.max("times").alias("heaviest")).where("words > 1")
+
+
 def text_vectors(df: DataFrame, text: str, key: str, features: int = 512) -> DataFrame:
     """Hashed TF-IDF vectors of length 1 over whole texts, as arrays."""
     stages = [

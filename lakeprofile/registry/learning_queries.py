@@ -359,3 +359,32 @@ def text_vectors(inp):
     return rows.select("doc_id", F.size("embedding_vector").alias("dimensions"), F.round(norm, 4).alias("norm"))
 
 
+cte(
+    "o_words",
+    r"""SELECT doc_id, word, count(*) AS times, ('0x' || substr(md5(word), 1, 8))::BIGINT % 262144 AS slot, if(substr(md5(word), 9, 1) < '8', 1.0, -1.0)::DOUBLE AS sign
+       FROM (SELECT doc_id, unnest(string_split_regex(lower(text), '[^\p{L}\p{N}_]+')) AS word FROM documents) WHERE word <> '' GROUP BY ALL""",
+)
+cte(
+    "o_entries",
+    """SELECT doc_id, slot, sum(sign * times * ln(((SELECT count(DISTINCT doc_id) FROM documents) + 1) / (texts + 1))) AS value
+       FROM o_words JOIN (SELECT word, count(*) AS texts FROM o_words GROUP BY word) USING (word) GROUP BY doc_id, slot""",
+)
+
+
+@query(
+    "text_entries",
+    f"""SELECT doc_id, slot, {num('if(size > 0, value / size, 0) AS value')}
+       FROM (SELECT *, sqrt(sum(value * value) OVER (PARTITION BY doc_id)) AS size FROM o_entries)""",
+)
+def text_entries(inp):
+    return learning.text_entries(inp["documents"], "text", "doc_id")
+
+
+@query(
+    "slot_collisions",
+    """SELECT slot, count(*) AS words, CAST(sum(times) AS BIGINT) AS times, CAST(max(times) AS BIGINT) AS heaviest
+       FROM (SELECT word, slot, sum(times) AS times FROM o_words GROUP BY ALL) GROUP BY slot HAVING count(*) > 1""",
+)
+def slot_collisions(inp):
+    """Words of all whole documents that share a slot of the sketch."""
+    return learning.slot_collisions(inp["documents"], "text", "doc_id")

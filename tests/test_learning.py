@@ -1,5 +1,10 @@
 """Model training and evaluation."""
 
+import hashlib
+import math
+import re
+from collections import Counter
+
 import numpy as np
 import pytest
 from conftest import one
@@ -94,3 +99,27 @@ def test_text_vectors_have_unit_length(spark):
     rows = spark.createDataFrame([(1, "alpha beta beta"), (2, "gamma delta")], "id int, text string")
     for r in learning.text_vectors(rows, "text", "id", features=64).collect():
         assert sum(x * x for x in r["embedding_vector"]) == pytest.approx(1.0, abs=1e-5)
+
+
+def test_text_entries_against_a_plain_sketch(spark):
+    """Signs, shared slots, null and empty texts, a key in two rows, words in other scripts; 8 slots, so that many collide."""
+    texts = [(1, "alpha beta Beta"), (2, "gamma delta \u00e9t\u00e9"), (3, None), (4, " .,"), (5, "alpha gamma"), (5, "alpha"), (None, "beta \u4e2d\u6587")]
+    rows = spark.createDataFrame(texts, "id int, text string")
+    words = {}
+    for key, text in texts:
+        for w in re.findall(r"\w+", (text or "").lower()):
+            words.setdefault(key, Counter())[w] += 1
+    digest = {w: hashlib.md5(w.encode()).hexdigest() for c in words.values() for w in c}
+    want = {}
+    for key, counts in words.items():
+        for w, times in counts.items():
+            rare = math.log(7 / (1 + sum(w in c for c in words.values())))
+            slot = int(digest[w][:8], 16) % 8
+            want[key, slot] = want.get((key, slot), 0.0) + (1 if digest[w][8] < "8" else -1) * times * rare
+    size = {key: math.sqrt(sum(v * v for (k, _), v in want.items() if k == key)) for key in words}
+    got = {(r.id, r.slot): r.value for r in learning.text_entries(rows, "text", "id", slots=8).collect()}
+    assert got == pytest.approx({(k, s): v / size[k] if size[k] else 0.0 for (k, s), v in want.items()})
+    shared = Counter(int(d[:8], 16) % 8 for d in digest.values())
+    found = {r.slot: r.words for r in learning.slot_collisions(rows, "text", "id", slots=8).collect()}
+    assert found == {s: n for s, n in shared.items() if n > 1}
+    assert learning.text_entries(rows.limit(0), "text", "id").count() == 0

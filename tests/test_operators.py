@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import plan_of
 from hypothesis import HealthCheck, given, settings
@@ -271,14 +272,61 @@ def brute_force(challenges, candidates, k):
     return out
 
 
-@pytest.mark.parametrize("cells", [(20_000, 1_000), (13, 5)])
-def test_both_ways_of_matching_are_exact(spark, cells):
-    challenges, candidates = match_frames(spark)
-    got = matching.match_topk(challenges, candidates, k=7, cell_candidates=cells[0], cell_challenges=cells[1])
+def ranked_keys(found):
     ranked = {}
-    for r in sorted(got.collect(), key=lambda r: (r["challenge_id"], r["rank"])):
+    for r in sorted(found.collect(), key=lambda r: (r["challenge_id"], r["rank"])):
         ranked.setdefault(r["challenge_id"], []).append(r["company_key"])
-    assert ranked == brute_force(challenges, candidates, 7)
+    return ranked
+
+
+@pytest.mark.parametrize("cells", [(20_000, 256), (13, 4), (3, 30)])
+def test_matching_is_exact_for_any_number_of_cells(spark, cells):
+    challenges, candidates = match_frames(spark)
+    got = matching.match_topk(challenges, candidates, k=7, part_candidates=cells[0], centres=cells[1])
+    assert ranked_keys(got) == brute_force(challenges, candidates, 7)
+
+
+@pytest.mark.parametrize("asked", [1, 5_000])
+def test_matching_with_ties_and_many_challenges(spark, asked):
+    """Candidates in tight groups, every vector three times: ties go by key, whatever cells are left out."""
+    rng = np.random.default_rng(5)
+    around = rng.normal(size=(20, 16))
+    base = np.repeat(around, 10, axis=0) + 0.05 * rng.normal(size=(200, 16))
+    vectors = np.repeat(base, 3, axis=0)
+    questions = around[rng.integers(0, 20, asked)] + 0.05 * rng.normal(size=(asked, 16))
+    keys = [f"k{i:04d}" for i in rng.permutation(len(vectors))]
+    candidates = spark.createDataFrame([(k, "", "", "", v.tolist()) for k, v in zip(keys, vectors, strict=True)], "company_key string, company_name string, industry string, country string, embedding_vector array<double>")
+    challenges = spark.createDataFrame([(f"c{i:05d}", "", v.tolist()) for i, v in enumerate(questions)], "challenge_id string, text string, vector array<double>")
+    got = ranked_keys(matching.match_topk(challenges, candidates, k=8, part_candidates=25, centres=24))
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    sims = np.round(unit(questions) @ unit(vectors).T, 12)
+    for i in range(0, asked, max(1, asked // 400)):
+        want = sorted(range(len(keys)), key=lambda j: (-sims[i, j], keys[j]))[:8]
+        assert got[f"c{i:05d}"] == [keys[j] for j in want]
+    assert len(got) == asked
+
+
+def test_far_cells_are_left_out(spark):
+    """Bounds hold for every pair and leave out most cells of grouped vectors."""
+    rng = np.random.default_rng(6)
+    around = rng.normal(size=(12, 16))
+    cells = [matching.Cell(16, c / np.linalg.norm(c), 0.0, 0.1, 50, 1) for c in around]
+    weights = matching.Weights(0.5, 0.3, 0.2, 0.0)
+    asked = pd.DataFrame({"q_row": [0], "q_vector": [around[4]]})
+    (routes,) = list(matching._route(cells, weights, 20)(iter([asked])))
+    assert routes[routes["first"]]["cell"].tolist() == [4]
+    inside = [np.cos(np.arccos(cells[4].centre @ c.centre) - 0.1) for c in cells]
+    for cell, bound, sim in zip(routes["cell"], routes["bound"], inside, strict=True):
+        assert bound >= weights.final(np.array(1.0 if cell == 4 else sim), 0.5)[1]
+    assert (routes["bound"] >= weights.final(np.array(np.cos(0.1)), 0.0)[1]).sum() < 4
+
+
+def test_matching_of_empty_tables_and_repeated_rows(spark):
+    challenges, candidates = match_frames(spark, n_candidates=4)
+    assert matching.match_topk(challenges.limit(0), candidates).count() == 0
+    assert matching.match_topk(challenges, candidates.limit(0)).count() == 0
+    twice = ranked_keys(matching.match_topk(challenges, candidates.unionAll(candidates), k=3, part_candidates=2))
+    assert all(len(v) == 3 and v[0] == v[1] for v in twice.values())
 
 
 def test_match_reasons(spark):
@@ -297,7 +345,7 @@ def test_similarity_of_jvm_and_numpy_agree(spark):
     assert gap < 1e-9
 
 
-@pytest.mark.parametrize("cells", [(20_000, 1_000), (2, 1)])
+@pytest.mark.parametrize("cells", [(20_000, 256), (2, 4)])
 def test_vectors_of_other_widths_score_alone(spark, cells):
     """A vector of another width, an empty or a missing number in one changes no other score."""
     schema = "challenge_id string, text string, vector array<double>"
@@ -305,7 +353,7 @@ def test_vectors_of_other_widths_score_alone(spark, cells):
     offered = spark.createDataFrame(
         [("x", [3.0, 0.0]), ("y", [3.0, 4.0]), ("z", [1.0, 1.0, 1.0]), ("n", [None, 1.0]), ("e", [])], "company_key string, embedding_vector array<double>"
     ).selectExpr("*", "'' AS company_name", "'' AS industry", "'' AS country")
-    got = matching.match_topk(asked, offered, cell_candidates=cells[0], cell_challenges=cells[1]).collect()
+    got = matching.match_topk(asked, offered, part_candidates=cells[0], centres=cells[1]).collect()
     scores = {(r.challenge_id, r.company_key): round(r.embedding_similarity, 9) for r in got}
     third = round(1 / math.sqrt(3), 9)
     assert scores == {("a", "x"): 1.0, ("a", "y"): 0.6, ("a", "z"): 0.0, ("a", "n"): 0.0, ("b", "x"): 0.0, ("b", "y"): 0.0, ("b", "z"): third, ("b", "n"): 0.0}
