@@ -113,9 +113,14 @@ def drawn(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = 3.0
         F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("source"), "source_size", "target", F.floor(rate + 1e-12).cast("long").alias("whole"),
         F.greatest(rate - F.floor(rate + 1e-12), F.lit(0.0)).alias("chance"), F.ceil(F.col("docs") / chunk_rows).cast("long").alias("chunks"),
     )
-    rated = lookup_join(named, cut_lineage(goal), "source", spread=["doc_id", "key"])
-    chunk = F.pmod(F.xxhash64("doc_id", "key"), F.col("chunks"))
-    start = rated.select("doc_id", "key", "source", "size", "source_size", "target", "whole", "chance", chunk.alias("chunk"), F.lit(True).alias("open"))
+    # equal rows count as one until they are dealt to the chunks, and are dealt in blocks
+    equal = named.groupBy("doc_id", "key", "source", "size").agg(F.count(F.lit(1)).alias("rows"))
+    rated = lookup_join(equal, cut_lineage(goal), "source", spread=["doc_id", "key"])
+    blocks = rated.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / chunk_rows)))).repartition("doc_id", "key", "block")
+    begin = F.col("block") * chunk_rows
+    dealt = blocks.withColumn("copy", F.explode(F.sequence(begin, F.least(begin + chunk_rows, F.col("rows")) - 1)))
+    chunk = F.pmod(F.xxhash64("doc_id", "key", "copy"), F.col("chunks"))
+    start = dealt.select("doc_id", "key", "source", "size", "source_size", "target", "whole", "chance", chunk.alias("chunk"), F.lit(True).alias("open"))
 
     def meet(level: int, only: bool):
         def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:

@@ -19,8 +19,12 @@ Null ids are ids like any other; equal rows get equal results; empty tables give
 an empty result.  Only ids and texts are read.
 
 The digests of the benchmark are counted first: up to ``broadcast_seeds`` of
-them (24 bytes each) travel to the documents, which are then not shuffled;
-beyond that both sides are joined by shuffle.  Both ways give the same rows.
+them (24 bytes each: digest, item, its length, place) travel to the documents, which are
+then not shuffled; beyond that both sides are joined by shuffle.  No window carries
+words: hits are reduced to one row per document, item and alignment (counted, and
+broadcast up to the same number of rows), and only then are the words of both looked
+up.  Both ways give the same rows.  Work grows with the length of a text and of an
+item, times the alignments on which they share a window.
 """
 
 from __future__ import annotations
@@ -30,6 +34,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .common import doc_rows, text_key, whole
 
 #: 1: the word counts, 0: it is ignored.
@@ -54,12 +59,13 @@ def window_digests(words: Column, at: Column, masks: Sequence[str]) -> Column:
 
 
 def windows(rows: DataFrame, masks: Sequence[str]) -> DataFrame:
-    """(columns of the row, ``at``, ``seed``) of every window; rows have an array ``words``.
+    """Columns of the row but ``words``, ``at`` and ``seed`` of every window of its array ``words``.
 
     ``outer``, since Spark would otherwise split every text once more to look for empty ones beforehand.
     """
+    kept = [c for c in rows.columns if c != "words"]
     placed = rows.select("*", F.posexplode_outer("words").alias("at", "_word")).drop("_word")
-    return placed.select("*", F.explode(window_digests(F.col("words"), F.col("at"), masks)).alias("seed")).where(F.col("seed").isNotNull())
+    return placed.select(*kept, "at", F.explode(window_digests(F.col("words"), F.col("at"), masks)).alias("seed")).where(F.col("seed").isNotNull())
 
 
 def whole_items(texts: DataFrame, items: DataFrame, broadcast_seeds: int) -> DataFrame:
@@ -69,11 +75,12 @@ def whole_items(texts: DataFrame, items: DataFrame, broadcast_seeds: int) -> Dat
     sized = F.coalesce(*[F.when(F.size("words") == n, run(F.lit(0), n)) for n in lengths], F.lit(None).cast("long"))
     seeds = items.select(sized.alias("seed"), "item_id", F.col("words").alias("item_words"))
     placed = texts.select("*", F.posexplode_outer("words").alias("at", "_word")).drop("_word")
-    runs = F.array(*[run(F.col("at"), n) for n in lengths]).cast("array<bigint>")
-    there = placed.select("*", F.explode(runs).alias("seed")).where(F.col("seed").isNotNull())
+    piece = lambda n: F.struct(run(F.col("at"), n).alias("seed"), F.slice("words", F.col("at") + 1, n).alias("words"))
+    there = placed.select("doc_id", "_key", "at", F.explode(F.array(*[piece(n) for n in lengths])).alias("w"))
+    there = there.select("doc_id", "_key", "at", "w.*").where(F.col("seed").isNotNull())
     hits = there.join(F.broadcast(seeds) if items.count() <= broadcast_seeds else seeds, "seed")
     size = F.size("item_words")
-    same = hits.where(F.slice("words", F.col("at") + 1, size) == F.col("item_words"))
+    same = hits.where(F.col("words") == F.col("item_words"))
     found = same.groupBy("doc_id", "_key", "item_id", size.cast("long").alias("n")).agg(F.min("at").cast("long").alias("at"))
     longest = found.groupBy("doc_id", "_key", "item_id").agg(F.max(F.struct("n", (-F.col("at")).alias("f"))).alias("b"))
     return longest.select("doc_id", "_key", "item_id", F.col("b.n").alias("matched_words"), F.col("b.n").alias("overlap_words"), (-F.col("b.f")).alias("first_word"))
@@ -112,18 +119,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = M
     shortest = min(map(len, masks))
     given = benchmark.select("item_id", word_digests(whole("text")).alias("words")).where(F.size("words") > 0).dropDuplicates()
     items, short = given.where(F.size("words") >= shortest), given.where(F.size("words") < shortest)
+    # two items under one number would both be laid over the text
+    numbered = items.select("item_id", "words", F.xxhash64("item_id", "words").alias("_item"), F.size("words").alias("_n"))
     count = items.agg(F.coalesce(F.sum(F.size("words")), F.lit(0)).alias("n")).first()["n"] * len(masks)
-    seeds = windows(items, masks).select("seed", "item_id", F.col("at").alias("item_at"), F.col("words").alias("item_words"))
-    texts = doc_rows(docs).select("doc_id", text_key(F.col("text")).alias("_key"), word_digests(F.col("text")).alias("words"))
-    there = windows(texts, masks)
-    hits = there.join(F.broadcast(seeds) if count <= broadcast_seeds else seeds, "seed")
-    lead = F.least("at", "item_at")
-    before, other = F.col("at") - lead, F.col("item_at") - lead
-    size = F.least(F.size("words") - before, F.size("item_words") - other)
-    mine, theirs = F.slice("words", before + 1, size), F.slice("item_words", other + 1, size)
-    aligned = hits.select("doc_id", "_key", "item_id", before.alias("_before"), other.alias("_other"), F.size("item_words").alias("_n"), mine.alias("mine"), theirs.alias("theirs"))
-    # many hits lie on one alignment; what it covers is the same for all of them
-    each = aligned.groupBy("doc_id", "_key", "item_id", "_before", "_other", "_n").agg(F.first("mine").alias("mine"), F.first("theirs").alias("theirs"))
+    light = lambda rows, n: F.broadcast(rows) if n <= broadcast_seeds else rows
+    seeds = windows(numbered.select("_item", "_n", "words"), masks).withColumnRenamed("at", "item_at")
+    read = doc_rows(docs).withColumn("_key", text_key(F.col("text")))
+    texts = read.select("doc_id", "_key", word_digests(F.col("text")).alias("words"))
+    hits = windows(texts, masks).join(light(seeds, count), "seed")
+    aligned = cut_lineage(hits.select("doc_id", "_key", "_item", "_n", (F.col("at") - F.col("item_at")).alias("_shift")).distinct())
+    spots = light(aligned.withColumnsRenamed({"doc_id": "_doc", "_key": "_text_key"}), aligned.count())
+    met = read.join(spots, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_text_key")))
+    before, other = F.greatest("_shift", F.lit(0)), F.greatest(-F.col("_shift"), F.lit(0))
+    mine = F.slice(word_digests(F.col("text")), before + 1, F.col("_n") - other)
+    cut = met.select("doc_id", "_key", "_item", "_n", before.alias("_before"), other.alias("_other"), mine.alias("mine"))
+    laid_over = cut.join(light(numbered, count), ["_item", "_n"])
+    theirs = F.slice("words", F.col("_other") + 1, F.size("mine"))
+    each = laid_over.select("doc_id", "_key", "item_id", "_before", "_n", "mine", theirs.alias("theirs"))
     same = F.zip_with("mine", "theirs", lambda a, b: a == b)
     least = F.least(F.lit(min_overlap), F.col("_n"))
     laid = each.select("doc_id", "_key", "item_id", "_before", least.alias("_least"), best_stretch(same, least).alias("s"))

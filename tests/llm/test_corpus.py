@@ -247,9 +247,43 @@ def test_tokens_empty(spark, odd):
     assert repair_tokens.read_tokens(spark, path).count() == 0
 
 
+def test_equal_rows_are_dealt_to_many_chunks(spark):
+    """Half of all rows are equal (null id, one text); no chunk holds them all and the target is met as before."""
+    equal = spark.range(20_000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "'a' AS source", "'two words' AS text")
+    other = spark.range(20_000).selectExpr("id AS doc_id", "if(id % 2 = 0, 'a', 'b') AS source", "concat_ws(' ', 'w', 'x', id) AS text")
+    docs = equal.unionAll(other)
+    got = pivotal_mix.drawn(docs, chunk_rows=1_000)
+    assert got.count() == 40_000
+    copies = got.where("doc_id IS NULL").groupBy("copies").count().collect()
+    assert sum(r["count"] for r in copies) == 20_000 and len(copies) <= 2
+    for r in got.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"), F.first("target").alias("target")).collect():
+        assert abs(r["taken"] - r["target"]) <= 3
+    again = pivotal_mix.drawn(docs.repartition(3), chunk_rows=1_000)
+    assert got.exceptAll(again).isEmpty() and again.exceptAll(got).isEmpty()
+
+
 # decontamination
 
 
+def test_spaced_seeds_of_long_items_and_long_texts(spark):
+    """An item of 20,000 words with a copy, a text of 60,000 words with a short overlap, both ways; work is linear in either."""
+    words = [f"w{i * 7919 % 1000003}" for i in range(60_000)]
+    replaced = [w if i % 50 else "other" for i, w in enumerate(words[:20_000])]
+    docs = spark.createDataFrame([(1, " ".join(replaced)), (2, " ".join(words))], "doc_id long, text string")
+    bench = spark.createDataFrame([("long", " ".join(words[:20_000])), ("short", " ".join(words[50_000:50_040]))], "item_id string, text string")
+    for broadcast_seeds in (0, 1_000_000):
+        got = {(r.doc_id, r.item_id): (r.matched_words, r.first_word) for r in spaced_seeds.contaminated(docs, bench, broadcast_seeds=broadcast_seeds).collect()}
+        assert got == {(1, "long"): (19_600, 1), (2, "long"): (20_000, 0), (2, "short"): (40, 50_000)}
+
+
+def test_spaced_seeds_of_two_texts_under_one_item_id(spark):
+    first, second = (" ".join(f"{c}{i}" for i in range(20)) for c in "ab")
+    bench = spark.createDataFrame([("x", first), ("x", second), (None, first)], "item_id string, text string")
+    docs = spark.createDataFrame([(1, first), (2, second), (None, first), (None, first)], "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.item_id or "", r.matched_words) for r in spaced_seeds.contaminated(docs, bench).collect())
+    assert got == [(0, "", 20), (0, "x", 20), (1, "", 20), (1, "x", 20), (2, "x", 20)]
+
+
 def test_spaced_seeds(spark):
     luck = random.Random(2)
     word = lambda: "".join(luck.choice("abcdefgh") for _ in range(5))
