@@ -123,3 +123,24 @@ def test_linking_is_the_interval_join(spark):
             if p[0] != "access" and classes & set(secrets.COMPLETED_BY[secrets.CLASS[p[0]]]):
                 want.add(p[:2])
         assert got[i] == want, text
+
+
+def test_terms_of_all_texts_with_an_identifier_are_exploded_before_any_join(spark):
+    """As many rows as these texts have terms, however many of the identifiers recur; terms beyond the limit change nothing."""
+    texts = [(i, f"mail ada@x.org then word{i % 3} zeta{i}" if i < 3 else f"mail new{i}@y.org common filler{i % 2}") for i in range(12)]
+    texts += [(20 + i, f"common mail filler{i % 2} quiet{i}") for i in range(60)]
+    rows = pii.with_identifiers(spark.createDataFrame(texts, "doc_id long, text string"), 80).localCheckpoint()
+    found = []
+    for most in (1_000_000, 3, 0):  # all terms broadcast; the common ones alone; none
+        terms = pii.disclosing_terms(rows, 2, 0.3, most)
+        lines = terms._jdf.queryExecution().executedPlan().toString().split("\n")
+        at = next(i for i, line in enumerate(lines) if "Generate explode(transform(own" in line)
+        depth = re.search(r"Generate", lines[at]).start()
+        below = []
+        for line in lines[at + 1 :]:
+            if re.search(r"[A-Z]", line).start() <= depth:
+                break
+            below.append(line)
+        assert below and not any("Join" in line or "Exchange" in line for line in below)
+        found.append(sorted((r.digest, round(r.disclosed, 9)) for r in terms.collect()))
+    assert found[0] and found[0] == found[1] == found[2]
