@@ -12,13 +12,18 @@ from .core import cte, num, query, stamp
 from .increment_queries import QUOTA_SQL
 
 
-def arriving(inp, name: str, files: int = 2):
-    """The binding stored as several files, read back as a file stream."""
+def arriving(inp, name: str, arrivals: int = 2):
+    """The binding stored in ``arrivals`` parts by its first column, read back as a file stream of about that many batches.
+
+    A part has as many files as the binding has tasks, so no task reads or writes more when the table is larger.
+    """
     rows = inp[name]
     path = work_path(inp.spark, f"in_{name}")
-    rows.repartition(files, rows.columns[0]).write.parquet(path)
+    part = F.pmod(F.xxhash64(rows.columns[0]), F.lit(arrivals))
+    for n in range(arrivals):
+        rows.where(part == n).write.mode("append").parquet(path)
     stored = inp.spark.read.parquet(path)
-    return streams.file_stream(inp.spark, path, stored.schema, files_per_batch=1)
+    return streams.file_stream(inp.spark, path, stored.schema, files_per_batch=-(-len(stored.inputFiles()) // arrivals))
 
 
 def arriving_in_turn(inp, name: str, turn):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lakeprofile.operators import keyed_table
 from lakeprofile.operators.incremental import default_watermark, delta_read, quota_windows, upsert_latest
 from lakeprofile.plans import ledger, quality
-from lakeprofile.registry import ORACLES, QUERIES
+from lakeprofile.registry import ORACLES, QUERIES, stream_queries
 from lakeprofile.registry.core import Inputs
 from lakeprofile.session import shared_root, work_path
 from lakeprofile.sources import maintenance, readers, writers
@@ -291,3 +291,20 @@ def test_masked_phone_is_never_a_valid_phone(spark):
         rows = rows.withColumn(c, F.lit(None).cast("string"))
     checked = quality.check_contacts(rows.withColumn("data_quality_score", F.lit(0.5))).first()
     assert checked["phone_format_check"] == "INVALID" and checked["overall_validation_status"] == "PASS"
+
+
+def test_arrivals_have_as_many_files_as_the_table_has_tasks(spark, tmp_path, monkeypatch):
+    """Two micro-batches at any size, each read by many tasks; null and repeated keys arrive too."""
+    rows = spark.range(600, numPartitions=6).select(F.when(F.col("id") % 10 > 0, F.col("id") % 100).alias("doc_id"), F.sha2(F.col("id").cast("string"), 256).alias("text"), F.lit("en").alias("lang"), F.lit("web").alias("source"))
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(stream_queries, "work_path", lambda spark, name: str(tmp_path / name))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8KB")
+    try:
+        stream = stream_queries.arriving(Inputs(spark, str(tmp_path)), "b_profiles")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(list((tmp_path / "in_b_profiles").glob("*.parquet"))) >= 12
+    batches = []
+    streams.run_batches(stream, str(tmp_path / "progress"), lambda batch, number: batches.append([r.profile_text for r in batch.collect()]))
+    assert len(batches) == 2 and all(batches)
+    assert sorted(batches[0] + batches[1]) == sorted(r.text for r in rows.collect())
