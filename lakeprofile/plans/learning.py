@@ -373,17 +373,54 @@ def model_promotion(versions: DataFrame) -> DataFrame:
 TEXT_SLOTS = 1 << 18
 
 
-def word_counts(df: DataFrame, text: str, key: str) -> DataFrame:
-    """(key, word, times); words are runs of letters, digits and ``_`` in lower case."""
-    words = df.select(key, F.explode(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}_]+")).alias("word")).where("word <> ''")
-    return words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("times"))
+#: Words whose numbers of texts travel to every task.
+BROADCAST_WORDS = 500_000
+#: Rows from which on a key's texts may be dealt to several tasks.
+HOT_ROWS = 10_000
+
+
+def text_words(df: DataFrame, text: str, key: str) -> DataFrame:
+    """(key, word) of every word of every text; words are runs of letters, digits and ``_`` in lower case."""
+    return df.select(key, F.explode(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}_]+")).alias("word")).where("word <> ''")
+
+
+def word_counts(df: DataFrame, text: str, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(key, word, times), all rows of a key in one task.
+
+    Texts move to their key whole, which is far less than their words would be one by one.  Only keys that hold more
+    than ``hot_rows`` rows and more than an even task's share are counted where their texts lie.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    share = rows.agg(F.sum("_n").alias("_n")).scalar() / F.lit(float(tasks))
+    hot = cut_lineage(rows.where((F.col("_n") > hot_rows) & (F.col("_n") > share)).select(F.col(key).alias("_hot")))
+
+    def counted(words: DataFrame) -> DataFrame:
+        return words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("times"))
+
+    if hot.isEmpty():
+        return counted(text_words(df.select(key, text).repartition(F.col(key)), text, key))
+    same, few = F.col(key).eqNullSafe(F.col("_hot")), F.broadcast(hot)
+    moved = df.select(key, text).join(few, same, "left_anti").repartition(F.col(key))
+    spread = counted(text_words(df.select(key, text).join(few, same, "left_semi"), text, key))
+    return counted(text_words(moved, text, key)).unionByName(spread.repartition(F.col(key)))
 
 
 def word_slot(word: Column, slots: int) -> Column:
     return F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("long") % slots
 
 
-def text_entries(df: DataFrame, text: str, key: str, slots: int = TEXT_SLOTS) -> DataFrame:
+def most_frequent(known: DataFrame, most: int) -> tuple[DataFrame, int]:
+    """Words of ``known`` (word, texts) found in at least so many texts, and that number: the least power of 2, from 2 on, that leaves ``most`` words or fewer."""
+    sizes = known.groupBy(F.floor(F.log2("texts")).cast("int").alias("power")).agg(F.count(F.lit(1)).alias("n")).collect()  # one row a power
+    bound, left = 2, sum(r["n"] for r in sizes)
+    for r in sorted(sizes):
+        if left > most:
+            bound, left = 2 ** (r["power"] + 1), left - r["n"]
+    return known.where(F.col("texts") >= bound), bound
+
+
+def text_entries(df: DataFrame, text: str, key: str, slots: int = TEXT_SLOTS, broadcast_words: int = BROADCAST_WORDS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(key, slot, value): the entries of a signed count sketch of whole texts.
 
     The first eight digits of a word's digest give its slot, the ninth its sign, so
@@ -392,21 +429,35 @@ def text_entries(df: DataFrame, text: str, key: str, slots: int = TEXT_SLOTS) ->
     entries of a key have length 1 together, or are all 0 where every word is in every
     text.  Null texts and texts without words have no entry; rows with equal keys are
     one text.  There is a row for every slot a text uses and no list of words anywhere.
+
+    The ``broadcast_words`` most frequent words travel to the texts, which stay in their
+    tasks.  The others meet word by word, each in fewer texts than any of those, and
+    only their entries move back to the texts.
     """
-    counted = word_counts(df, text, key)
-    known = counted.groupBy("word").agg(F.count(F.lit(1)).alias("texts"))
+    counted = word_counts(df, text, key, hot_rows)
+    known = cut_lineage(counted.groupBy("word").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"))
+    frequent, bound = most_frequent(known, broadcast_words)
     keys = df.groupBy(key).agg(F.lit(1).alias("one")).agg(F.count("one").alias("n")).scalar()
     sign = F.when(F.substring(F.md5("word"), 9, 1) < "8", 1.0).otherwise(-1.0)
     rare = F.log((keys + 1) / (F.col("texts") + 1))
-    weighed = probe_join(counted, known, "word").select(key, word_slot(F.col("word"), slots).alias("slot"), (sign * F.col("times") * rare).alias("value"))
-    entries = weighed.groupBy(key, "slot").agg(F.sum("value").alias("value"))
+
+    def weighed(words: DataFrame) -> DataFrame:
+        return words.select(key, word_slot(F.col("word"), slots).alias("slot"), (sign * F.col("times") * rare).alias("value"))
+
+    if bound == 2:  # a word that is not among them is in one text
+        values = weighed(counted.join(F.broadcast(frequent), "word", "left").withColumn("texts", F.coalesce("texts", F.lit(1))))
+    else:
+        others = counted.join(F.broadcast(frequent.select("word")), "word", "left_anti")
+        others = others.withColumn("texts", F.count(F.lit(1)).over(Window.partitionBy("word")))
+        values = weighed(counted.join(F.broadcast(frequent), "word")).unionByName(weighed(others).repartition(F.col(key)))
+    entries = values.groupBy(key, "slot").agg(F.sum("value").alias("value"))
     length = F.sqrt(F.sum(F.col("value") * F.col("value")).over(Window.partitionBy(key)))
     return entries.withColumn("value", F.when(length > 0, F.col("value") / length).otherwise(F.lit(0.0)))
 
 
 def slot_collisions(df: DataFrame, text: str, key: str, slots: int = TEXT_SLOTS) -> DataFrame:
     """(slot, words, times, heaviest): slots that several words share, and the times the most frequent of them is used."""
-    words = word_counts(df, text, key).groupBy("word").agg(F.sum("times").alias("times"))
+    words = text_words(df, text, key).groupBy("word").agg(F.count(F.lit(1)).alias("times"))
     slot = words.groupBy(word_slot(F.col("word"), slots).alias("slot"))
     return slot.agg(F.count(F.lit(1)).alias("words"), F.sum("times").alias("times"), F.max("times").alias("heaviest")).where("words > 1")
 

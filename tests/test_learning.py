@@ -7,7 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import one
+from conftest import one, plan_of
 from pyspark.sql import functions as F
 
 from lakeprofile.plans import learning
@@ -123,3 +123,19 @@ def test_text_entries_against_a_plain_sketch(spark):
     found = {r.slot: r.words for r in learning.slot_collisions(rows, "text", "id", slots=8).collect()}
     assert found == {s: n for s, n in shared.items() if n > 1}
     assert learning.text_entries(rows.limit(0), "text", "id").count() == 0
+
+
+def test_text_entries_move_texts_instead_of_their_words(spark, tmp_path):
+    """Frequent words travel, others meet word by word, hot keys are spread: the same entries, and one move of entries at most."""
+    texts = [(i % 40, " ".join(f"w{j}" for j in range(1, 30) if (i * 7 + j) % j < 3) + f" own{i}") for i in range(80)] + [(None, "w1 w2 gap")] * 3
+    spark.createDataFrame(texts, "id int, text string").write.parquet(str(tmp_path / "texts"))
+    rows = spark.read.parquet(str(tmp_path / "texts"))
+    found = []
+    for settings in ({}, {"broadcast_words": 5}, {"broadcast_words": 0}, {"hot_rows": 1}):
+        out = learning.text_entries(rows, "text", "id", slots=64, **settings)
+        exchanges = [line for line in plan_of(out).split("\n") if "Exchange hashpartitioning(" in line]
+        assert not any("slot" in line for line in exchanges)
+        found.append({(r.id, r.slot): r.value for r in out.collect()})
+    assert found[0] and all(other == pytest.approx(found[0]) for other in found[1:])
+    sizes = spark.createDataFrame([("a", 2), ("b", 3), ("c", 4), ("d", 9)], "word string, texts long")
+    assert [(learning.most_frequent(sizes, n)[0].count(), learning.most_frequent(sizes, n)[1]) for n in (4, 3, 2, 1, 0)] == [(4, 2), (2, 4), (2, 4), (1, 8), (0, 16)]
