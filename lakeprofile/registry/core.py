@@ -18,6 +18,7 @@ START = "2024-01-01"
 Query = Callable[["Inputs"], DataFrame]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+KNOWN: dict[str, dict[str, str]] = {}  # the named results as they stood when a query was registered
 
 
 class Inputs:
@@ -91,13 +92,15 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
+            KNOWN[name] = dict(LIBRARY)
         return build
 
     return register
 
 
 def oracles() -> dict[str, str]:
-    return {name: with_ctes(sql, LIBRARY) for name, sql in ORACLES.items()}
+    """Every check with the named results it was written with; a name that is used again later means another one there."""
+    return {name: with_ctes(sql, {**LIBRARY, **KNOWN[name]}) for name, sql in ORACLES.items()}
 
 
 def plain(c: Column, kind: T.DataType) -> Column:
