@@ -219,7 +219,8 @@ def _route(cells: list[Cell], weights: Weights, k: int):
 def _best_of(asked: pd.DataFrame, offered: pd.DataFrame, weights: Weights, k: int) -> pd.DataFrame:
     """Best ``k`` offered rows per asked row: one matrix product."""
     # the last digits of a product hang on the shape of the matrices, a tie must not
-    sim = np.round(_cosines(asked["q_vector"], offered["vector"]), 12)
+    cosine = _cosines(asked["q_vector"], offered["vector"])
+    sim = np.round(cosine, 12)
     ind = _substring_matrix(asked["q_industry"], offered["industry"])
     geo = _substring_matrix(asked["q_country"], offered["country"])
     ml, final = weights.final(sim, weights.industry * ind + weights.geo * geo)
@@ -234,7 +235,7 @@ def _best_of(asked: pd.DataFrame, offered: pd.DataFrame, weights: Weights, k: in
     out = offered.iloc[col][["company_key", "company_name", "industry", "country"]].reset_index(drop=True)
     for column in ("q_row", "challenge_id", "q_name"):
         out[column] = asked[column].to_numpy()[row]
-    for column, values in (("embedding_similarity", sim), ("industry_match", ind), ("geo_match", geo), ("ml_score", ml), ("final_score", final)):
+    for column, values in (("embedding_similarity", np.round(cosine, 14)), ("industry_match", ind), ("geo_match", geo), ("ml_score", ml), ("final_score", final)):
         out[column] = values[row, col]
     return out[[f.split(" ")[0] for f in SCORED.split(", ")]]
 
